@@ -201,3 +201,242 @@ ORACLE["null_profile"] = sql(
     + "unpivot (null_count for column_name in (" + ", ".join(_PROFILE_COLS) + "))",
     "forecast_latest", "ports_latest",
 )
+
+# ------------------------------------------------------------------ ports and fleet
+
+CTES["ports_typed1"] = (
+    f"select port_id, {N1('port_name')} as port_name, {N1('country')} as country, {N1('berths')} as berths, "
+    f"{N1('un_locode')} as un_locode, try_cast({N1('latitude')} as double) as latitude, "
+    f"try_cast({N1('longitude')} as double) as longitude, try_cast({N1('timestamp')} as bigint) as ts "
+    "from (select * replace (" + N1("port_id") + " as port_id) from ports_raw)",
+    ["ports_raw"],
+)
+CTES["port_stats"] = (
+    _latest(
+        "ports_typed1", "port_id",
+        ["ts", "port_name", "country", "berths", "un_locode", "latitude", "longitude"],
+        ["port_id", "port_name", "country", "berths", "un_locode", "latitude", "longitude"],
+    ),
+    ["ports_typed1"],
+)
+_VESSEL_TEXT = ["ship_name", "ship_type", "flag", "imo", "status"]
+CTES["vessels_typed1"] = (
+    "select " + N1("mmsi") + " as mmsi, "
+    + ", ".join(f"{N1(c)} as {c}" for c in ["ship_name", "ship_type", "flag"])
+    + ", " + ", ".join(f"try_cast({N1(c)} as double) as {c}" for c in ["length", "width", "draft", "beam"])
+    + ", " + ", ".join(f"{N1(c)} as {c}" for c in ["imo", "status"])
+    + f", try_cast({N1('timestamp')} as bigint) as ts from vessels_raw",
+    ["vessels_raw"],
+)
+_FLEET_COLS = ["mmsi", "ship_name", "ship_type", "flag", "length", "width", "draft", "beam", "imo", "status"]
+CTES["fleet"] = (
+    _latest("vessels_typed1", "mmsi", ["ts"] + _FLEET_COLS[1:], _FLEET_COLS),
+    ["vessels_typed1"],
+)
+
+ORACLE["port_statistics"] = sql("select * from port_stats", "port_stats")
+ORACLE["ports_by_country"] = sql(
+    "select country, count(port_id) as port_count from port_stats group by country order by port_count desc",
+    "port_stats",
+)
+ORACLE["regional_ports"] = sql(
+    f"""select region, count(port_id) as port_count, {R('avg(latitude)')} as avg_latitude,
+    {R('avg(longitude)')} as avg_longitude
+  from (select *, case when latitude > 60 then 'Northern Europe' when latitude > 50 then 'Central Europe'
+                      when latitude > 40 then 'Mediterranean' else 'Other' end as region from port_stats)
+  group by region order by port_count desc""",
+    "port_stats",
+)
+ORACLE["vessel_fleet"] = sql("select * from fleet", "fleet")
+ORACLE["vessels_by_type"] = sql(
+    "select ship_type, count(mmsi) as vessel_count from fleet group by ship_type order by vessel_count desc", "fleet"
+)
+ORACLE["vessels_by_flag"] = sql(
+    "select flag, count(mmsi) as vessel_count from fleet group by flag order by vessel_count desc", "fleet"
+)
+ORACLE["vessel_size_analysis"] = sql(
+    f"""select ship_type, {R('avg(length)')} as avg_length, {R('max(length)')} as max_length,
+    {R('avg(beam)')} as avg_beam, {R('avg(draft)')} as avg_draft, count(*) as vessel_count
+  from fleet where length is not null and beam is not null group by ship_type order by vessel_count desc""",
+    "fleet",
+)
+ORACLE["largest_vessels"] = sql(
+    """select ship_name, ship_type, flag, status, imo, length, beam from fleet where length is not null
+  order by length desc, imo asc limit 10""",
+    "fleet",
+)
+
+# ------------------------------------------------------------------ AIS and movements
+
+
+def _jnum(path: str) -> str:
+    return f"try_cast(json_extract_string(value, '{path}') as double)"
+
+
+CTES["ais_decoded"] = (
+    f"""select event_id, value,
+    json_extract_string(value, '$.MessageType') as message_type,
+    json_extract_string(value, '$.Message.MessageID') as message_id,
+    json_extract_string(value, '$.MetaData.MMSI') as mmsi,
+    json_extract_string(value, '$.MetaData.ShipName') as ship_name,
+    {_jnum('$.MetaData.latitude')} as latitude,
+    {_jnum('$.MetaData.longitude')} as longitude,
+    json_extract_string(value, '$.MetaData.time_utc') as time_utc,
+    try_cast(json_extract_string(value, '$.MetaData.time_utc') as timestamp) as event_time,
+    {_jnum('$.Message.PositionReport.Sog')} as speed_over_ground,
+    {_jnum('$.Message.PositionReport.Cog')} as course_over_ground,
+    {_jnum('$.Message.PositionReport.TrueHeading')} as heading
+  from ais_raw""",
+    ["ais_raw"],
+)
+CTES["positions"] = (
+    "select * from ais_decoded where message_type = 'PositionReport' "
+    "and coalesce(speed_over_ground, course_over_ground, heading) is not null",
+    ["ais_decoded"],
+)
+_POS = "mmsi, ship_name, latitude, longitude, speed_over_ground, course_over_ground, heading"
+
+ORACLE["ais_decode"] = sql(
+    "select event_id, message_type, message_id, mmsi, ship_name, latitude, longitude, time_utc, "
+    "speed_over_ground, course_over_ground, heading from ais_decoded",
+    "ais_decoded",
+)
+ORACLE["ais_positions"] = sql(f"select {_POS} from positions", "positions")
+ORACLE["ais_repr_positions"] = ORACLE["ais_positions"]
+ORACLE["recent_positions"] = sql(
+    f"""select {_POS}, time_utc from positions
+  where cast(floor(epoch(event_time)) as bigint) >=
+        (select max(cast(floor(epoch(event_time)) as bigint)) from positions) - 3600""",
+    "positions",
+)
+ORACLE["bbox_filter"] = sql(
+    f"select {_POS} from positions where latitude between 40.0 and 60.0 and longitude between -10.0 and 20.0",
+    "positions",
+)
+ORACLE["speed_stats"] = sql(
+    f"""select {R('avg(speed_over_ground)')} as avg_speed_kts, {R('max(speed_over_ground)')} as max_speed_kts,
+    {R('min(speed_over_ground)')} as min_speed_kts from positions""",
+    "positions",
+)
+ORACLE["vessel_speed_patterns"] = sql(
+    f"""select mmsi, {R('avg(speed_over_ground)')} as avg_speed_kts, {R('max(speed_over_ground)')} as max_speed_kts,
+    count(*) as position_reports
+  from positions group by mmsi order by avg_speed_kts desc nulls last, mmsi asc limit 20""",
+    "positions",
+)
+ORACLE["navigation_hotspots"] = sql(
+    f"""select {R('latitude', 1)} as lat_zone, {R('longitude', 1)} as lon_zone, count(*) as vessel_count,
+    {R('avg(speed_over_ground)')} as avg_speed
+  from positions group by lat_zone, lon_zone
+  order by vessel_count desc, lat_zone asc nulls first, lon_zone asc nulls first limit 20""",
+    "positions",
+)
+ORACLE["movement_status"] = sql(
+    """select movement_class, count(*) as position_reports, count(distinct mmsi) as unique_vessels
+  from (select *, case when speed_over_ground < 0.5 then 'Anchored/Stationary'
+                       when speed_over_ground < 5 then 'Slow Moving'
+                       when speed_over_ground < 15 then 'Normal Transit' else 'High Speed' end as movement_class
+        from positions)
+  group by movement_class order by position_reports desc""",
+    "positions",
+)
+ORACLE["message_type_counts"] = sql(
+    """select to_timestamp(floor(epoch(event_time) / 900) * 900)::timestamp as window_start,
+    to_timestamp(floor(epoch(event_time) / 900) * 900 + 900)::timestamp as window_end,
+    coalesce(message_type, 'Unknown') as message_type, count(*) as message_count
+  from ais_decoded group by all""",
+    "ais_decoded",
+)
+CTES["ais_classified"] = (
+    """select event_id, value, case
+      when value is null then 'no_value'
+      when not json_valid(value) then 'bad_json'
+      when json_extract(value, '$.error') is not null then 'error_frame'
+      when not (coalesce(json_type(value, '$.Message') = 'OBJECT', false)
+                and coalesce(json_type(value, '$.MetaData') = 'OBJECT', false)) then 'bad_structure'
+      else 'ok' end as reason
+  from ais_dirty""",
+    ["ais_dirty"],
+)
+ORACLE["ais_rejects"] = sql(
+    "select event_id, reason, value from ais_classified where reason <> 'ok'", "ais_classified"
+)
+ORACLE["ais_dedup"] = sql(
+    "select distinct value, json_extract_string(value, '$.MessageType') as message_type "
+    "from ais_classified where reason = 'ok'",
+    "ais_classified",
+)
+
+# ------------------------------------------------------------------ ingest transforms
+
+ORACLE["forecast_unnest"] = sql(
+    """select concat('P', cast(s_suppkey as varchar), '-', '1704067200', '-', cast(1704067200 + i * 3600 as varchar)) as id,
+    concat('P', cast(s_suppkey as varchar)) as port_id, s_name as port_name,
+    cast(1704067200 as bigint) as ref_time, cast(1704067200 + i * 3600 as bigint) as forecast_timestamp,
+    ((s_suppkey * 3 + i) % 50) / 10 as wave_height, ((s_suppkey * 5 + i) % 300) / 10 as sea_surface_temperature
+  from (select s_suppkey, s_name, unnest(range(72)) as i from supplier)"""
+)
+
+_RAW_FORECAST_COLS = [e.rsplit(" as ", 1)[1] for e in fx.FORECAST_RAW]
+ORACLE["forecast_upsert"] = sql(
+    _latest(
+        "forecast_raw", "id",
+        ["seq1", "seq2"] + [c for c in _RAW_FORECAST_COLS if c != "id"],
+        _RAW_FORECAST_COLS,
+    ),
+    "forecast_raw",
+)
+
+_PORT_CELLS = [
+    ("port_id", "info", "port_id"), ("port_name", "info", "name"), ("country", "info", "country"),
+    ("berths", "info", "berths"), ("un_locode", "info", "un_locode"), ("latitude", "info", "lat"),
+    ("longitude", "info", "long"), ("timestamp", "meta_data", "timestamp"),
+]
+CTES["cells"] = (
+    "select * from ("
+    + " union all ".join(
+        f"select port_id as row_key, '{fam}' as family, '{q}' as qualifier, {c} as value, "
+        "try_cast(timestamp as bigint) as cell_ts from ports_raw"
+        for c, fam, q in _PORT_CELLS
+    )
+    + ") where value is not null",
+    ["ports_raw"],
+)
+ORACLE["rows_to_cells"] = sql("select * from cells", "cells")
+ORACLE["cells_to_rows"] = sql(
+    "select row_key as id, "
+    + ", ".join(
+        f"max(case when family = '{fam}' and qualifier = '{q}' then value end) as {c}" for c, fam, q in _PORT_CELLS
+    )
+    + " from (select *, row_number() over (partition by row_key, family, qualifier "
+    "order by cell_ts desc nulls last, value desc) as rn from cells) where rn = 1 group by row_key",
+    "cells",
+)
+ORACLE["registry_explode"] = sql(
+    "select port_id, port_name, country, berths, un_locode, latitude, longitude from ports_raw "
+    "where timestamp = '1704067200'",
+    "ports_raw",
+)
+ORACLE["current_weather_rows"] = sql(
+    """select concat('P', cast(s_suppkey as varchar), '-', cast(1704067200 + (s_suppkey % 24) * 3600 as varchar)) as id,
+    concat('P', cast(s_suppkey as varchar)) as port_id, s_name as port_name,
+    cast(1704067200 + (s_suppkey % 24) * 3600 as bigint) as timestamp,
+    (s_suppkey % 50) / 10 as wave_height, (s_suppkey * 7 % 300) / 10 as sea_surface_temperature,
+    (s_suppkey % 80) / 40 as ocean_current_velocity
+  from supplier where s_suppkey % 53 <> 0"""
+)
+
+# ------------------------------------------------------------------ profiles
+
+ORACLE["load_profile"] = sql(
+    """select 'forecast_loaded' as stage, count(*) as row_count from forecast_raw
+  union all select 'forecast_latest_run', count(*) from forecast_latest
+  union all select 'ports_loaded', count(*) from ports_raw
+  union all select 'ports_unique', count(distinct port_id) from ports_raw
+  union all select 'vessels_loaded', count(*) from vessels_raw
+  union all select 'vessels_unique', count(distinct mmsi) from vessels_raw
+  union all select 'ais_loaded', count(*) from ais_decoded
+  union all select 'ais_position_reports', count(*) from ais_decoded where message_type = 'PositionReport'
+  union all select 'ais_valid_movements', count(*) from positions""",
+    "forecast_raw", "forecast_latest", "ports_raw", "vessels_raw", "ais_decoded", "positions",
+)

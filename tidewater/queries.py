@@ -11,8 +11,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.functions.clean import WEATHER_SENTINELS
-from tidewater.plans import weather
+from tidewater.functions.geo import parse_bbox
+from tidewater.operators import cells
+from tidewater.operators.dedup import upsert
+from tidewater.plans import fleet, movement, profiles, weather
 from tidewater.sources import fixtures as fx
+from tidewater.sources import payloads
+from tidewater.sources.catalog import PORTS
+from tidewater.streaming import ais
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,3 +99,187 @@ def regional_weather_comparison(spark, d):
 def null_profile(spark, d):
     text = weather.clean_forecast_text(weather.forecast_scan(fx.forecast_raw(spark, d)))
     return weather.null_profile(text, _ports(spark, d))
+
+
+# ------------------------------------------------------------------ ports and fleet
+
+def _port_stats(spark, d):
+    return fleet.port_statistics(fx.ports_raw(spark, d))
+
+
+def _fleet(spark, d):
+    return fleet.vessel_fleet(fx.vessels_raw(spark, d))
+
+
+@register("port_statistics")
+def port_statistics(spark, d):
+    return _port_stats(spark, d)
+
+
+@register("ports_by_country")
+def ports_by_country(spark, d):
+    return fleet.ports_by_country(_port_stats(spark, d))
+
+
+@register("regional_ports")
+def regional_ports(spark, d):
+    return fleet.regional_ports(_port_stats(spark, d))
+
+
+@register("vessel_fleet")
+def vessel_fleet(spark, d):
+    return _fleet(spark, d)
+
+
+@register("vessels_by_type")
+def vessels_by_type(spark, d):
+    return fleet.vessels_by_type(_fleet(spark, d))
+
+
+@register("vessels_by_flag")
+def vessels_by_flag(spark, d):
+    return fleet.vessels_by_flag(_fleet(spark, d))
+
+
+@register("vessel_size_analysis")
+def vessel_size_analysis(spark, d):
+    return fleet.vessel_size_analysis(_fleet(spark, d))
+
+
+@register("largest_vessels")
+def largest_vessels(spark, d):
+    return fleet.largest_vessels(_fleet(spark, d))
+
+
+# ------------------------------------------------------------------ AIS and movements
+
+# Fixed value: the example box used by the bbox query, in the fetchers'
+# [[[min_lon, max_lon], [min_lat, max_lat]]] form.
+BBOX_TEXT = "[[[-10.0, 20.0], [40.0, 60.0]]]"
+
+DECODED_COLS = ["event_id", "message_type", "message_id", "mmsi", "ship_name", "latitude", "longitude",
+                "time_utc", "speed_over_ground", "course_over_ground", "heading"]
+
+
+def _decoded(spark, d):
+    return ais.decode_ais(fx.ais_raw(spark, d))
+
+
+def _positions(spark, d):
+    return movement.positions(_decoded(spark, d))
+
+
+@register("ais_decode")
+def ais_decode(spark, d):
+    return _decoded(spark, d).select(*DECODED_COLS)
+
+
+@register("ais_positions")
+def ais_positions(spark, d):
+    return _positions(spark, d).select(*movement.POSITION_COLS)
+
+
+@register("ais_repr_positions")
+def ais_repr_positions(spark, d):
+    return movement.store_positions(fx.ais_store(spark, d)).select(*movement.POSITION_COLS)
+
+
+@register("recent_positions")
+def recent_positions(spark, d):
+    return movement.recent_positions(_positions(spark, d)).select(*movement.POSITION_COLS, "time_utc")
+
+
+@register("bbox_filter")
+def bbox_filter(spark, d):
+    box = parse_bbox(BBOX_TEXT)
+    return movement.bbox_positions(_positions(spark, d), box).select(*movement.POSITION_COLS)
+
+
+@register("speed_stats")
+def speed_stats(spark, d):
+    return movement.speed_stats(_positions(spark, d))
+
+
+@register("vessel_speed_patterns")
+def vessel_speed_patterns(spark, d):
+    return movement.vessel_speed_patterns(_positions(spark, d))
+
+
+@register("navigation_hotspots")
+def navigation_hotspots(spark, d):
+    return movement.navigation_hotspots(_positions(spark, d))
+
+
+@register("movement_status")
+def movement_status(spark, d):
+    return movement.movement_status(_positions(spark, d))
+
+
+@register("message_type_counts")
+def message_type_counts(spark, d):
+    return ais.type_counts(_decoded(spark, d))
+
+
+@register("ais_rejects")
+def ais_rejects(spark, d):
+    _, rejects = ais.route_invalid(fx.ais_dirty(spark, d))
+    return rejects.select("event_id", "reason", "value")
+
+
+@register("ais_dedup")
+def ais_dedup(spark, d):
+    good, _ = ais.route_invalid(fx.ais_dirty(spark, d))
+    return ais.dedupe_messages(good).select("value", "message_type")
+
+
+# ------------------------------------------------------------------ ingest transforms
+
+FORECAST_KEY = ["id"]
+FORECAST_ORDER = ["seq1", "seq2"]
+
+
+@register("forecast_unnest")
+def forecast_unnest(spark, d):
+    return payloads.explode_forecast(fx.forecast_payloads(spark, d))
+
+
+@register("forecast_upsert")
+def forecast_upsert(spark, d):
+    updates = fx.forecast_raw(spark, d)
+    empty_store = spark.createDataFrame([], updates.schema)
+    return upsert(empty_store, updates, FORECAST_KEY, FORECAST_ORDER)
+
+
+@register("rows_to_cells")
+def rows_to_cells(spark, d):
+    return fx.ports_cells(spark, d)
+
+
+@register("cells_to_rows")
+def cells_to_rows(spark, d):
+    return cells.cells_to_rows(fx.ports_cells(spark, d), PORTS)
+
+
+@register("registry_explode")
+def registry_explode(spark, d):
+    rows, _errors = payloads.explode_registry(fx.registry_payloads(spark, d), PORTS)
+    return rows
+
+
+@register("current_weather_rows")
+def current_weather_rows(spark, d):
+    fields = ("wave_height", "sea_surface_temperature", "ocean_current_velocity")
+    rows, _rejects = payloads.explode_current(fx.current_payloads(spark, d), fields)
+    return rows
+
+
+# ------------------------------------------------------------------ profiles
+
+@register("load_profile")
+def load_profile(spark, d):
+    return profiles.load_profile(
+        forecast=_forecast(spark, d),
+        ports=fx.ports_raw(spark, d),
+        vessels=fx.vessels_raw(spark, d),
+        decoded=_decoded(spark, d),
+    )

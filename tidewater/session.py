@@ -46,6 +46,7 @@ def get_session(
         builder = builder.master(master)
         # Local runs only: no web UI server, driver memory is the executor memory.
         builder = builder.config("spark.ui.enabled", "false")
+        builder = builder.config("spark.ui.showConsoleProgress", "false")
         builder = builder.config("spark.driver.memory", os.environ.get("TIDEWATER_DRIVER_MEMORY", "8g"))
     settings = dict(SQL_SETTINGS)
     if shuffle_partitions:

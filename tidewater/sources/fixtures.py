@@ -167,6 +167,28 @@ def ais_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.unionByName(replays).selectExpr(*AIS_DIRTY)
 
 
+def ais_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ais_messages as the store holds them: metadata cells as text and the
+    nested position report as the text of a Python dict (single quotes,
+    ``None``), which is what ``str(dict)`` wrote into the cell."""
+    raw = ais_raw(spark, sf_dir)
+    body = F.get_json_object("value", "$.Message.PositionReport")
+    as_repr = body
+    for pattern, replacement in (('"', "'"), (":", ": "), (",", ", "), (r"\bnull\b", "None")):
+        as_repr = F.regexp_replace(as_repr, pattern, replacement)
+    meta = lambda k: F.get_json_object("value", f"$.MetaData.{k}")
+    return raw.select(
+        "event_id",
+        meta("MMSI").alias("mmsi"),
+        meta("ShipName").alias("ship_name"),
+        meta("latitude").alias("latitude"),
+        meta("longitude").alias("longitude"),
+        F.get_json_object("value", "$.MessageType").alias("message_type"),
+        meta("time_utc").alias("time_utc"),
+        as_repr.alias("position_report"),
+    )
+
+
 def ports_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ports_raw as store cells with row key = port_id, so both snapshots land
     in the same row and the newest cell must win when read back."""
