@@ -55,8 +55,10 @@ def get_session(
     for key, value in settings.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
+    # A session that already existed keeps its core settings; runtime SQL
+    # settings still apply.
     for key, value in settings.items():
-        if not key.startswith("spark.driver") and key != "spark.ui.enabled":
+        if key.startswith("spark.sql."):
             spark.conf.set(key, value)
     return spark
 
