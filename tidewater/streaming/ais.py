@@ -64,32 +64,60 @@ REASONS = ("no_value", "bad_json", "error_frame", "bad_structure")
 OK = "ok"
 
 
+JSON_COL = "__json"
+
+
 def _text(df: DataFrame, value_col: str) -> Column:
     return F.col(value_col).cast("string")
 
 
+def with_json(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """Parse the message text once into a VARIANT column; classification,
+    decoding and keying all read that column instead of re-parsing the text.
+
+    The parse is produced by a one-row ``inline`` (a generator), not a plain
+    projection: a filter on anything derived from the document (reject reason,
+    message type) cannot be pushed below a generator's output, so Catalyst
+    cannot inline the parse into the filter once per reference. Without this
+    boundary the reject filter parsed every message four times.
+    """
+    if JSON_COL in df.columns:
+        return df
+    parsed = F.struct(*[F.col(c) for c in df.columns], F.try_parse_json(_text(df, value_col)).alias(JSON_COL))
+    return df.select(F.inline(F.array(parsed)))
+
+
+def _get(path: str, dtype: str) -> Column:
+    return F.try_variant_get(F.col(JSON_COL), path, dtype)
+
+
 def decode_ais(
     df: DataFrame, value_col: str = "value", drop_unavailable: bool = False, keep_value: bool = False
 ) -> DataFrame:
-    """T-1, P-9: JSON text -> typed columns with ``from_json`` in the JVM (one
-    parse per row; the reference re-parses a repr text three times in Python).
-    Other input columns (event id, Kafka metadata) pass through."""
-    env = F.from_json(_text(df, value_col), ENVELOPE_SCHEMA)
-    pos = env["Message"]["PositionReport"]
-    sog, cog, hdg = pos["Sog"], pos["Cog"], pos["TrueHeading"]
+    """T-1, P-9: message text -> typed columns, in the JVM, from one parse per
+    row (the reference re-parses a repr text three times in Python UDFs).
+    Other input columns (event id, Kafka metadata) pass through; a field of the
+    wrong type comes back null instead of failing the batch."""
+    parsed = with_json(df, value_col)
+    sog = _get("$.Message.PositionReport.Sog", "double")
+    cog = _get("$.Message.PositionReport.Cog", "double")
+    hdg = _get("$.Message.PositionReport.TrueHeading", "double")
     if drop_unavailable:
         sog = F.when(sog != SOG_UNAVAILABLE, sog)
         cog = F.when(cog < COG_UNAVAILABLE, cog)
         hdg = F.when(hdg != HEADING_UNAVAILABLE, hdg)
-    time_utc = env["MetaData"]["time_utc"]
-    return df.select(
-        *[c for c in df.columns if keep_value or c != value_col],
-        env["MessageType"].alias("message_type"),
-        env["Message"]["MessageID"].alias("message_id"),
-        env["MetaData"]["MMSI"].alias("mmsi"),
-        env["MetaData"]["ShipName"].alias("ship_name"),
-        env["MetaData"]["latitude"].alias("latitude"),
-        env["MetaData"]["longitude"].alias("longitude"),
+    time_utc = _get("$.MetaData.time_utc", "string")
+    passthrough = [c for c in parsed.columns if c != JSON_COL and (keep_value or c != value_col)]
+    if keep_value:
+        passthrough.append(JSON_COL)
+    return parsed.select(
+        *passthrough,
+        _get("$.MessageType", "string").alias("message_type"),
+        _get("$.Message.MessageID", "string").alias("message_id"),
+        _get("$.MetaData.MMSI", "string").alias("mmsi"),
+        _get("$.MetaData.ShipName", "string").alias("ship_name"),
+        _get("$.MetaData.latitude", "double").alias("latitude"),
+        _get("$.MetaData.longitude", "double").alias("longitude"),
         time_utc.alias("time_utc"),
         parse_ais_time(time_utc).alias("event_time"),
         sog.alias("speed_over_ground"),
@@ -98,34 +126,39 @@ def decode_ais(
     )
 
 
-def _is_object(j: Column, path: str) -> Column:
-    kind = F.schema_of_variant(F.variant_get(j, path, "variant"))
+def _is_object(path: str) -> Column:
+    kind = F.schema_of_variant(F.variant_get(F.col(JSON_COL), path, "variant"))
     return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
 
 
-def classify(df: DataFrame, value_col: str = "value") -> Column:
-    """T-2 / P-15: the reject reason of each record, or ``ok``.
-
-    null value -> no_value; unparseable -> bad_json; an ``error`` key (a feed
-    error frame) -> error_frame; ``Message`` or ``MetaData`` not a JSON object
-    -> bad_structure.
-    """
-    text = _text(df, value_col)
-    j = F.try_parse_json(text)
+def _reason(value_col: str) -> Column:
+    text = F.col(value_col)
     return (
         F.when(text.isNull(), "no_value")
-        .when(j.isNull(), "bad_json")
-        .when(F.variant_get(j, "$.error", "variant").isNotNull(), "error_frame")
-        .when(~(_is_object(j, "$.Message") & _is_object(j, "$.MetaData")), "bad_structure")
+        .when(F.col(JSON_COL).isNull(), "bad_json")
+        .when(F.variant_get(F.col(JSON_COL), "$.error", "variant").isNotNull(), "error_frame")
+        .when(~(_is_object("$.Message") & _is_object("$.MetaData")), "bad_structure")
         .otherwise(OK)
     )
 
 
+def classify(df: DataFrame, value_col: str = "value") -> DataFrame:
+    """T-2 / P-15: add ``reason``: the reject reason of each record, or ``ok``.
+
+    null value -> no_value; unparseable -> bad_json; an ``error`` key (a feed
+    error frame) -> error_frame; ``Message`` or ``MetaData`` not a JSON object
+    -> bad_structure. The parsed VARIANT column is kept for the next steps.
+    """
+    return with_json(df, value_col).withColumn("reason", _reason(value_col))
+
+
 def route_invalid(df: DataFrame, value_col: str = "value") -> tuple[DataFrame, DataFrame]:
     """Split into (good, rejects); rejects carry a ``reason`` column. Both come
     from one classified frame, so a caller that persists it reads the input once."""
-    tagged = df.withColumn("reason", classify(df, value_col))
-    return tagged.filter(F.col("reason") == OK).drop("reason"), tagged.filter(F.col("reason") != OK)
+    tagged = classify(df, value_col)
+    good = tagged.filter(F.col("reason") == OK).drop("reason")
+    rejects = tagged.filter(F.col("reason") != OK).drop(JSON_COL)
+    return good, rejects
 
 
 def message_key(df: DataFrame, value_col: str = "value", id_col: str = "message_id") -> Column:
@@ -134,8 +167,8 @@ def message_key(df: DataFrame, value_col: str = "value", id_col: str = "message_
     Canonical JSON = the parsed document re-serialised with sorted keys, so a
     re-delivered message gets the same key however it was re-encoded, and no
     wall clock enters the key. MessageID alone is not unique in AIS."""
-    canonical = F.to_json(F.try_parse_json(_text(df, value_col)))
-    return F.concat_ws("-", F.coalesce(F.col(id_col), F.lit("unknown")), F.sha2(canonical, 256))
+    parsed = F.col(JSON_COL) if JSON_COL in df.columns else F.try_parse_json(_text(df, value_col))
+    return F.concat_ws("-", F.coalesce(F.col(id_col), F.lit("unknown")), F.sha2(F.to_json(parsed), 256))
 
 
 def dedupe_messages(good: DataFrame, value_col: str = "value", watermark: str | None = None) -> DataFrame:
@@ -143,7 +176,7 @@ def dedupe_messages(good: DataFrame, value_col: str = "value", watermark: str |
     (replays collapse on the map side). Stream: with ``watermark``, state for a
     key is dropped once the watermark passes, so state stays bounded."""
     decoded = decode_ais(good, value_col, keep_value=True)
-    keyed = decoded.withColumn("message_key", message_key(decoded, value_col))
+    keyed = decoded.withColumn("message_key", message_key(decoded, value_col)).drop(JSON_COL)
     if watermark:
         return keyed.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["message_key"])
     return keyed.dropDuplicates(["message_key"])

@@ -29,7 +29,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType, Tim
 
 from tidewater.session import checkpoint_root
 from tidewater.sinks import write_upsert_batch
-from tidewater.streaming.ais import OK, classify, decode_ais, dedupe_messages, type_counts
+from tidewater.streaming.ais import JSON_COL, OK, classify, decode_ais, dedupe_messages, type_counts
 
 # The reference consumer's per-run bound on messages.
 MAX_MESSAGES_PER_TRIGGER = 10_000
@@ -82,7 +82,7 @@ def write_ais_batch(
     batch: DataFrame, batch_id: int, store_path: str, rejects_path: str | None, fail_on_invalid: bool = False
 ) -> None:
     """One micro-batch of the ingest (also usable on a static frame)."""
-    tagged = batch.withColumn("reason", classify(batch)).persist()
+    tagged = classify(batch).persist()
     try:
         if fail_on_invalid and tagged.filter(F.col("reason") == "bad_structure").limit(1).count():
             raise ValueError("Invalid message structure: expected Message and MetaData objects")
@@ -90,7 +90,7 @@ def write_ais_batch(
         messages = dedupe_messages(good).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
         write_upsert_batch(messages, store_path, batch_id)
         if rejects_path:
-            write_upsert_batch(tagged.filter(F.col("reason") != OK), rejects_path, batch_id)
+            write_upsert_batch(tagged.filter(F.col("reason") != OK).drop(JSON_COL), rejects_path, batch_id)
     finally:
         tagged.unpersist()
 
@@ -133,7 +133,7 @@ def type_count_stream(
     windows each trigger (tests). With ``path`` the counts go to Parquet,
     otherwise to an in-memory table named ``query_name``."""
     spark = stream.sparkSession
-    good = stream.filter(classify(stream) == OK)
+    good = classify(stream).filter(F.col("reason") == OK).drop("reason")
     counts = type_counts(decode_ais(good), window=window, watermark=watermark)
     writer = counts.writeStream.outputMode(output_mode)
     if path:
