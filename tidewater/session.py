@@ -27,6 +27,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
     "spark.sql.parquet.filterPushdown": "true",
+    # Python call-site capture for error messages costs extra JVM round trips
+    # on every column function while a plan is built; off for jobs.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -29,6 +29,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return read_spread(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLE_KEYS.get(name))
 
 
+_SCAN_INFO: dict[tuple[str, str], tuple] = {}
+
+
+def _scan_info(app_id: str, path: str, spark: SparkSession):
+    """Schema and split count of a read-only input, looked up once per
+    application (each lookup is a footer-reading job plus split planning)."""
+    key = (app_id, path)
+    if key not in _SCAN_INFO:
+        df = spark.read.parquet(path)
+        _SCAN_INFO[key] = (df.schema, df.rdd.getNumPartitions())
+    return _SCAN_INFO[key]
+
+
 def read_spread(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
     """Read Parquet; if the file arrives in fewer splits than the session has
     cores (one file written as a single row group), hash-spread it on ``key``
@@ -38,15 +51,12 @@ def read_spread(spark: SparkSession, path: str, key: str | None = None) -> DataF
     extra shuffle at scale. Hash partitioning (not round-robin) keeps task
     retries deterministic after an executor loss without a pre-sort.
     """
-    df = spark.read.parquet(path)
+    schema, splits = _scan_info(spark.sparkContext.applicationId, path, spark)
+    df = spark.read.schema(schema).parquet(path)
     cores = spark.sparkContext.defaultParallelism
-    if key is None or df.rdd.getNumPartitions() >= cores:
+    if key is None or splits >= cores:
         return df
-    spread = df.repartition(cores, key)
-    # A one-row generator after the exchange keeps later filters above it:
-    # otherwise Catalyst pushes them (and the derived columns they test) back
-    # below the exchange, into the single scan task.
-    return spread.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    return df.repartition(cores, key)
 
 
 # --------------------------------------------------------------------------
