@@ -1,8 +1,7 @@
 """Vessel movement reports over AIS position reports (P-9, P-13, P-14, A-8 ... A-11).
 
-Position fields come out of the message with ``from_json`` (JVM, one parse per
-row), so the plan has no Python evaluation node and Catalyst prunes the JSON
-schema to the fields a report uses. No row limit: every position report is
+Position fields come out of the message in the JVM (one parse per row, see
+``operators.once``), so the plan has no Python evaluation node. No row limit: every position report is
 analysed (the reference's unordered 500-row test throttle is not kept).
 """
 
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 from tidewater.functions.clean import parse_repr, round_half_up
 from tidewater.functions.geo import BBox, grid_cell, movement_class, within_bbox
 from tidewater.operators.filters import recent
+from tidewater.operators.once import with_column_once
 from tidewater.streaming.ais import (
     COG_UNAVAILABLE,
     HEADING_UNAVAILABLE,
@@ -39,13 +39,14 @@ def positions(decoded: DataFrame, message_type: str = "PositionReport") -> DataF
 def store_positions(store: DataFrame, drop_unavailable: bool = False) -> DataFrame:
     """Positions from the message store, where the nested report is kept as
     Python-repr text (P-10, X-1 ... X-3 without UDFs)."""
-    rep = parse_repr(F.col("position_report"), POSITION_SCHEMA)
+    parsed = with_column_once(store, "__report", parse_repr(F.col("position_report"), POSITION_SCHEMA))
+    rep = F.col("__report")
     sog, cog, hdg = rep["Sog"], rep["Cog"], rep["TrueHeading"]
     if drop_unavailable:
         sog = F.when(sog != SOG_UNAVAILABLE, sog)
         cog = F.when(cog < COG_UNAVAILABLE, cog)
         hdg = F.when(hdg != HEADING_UNAVAILABLE, hdg)
-    typed = store.select(
+    typed = parsed.select(
         "mmsi", "ship_name",
         F.col("latitude").try_cast("double").alias("latitude"),
         F.col("longitude").try_cast("double").alias("longitude"),

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from tidewater.functions.clean import parse_ais_time
+from tidewater.operators.once import with_column_once
 
 POSITION_SCHEMA = StructType(
     [
@@ -73,18 +74,13 @@ def _text(df: DataFrame, value_col: str) -> Column:
 
 def with_json(df: DataFrame, value_col: str = "value") -> DataFrame:
     """Parse the message text once into a VARIANT column; classification,
-    decoding and keying all read that column instead of re-parsing the text.
-
-    The parse is produced by a one-row ``inline`` (a generator), not a plain
-    projection: a filter on anything derived from the document (reject reason,
-    message type) cannot be pushed below a generator's output, so Catalyst
-    cannot inline the parse into the filter once per reference. Without this
-    boundary the reject filter parsed every message four times.
+    decoding and keying all read that column. The parse is pinned to one
+    evaluation per row (``with_column_once``): without that, the reject filter
+    inlined the parse once per reference and parsed every message four times.
     """
     if JSON_COL in df.columns:
         return df
-    parsed = F.struct(*[F.col(c) for c in df.columns], F.try_parse_json(_text(df, value_col)).alias(JSON_COL))
-    return df.select(F.inline(F.array(parsed)))
+    return with_column_once(df, JSON_COL, F.try_parse_json(_text(df, value_col)))
 
 
 def _get(path: str, dtype: str) -> Column:
