@@ -62,3 +62,10 @@ def test_top_k_is_take_ordered(spark):
 def test_latest_per_key_is_partial_aggregate(spark):
     plan = QUERIES["forecast_upsert"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "partial_max" in plan and "Window" not in plan
+
+
+def test_small_port_side_is_broadcast_by_size(spark):
+    """No broadcast hint on the ports side: the planner broadcasts it because its
+    size is under the session threshold (a shuffled join takes over above it)."""
+    plan = QUERIES["storm_detection"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "broadcast" in plan.lower()

@@ -77,6 +77,14 @@ def parse_ais_time(c: str | Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+# Python literal -> JSON literal, matched only in value position.
+PY_LITERALS = (("True", "true"), ("False", "false"), ("None", "null"))
+
+
+def py_literal_pattern(literal: str) -> str:
+    return rf"(?<=[:,\[]\s{{0,8}}){literal}(?=\s*[,}}\]])"
+
+
 def parse_repr(c: str | Column, schema) -> Column:
     """Python-repr dict text (single quotes, True/False/None) -> struct.
 
@@ -85,6 +93,6 @@ def parse_repr(c: str | Column, schema) -> Column:
     rewriting. Values inside quoted strings are left alone.
     """
     text = _col(c)
-    for literal, json_literal in (("True", "true"), ("False", "false"), ("None", "null")):
-        text = F.regexp_replace(text, rf"(?<=[:,\[]\s{{0,8}}){literal}(?=\s*[,}}\]])", json_literal)
+    for literal, json_literal in PY_LITERALS:
+        text = F.regexp_replace(text, py_literal_pattern(literal), json_literal)
     return F.from_json(text, schema)
