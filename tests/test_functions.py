@@ -105,3 +105,19 @@ def test_bbox_parse_and_edges(spark):
         [(40.0, -10.0), (60.0, 20.0), (39.99, 0.0), (50.0, 20.01), (None, 0.0)], "latitude double, longitude double"
     )
     assert within_bbox(df, box).count() == 2
+
+
+def test_registry_rows_get_fetch_time_and_snapshot_key(spark):
+    from tidewater.sources.catalog import PORTS
+    from tidewater.sources.payloads import explode_registry
+
+    payloads = spark.createDataFrame(
+        [('{"error": null, "data": [{"port_id": "P1", "name": "Harbor", "lat": 1.5}]}',), ('{"error": "quota"}',)],
+        "payload string",
+    )
+    rows, errors = explode_registry(payloads, PORTS, fetched_at=1704067200)
+    row = rows.collect()[0]
+    assert (row.id, row.port_id, row.port_name, row.latitude, row.timestamp) == (
+        "P1-1704067200000", "P1", "Harbor", "1.5", "1704067200",
+    )
+    assert [r.error for r in errors.collect()] == ["quota"]

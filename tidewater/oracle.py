@@ -417,6 +417,11 @@ ORACLE["registry_explode"] = sql(
     "where timestamp = '1704067200'",
     "ports_raw",
 )
+ORACLE["vessel_registry_explode"] = sql(
+    "select mmsi, ship_name, ship_type, flag, length, width, draft, beam, imo, status from vessels_raw "
+    "where timestamp = '1704067200'",
+    "vessels_raw",
+)
 ORACLE["current_weather_rows"] = sql(
     """select concat('P', cast(s_suppkey as varchar), '-', cast(1704067200 + (s_suppkey % 24) * 3600 as varchar)) as id,
     concat('P', cast(s_suppkey as varchar)) as port_id, s_name as port_name,

@@ -17,7 +17,7 @@ from tidewater.operators.dedup import upsert
 from tidewater.plans import fleet, movement, profiles, weather
 from tidewater.sources import fixtures as fx
 from tidewater.sources import payloads
-from tidewater.sources.catalog import PORTS
+from tidewater.sources.catalog import PORTS, VESSELS
 from tidewater.streaming import ais
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -266,6 +266,15 @@ def registry_explode(spark, d):
     return rows
 
 
+VESSEL_REGISTRY_COLS = ["mmsi", "ship_name", "ship_type", "flag", "length", "width", "draft", "beam", "imo", "status"]
+
+
+@register("vessel_registry_explode")
+def vessel_registry_explode(spark, d):
+    rows, _errors = payloads.explode_registry(fx.vessel_registry_payloads(spark, d), VESSELS)
+    return rows.select(*VESSEL_REGISTRY_COLS)
+
+
 @register("current_weather_rows")
 def current_weather_rows(spark, d):
     fields = ("wave_height", "sea_surface_temperature", "ocean_current_velocity")

@@ -266,26 +266,35 @@ def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def registry_payloads(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
-    """Registry API responses as JSON text: ``{"error": null, "data": [...]}``.
-
-    Snapshot 0 of ``ports_raw``, one response per (country, page). Pages hold at
-    most ``page_size`` consecutive port ids, so no response grows with the data.
-    """
-    ports = ports_raw(spark, sf_dir).filter("timestamp = '1704067200'")
-    page = (F.substring(F.col("port_id"), 2, 100).cast("bigint") / page_size).cast("bigint")
+def _registry_pages(rows: DataFrame, catalog, key: str, page_size: int) -> DataFrame:
+    """Registry API responses as JSON text: ``{"error": null, "data": [...]}``,
+    items keyed by the catalog's ``info`` qualifiers. One response per page of
+    at most ``page_size`` consecutive ids, so no response grows with the data."""
     item = F.struct(
-        F.col("port_id"),
-        F.col("port_name").alias("name"),
-        "country", "berths", "un_locode",
-        F.col("latitude").alias("lat"),
-        F.col("longitude").alias("long"),
+        *[F.col(c).alias(qual) for c, (fam, qual) in catalog.columns.items() if fam == "info" and c in rows.columns]
     )
-    pages = ports.groupBy("country", page.alias("page")).agg(F.collect_list(item).alias("data"))
+    page = F.floor(F.regexp_extract(F.col(key), r"(\d+)$", 1).cast("bigint") / page_size)
+    pages = rows.groupBy(page.alias("page")).agg(F.collect_list(item).alias("data"))
     body = F.struct(F.lit(None).cast("string").alias("error"), F.col("data"))
     return pages.select(F.to_json(body).alias("payload"))
 
 
+def registry_payloads(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """Port registry responses: snapshot 0 of ``ports_raw``."""
+    from tidewater.sources.catalog import PORTS
+
+    ports = ports_raw(spark, sf_dir).filter(f"timestamp = '{FORECAST_T0}'")
+    return _registry_pages(ports, PORTS, "port_id", page_size)
+
+
+def vessel_registry_payloads(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
+    """Vessel registry responses: snapshot 0 of ``vessels_raw``."""
+    from tidewater.sources.catalog import VESSELS
+
+    vessels = vessels_raw(spark, sf_dir).filter(f"timestamp = '{FORECAST_T0}'")
+    return _registry_pages(vessels, VESSELS, "mmsi", page_size)
+
+
 def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Current-weather responses per supplier-port as JSON text. Every 53rd
     supplier's fetch failed and landed without a ``current`` block."""

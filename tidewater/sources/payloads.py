@@ -3,7 +3,8 @@
 The fetchers receive JSON documents (registry pages, hourly forecast arrays,
 current conditions). Here the landed documents are read with an explicit
 schema and unnested with ``explode`` / ``posexplode``: one Spark task per input
-split, no per-record Python, no driver loop.
+split, no per-record Python, no driver loop. Each document is parsed once per
+row (``operators.once``), though both the error split and the unnesting read it.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql.types import (
     StructType,
 )
 
+from tidewater.operators.once import with_column_once
 from tidewater.sources.catalog import PORTS, WEATHER_FIELDS, Catalog
 
 REGISTRY_SCHEMA = StructType(
@@ -51,15 +53,24 @@ def read_json_payloads(spark: SparkSession, path: str) -> DataFrame:
 
 
 def explode_registry(
-    payloads: DataFrame, catalog: Catalog = PORTS, family: str = "info", payload_col: str = "payload"
+    payloads: DataFrame,
+    catalog: Catalog = PORTS,
+    family: str = "info",
+    payload_col: str = "payload",
+    key_col: str | None = None,
+    fetched_at: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """S-8 / S-9 / P-15: registry responses -> (rows, errors).
 
     Each item becomes one row; its keys are the ``info`` qualifiers, mapped to
     column names by the catalog. Responses with an ``error`` go to ``errors``
-    (a batch load should fail if that frame is not empty)."""
+    (a batch load should fail if that frame is not empty).
+
+    P-12: with ``fetched_at`` (epoch seconds of the load, a job-time literal,
+    never a per-row clock) each row also gets ``timestamp`` and the snapshot row
+    key ``{key}-{fetched_at in ms}`` in ``id``, as the registry store expects."""
     doc = F.from_json(F.col(payload_col), REGISTRY_SCHEMA)
-    parsed = payloads.select(doc.alias("doc"))
+    parsed = with_column_once(payloads.select(payload_col), "doc", doc).select("doc")
     errors = parsed.filter(F.col("doc.error").isNotNull()).select(F.col("doc.error").alias("error"))
     items = parsed.filter(F.col("doc.error").isNull()).select(F.explode("doc.data").alias("item"))
     cols = [
@@ -67,7 +78,15 @@ def explode_registry(
         for name, (fam, qual) in catalog.columns.items()
         if fam == family
     ]
-    return items.select(*cols), errors
+    rows = items.select(*cols)
+    if fetched_at is not None:
+        key = key_col or next(c for c, (fam, _) in catalog.columns.items() if fam == family)
+        rows = rows.select(
+            F.concat_ws("-", F.col(key), F.lit(str(int(fetched_at) * 1000))).alias(catalog.rowkey),
+            *rows.columns,
+            F.lit(str(int(fetched_at))).alias("timestamp"),
+        )
+    return rows, errors
 
 
 def explode_forecast(payloads: DataFrame, hourly_col: str = "hourly") -> DataFrame:
@@ -111,7 +130,7 @@ def explode_current(
     time) goes to ``rejects`` and the rest load, as the reference skips a failed
     port and continues."""
     doc = F.from_json(F.col(payload_col), current_schema(fields))
-    parsed = payloads.select(F.col(payload_col), doc.alias("doc"))
+    parsed = with_column_once(payloads.select(payload_col), "doc", doc)
     good = F.col("doc.current.time").isNotNull() & F.col("doc.port_id").isNotNull()
     rows = parsed.filter(good).select(
         F.concat_ws("-", F.col("doc.port_id"), F.col("doc.current.time").cast("string")).alias("id"),
