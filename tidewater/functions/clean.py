@@ -66,8 +66,12 @@ def round_half_up(c: str | Column, digits: int = 2) -> Column:
 
 
 def epoch_to_time(c: str | Column) -> Column:
-    """Epoch seconds (text or number) -> 'yyyy-MM-dd HH:mm:ss' text in the session zone."""
-    return F.from_unixtime(_col(c).try_cast("bigint"))
+    """Epoch seconds (text or number) -> UTC 'yyyy-MM-dd HH:mm:ss' text.
+
+    Computed on a zone-less timestamp (epoch + n seconds), so the text does not
+    depend on the session time zone (``from_unixtime`` would format in it)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.date_format(F.timestamp_add("SECOND", _col(c).try_cast("bigint"), epoch), "yyyy-MM-dd HH:mm:ss")
 
 
 def parse_ais_time(c: str | Column) -> Column:

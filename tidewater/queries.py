@@ -25,9 +25,18 @@ QUERIES: dict[str, Query] = {}
 
 
 def register(name: str):
+    """Register a query. Times in the store are UTC; the query pins the session
+    zone to UTC so results do not depend on the caller's session settings."""
+
     def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        return fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        run.__name__ = run.__qualname__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        return run
 
     return deco
 
