@@ -121,3 +121,21 @@ def test_registry_rows_get_fetch_time_and_snapshot_key(spark):
         "P1-1704067200000", "P1", "Harbor", "1.5", "1704067200",
     )
     assert [r.error for r in errors.collect()] == ["quota"]
+
+
+from decimal import ROUND_HALF_UP, Decimal  # noqa: E402
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.integers(-10_000_000, 10_000_000), min_size=1, max_size=40))
+def test_rounding_matches_decimal_half_up(spark, thousandths):
+    """Values with three decimals (ties at .xx5 included) round like exact
+    decimal half-up rounding of their shortest text."""
+    values = [t / 1000 for t in thousandths]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
+    want = [float(Decimal(repr(v)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for v in values]
+    assert got == want

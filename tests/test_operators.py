@@ -88,3 +88,21 @@ def test_profiles_single_pass(spark):
     assert {r.column_name: r.null_count for r in null_counts(df).collect()} == {"a": 2, "b": 2}
     out = stage_counts(df, {"loaded": F.count("*"), "with_a": F.count_if(F.col("a").isNotNull())})
     assert {r.stage: r.row_count for r in out.collect()} == {"loaded": 3, "with_a": 1}
+
+
+def test_upsert_store_missing_target_then_replayed_batches(spark, scratch):
+    import os
+    import uuid
+
+    from tidewater.sinks import read_upserted, write_upsert_batch
+
+    path = os.path.join(scratch, f"store-{uuid.uuid4().hex}")
+    schema = "k string, v int, s string"
+    assert read_upserted(spark, path, ["k"], ["v"], schema=schema).count() == 0  # K-3: nothing written yet
+    b0 = spark.createDataFrame([("a", 1, "x"), ("b", 1, "y")], schema)
+    b1 = spark.createDataFrame([("a", 2, "z")], schema)
+    write_upsert_batch(b0, path, 0)
+    write_upsert_batch(b1, path, 1)
+    write_upsert_batch(b1, path, 1)  # replay of batch 1 rewrites its own directory
+    got = sorted(map(tuple, read_upserted(spark, path, ["k"], ["v"]).collect()))
+    assert got == [("a", 2, "z"), ("b", 1, "y")]

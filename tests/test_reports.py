@@ -119,3 +119,19 @@ def test_largest_vessels_tie_break_by_imo(spark):
     out = fleet.largest_vessels(fleet.vessel_fleet(spark.createDataFrame(rows, schema))).collect()
     assert len(out) == 10 and [r.imo for r in out] == sorted(r.imo for r in out)
     assert "1" not in {r.imo for r in out}  # null length excluded
+
+
+def test_bands_partition_all_rows(spark):
+    from tidewater.plans import movement
+    from tidewater.queries import QUERIES
+    from tidewater.sources import fixtures as fx
+    from tidewater.streaming.ais import decode_ais
+
+    from .conftest import SF_SMALL
+
+    stats = fleet.port_statistics(fx.ports_raw(spark, SF_SMALL))
+    regions = fleet.regional_ports(stats).agg({"port_count": "sum"}).collect()[0][0]
+    assert regions == stats.count()
+    pos = movement.positions(decode_ais(fx.ais_raw(spark, SF_SMALL)))
+    classes = movement.movement_status(pos).agg({"position_reports": "sum"}).collect()[0][0]
+    assert classes == pos.count() == QUERIES["ais_positions"](spark, SF_SMALL).count()

@@ -14,7 +14,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidewater.operators.dedup import latest_by_key
 
@@ -36,11 +38,23 @@ def write_upsert_batch(df: DataFrame, path: str, batch_id: int) -> str:
 
 
 def read_upserted(
-    spark: SparkSession, path: str, keys: Sequence[str], order_by: Sequence[str | Column] = ()
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str],
+    order_by: Sequence[str | Column] = (),
+    schema: StructType | str | None = None,
 ) -> DataFrame:
     """K-2 read side: newest version per key across all batches. ``order_by``
-    decides which write is newest; the batch id breaks remaining ties."""
-    df = spark.read.parquet(path)
+    decides which write is newest; the batch id breaks remaining ties.
+
+    K-3: a target that has never been written is an empty table of ``schema``
+    (when given) rather than an error, so the first upsert needs no setup."""
+    try:
+        df = spark.read.parquet(path)
+    except AnalysisException as exc:
+        if schema is None or "PATH_NOT_FOUND" not in str(exc):
+            raise
+        return spark.createDataFrame([], schema)
     return latest_by_key(df, keys, [*order_by, F.col(BATCH_COL)]).drop(BATCH_COL)
 
 
