@@ -58,3 +58,26 @@ def test_sql_extractors_match_dataframe_path(spark):
     assert sorted(map(tuple, via_sql.collect()), key=str) == sorted(map(tuple, via_df.collect()), key=str)
     plan = via_sql._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_cli_runs_jobs_on_landed_tables(spark, scratch):
+    from tidewater import cli
+
+    run = os.path.join(scratch, f"cli-{uuid.uuid4().hex}")
+    fx.forecast_raw(spark, SF_SMALL).write.parquet(os.path.join(run, "forecast"))
+    fx.ports_raw(spark, SF_SMALL).write.parquet(os.path.join(run, "ports"))
+    fx.vessels_raw(spark, SF_SMALL).write.parquet(os.path.join(run, "vessels"))
+    fx.ais_raw(spark, SF_SMALL).write.parquet(os.path.join(run, "messages"))
+    fx.ais_dirty(spark, SF_SMALL).select("event_id", "ts", "value").write.json(os.path.join(run, "landed"))
+
+    weather = cli.main(["weather", "--forecast", f"{run}/forecast", "--ports", f"{run}/ports", "--out", f"{run}/w"])
+    assert _same_rows(spark, weather["hazardous_ports"], QUERIES["hazardous_ports"](spark, SF_SMALL))
+    fleet = cli.main(["fleet", "--ports", f"{run}/ports", "--vessels", f"{run}/vessels", "--out", f"{run}/f"])
+    assert _same_rows(spark, fleet["vessels_by_flag"], QUERIES["vessels_by_flag"](spark, SF_SMALL))
+    moves = cli.main(["movement", "--messages", f"{run}/messages", "--out", f"{run}/m"])
+    assert _same_rows(spark, moves["movement_status"], QUERIES["movement_status"](spark, SF_SMALL))
+    cli.main(["ingest-ais", "--files", f"{run}/landed", "--store", f"{run}/store", "--rejects", f"{run}/rej",
+              "--checkpoint", f"{run}/chk"])
+    from tidewater.sinks import read_upserted
+
+    assert read_upserted(spark, f"{run}/store", ["message_key"]).count() == QUERIES["ais_dedup"](spark, SF_SMALL).count()
