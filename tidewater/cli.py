@@ -1,10 +1,10 @@
 """Command-line entry for the jobs, for ``spark-submit`` or a scheduler.
 
-    spark-submit -m tidewater.cli weather  --forecast F --ports P --out DIR
-    spark-submit -m tidewater.cli fleet    --ports P --vessels V --out DIR
-    spark-submit -m tidewater.cli movement --messages M --out DIR
-    spark-submit -m tidewater.cli ingest-ais  (--files DIR | --kafka HOSTS --topic T) --store S [--rejects R]
-    spark-submit -m tidewater.cli type-counts (--files DIR | --kafka HOSTS --topic T) --out DIR [--watermark W]
+    spark-submit --py-files tidewater.zip tidewater/cli.py weather  --forecast F --ports P --out DIR
+    ... fleet       --ports P --vessels V --out DIR
+    ... movement    --messages M --out DIR
+    ... ingest-ais  (--files DIR | --kafka HOSTS --topic T) --store S [--rejects R]
+    ... type-counts (--files DIR | --kafka HOSTS --topic T) --out DIR [--watermark W]
 
 Store tables are Parquet with the catalog's column names (all text). Message
 inputs are Parquet or JSON lines (``json:<path>``) with a ``value`` text column. Stream
