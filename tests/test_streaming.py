@@ -92,3 +92,30 @@ def test_append_mode_emits_closed_windows_with_final_counts(spark, scratch):
     batch = {tuple(r) for r in type_counts(decode_ais(fx.ais_raw(spark, SF_SMALL))).collect()}
     assert emitted and emitted <= batch  # every emitted count is final
     assert len(emitted) >= 0.9 * len(batch)  # only windows within the watermark stay open
+
+
+def test_stream_dedupe_within_watermark(spark, scratch):
+    """Replayed messages (same key) inside the watermark collapse to one row;
+    state for a key is dropped once the watermark passes it."""
+    from tidewater.streaming.ais import dedupe_messages, route_invalid
+
+    run = os.path.join(scratch, f"dedupe-{uuid.uuid4().hex}")
+    landed = os.path.join(run, "in")
+    dirty = fx.ais_dirty(spark, SF_SMALL)
+    week = F.floor((F.dayofmonth("ts") - 1) / 8)
+    for w in range(4):
+        dirty.filter(week == w).coalesce(1).write.mode("append").json(landed)
+    good, _ = route_invalid(read_files(spark, landed, max_files_per_trigger=1))
+    q = (
+        dedupe_messages(good, watermark="1 hour")
+        .select("message_key", "value")
+        .writeStream.format("memory").queryName("dedupe_test")
+        .option("checkpointLocation", os.path.join(run, "chk"))
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination(300)
+    got = spark.table("dedupe_test")
+    assert got.count() == got.select("message_key").distinct().count()
+    good_batch, _ = route_invalid(dirty)
+    assert got.count() == good_batch.select("value").distinct().count()
