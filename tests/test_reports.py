@@ -135,3 +135,16 @@ def test_bands_partition_all_rows(spark):
     pos = movement.positions(decode_ais(fx.ais_raw(spark, SF_SMALL)))
     classes = movement.movement_status(pos).agg({"position_reports": "sum"}).collect()[0][0]
     assert classes == pos.count() == QUERIES["ais_positions"](spark, SF_SMALL).count()
+
+
+def test_circular_direction_mean_is_optional(spark, two_ports):
+    data = [
+        (f"P1-10-{i}", "P1", "50.0", "1.0", "10", str(i), "1.0", "0.5", "12.5", "1.0", "0.5", d, d)
+        for i, d in enumerate(["350", "10"])
+    ]
+    cols = FORECAST_COLS + ["wind_wave_direction", "ocean_current_direction"]
+    f = weather.prepare_forecast(spark.createDataFrame(data, ", ".join(f"{c} string" for c in cols)))
+    plain = weather.weather_port_summary(f, two_ports).collect()[0]
+    assert plain.avg_wind_direction == 180.0 and "circ_wind_direction" not in plain.asDict()
+    circ = weather.weather_port_summary(f, two_ports, circular=True).collect()[0]
+    assert circ.circ_wind_direction == 0.0 and circ.circ_current_direction == 0.0

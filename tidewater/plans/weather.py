@@ -83,8 +83,18 @@ def _port_names(ports: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- reports
 
-def weather_port_summary(forecast: DataFrame, ports: DataFrame) -> DataFrame:
-    """A-12: per port and stored coordinates, 13 rounded measures + row count."""
+def weather_port_summary(forecast: DataFrame, ports: DataFrame, circular: bool = False) -> DataFrame:
+    """A-12: per port and stored coordinates, 13 rounded measures + row count.
+    ``circular=True`` adds circular means of the two direction columns
+    (``circ_wind_direction``, ``circ_current_direction``) next to the
+    reference's arithmetic ones."""
+    extra = []
+    if circular:
+        extra = [
+            F.pmod(r2(circular_mean_deg(F.col(c))), F.lit(360.0)).alias(name)
+            for c, name in (("wind_wave_direction", "circ_wind_direction"),
+                            ("ocean_current_direction", "circ_current_direction"))
+        ]
     per_port = (
         latest_run(forecast)
         .groupBy("port_id", "latitude", "longitude")
@@ -104,6 +114,7 @@ def weather_port_summary(forecast: DataFrame, ports: DataFrame) -> DataFrame:
             r2(F.avg("ocean_current_velocity")).alias("avg_current_velocity"),
             r2(F.avg("ocean_current_direction")).alias("avg_current_direction"),
             F.count("*").alias("forecast_records"),
+            *extra,
         )
     )
     out = per_port.join(_port_names(ports), "port_id", "left")

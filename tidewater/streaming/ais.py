@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidewater.functions.clean import parse_ais_time
 from tidewater.operators.once import with_column_once
@@ -27,34 +27,6 @@ POSITION_SCHEMA = StructType(
     ]
 )
 
-ENVELOPE_SCHEMA = StructType(
-    [
-        StructField("MessageType", StringType()),
-        StructField(
-            "Message",
-            StructType(
-                [
-                    # text: the store keeps str(value); JSON numbers come back as their digits
-                    StructField("MessageID", StringType()),
-                    StructField("PositionReport", POSITION_SCHEMA),
-                ]
-            ),
-        ),
-        StructField(
-            "MetaData",
-            StructType(
-                [
-                    StructField("MMSI", StringType()),
-                    StructField("ShipName", StringType()),
-                    StructField("latitude", DoubleType()),
-                    StructField("longitude", DoubleType()),
-                    StructField("time_utc", StringType()),
-                ]
-            ),
-        ),
-    ]
-)
-
 # AIS "not available" codes for speed, course and heading.
 SOG_UNAVAILABLE = 102.3
 COG_UNAVAILABLE = 360.0
