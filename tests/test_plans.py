@@ -69,3 +69,27 @@ def test_small_port_side_is_broadcast_by_size(spark):
     size is under the session threshold (a shuffled join takes over above it)."""
     plan = QUERIES["storm_detection"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "broadcast" in plan.lower()
+
+
+def test_run_partitioned_store_prunes_to_the_newest_run(spark, scratch):
+    import os
+    import uuid
+
+    from tidewater.plans import weather
+    from tidewater.sinks import write_forecast_store
+    from tidewater.sources import fixtures as fx
+
+    path = os.path.join(scratch, f"forecast-{uuid.uuid4().hex}")
+    typed = weather.prepare_forecast(fx.forecast_raw(spark, SF_SMALL))
+    write_forecast_store(typed, path)
+    write_forecast_store(typed, path)  # re-landing the same runs replaces them
+    store = spark.read.parquet(path)
+    assert store.count() == typed.count()
+
+    ports = weather.latest_ports(fx.ports_raw(spark, SF_SMALL))
+    df = weather.temperature_analysis(weather.prepare_forecast(store), ports)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(ref_time" in plan and "Subquery" in plan
+    assert "ReadSchema: struct<>" in plan  # the newest run comes from partition values only
+    expect = QUERIES["temperature_analysis"](spark, SF_SMALL)
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, expect.collect()))

@@ -30,6 +30,24 @@ def write_report(df: DataFrame, base: str, name: str, mode: str = "overwrite") -
     return path
 
 
+def write_forecast_store(forecast: DataFrame, path: str, run_col: str = "ref_time") -> str:
+    """Forecast store layout: typed rows partitioned by run.
+
+    Dynamic partition overwrite replaces only the runs present in ``forecast``,
+    so re-landing a run is idempotent and other runs are untouched. On this
+    layout the newest-run filter (``latest_run``) becomes a partition filter
+    evaluated from a subquery that reads partition values only: the reports
+    then read just the newest run's files.
+    """
+    (
+        forecast.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(run_col)
+        .parquet(path)
+    )
+    return path
+
+
 def write_upsert_batch(df: DataFrame, path: str, batch_id: int) -> str:
     """K-2 write side: one idempotent batch directory."""
     out = f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
