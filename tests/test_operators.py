@@ -106,3 +106,32 @@ def test_upsert_store_missing_target_then_replayed_batches(spark, scratch):
     write_upsert_batch(b1, path, 1)  # replay of batch 1 rewrites its own directory
     got = sorted(map(tuple, read_upserted(spark, path, ["k"], ["v"]).collect()))
     assert got == [("a", 2, "z"), ("b", 1, "y")]
+
+
+def test_catalog_from_connector_json_and_scan(spark, scratch):
+    import json
+    import os
+    import uuid
+
+    from tidewater.sources.catalog import scan
+
+    text = json.dumps({
+        "table": {"namespace": "default", "name": "harbours"},
+        "rowkey": "id",
+        "columns": {
+            "id": {"cf": "rowkey", "col": "id", "type": "string"},
+            "harbour": {"cf": "info", "col": "name", "type": "string"},
+            "depth": {"cf": "info", "col": "depth", "type": "string"},
+            "seen": {"cf": "meta_data", "col": "timestamp", "type": "string"},
+        },
+    })
+    cat = Catalog.from_json(text)
+    assert cat.table == "harbours" and cat.value_columns == ["harbour", "depth", "seen"]
+    assert cat.columns["harbour"] == ("info", "name")
+
+    path = os.path.join(scratch, f"harbours-{uuid.uuid4().hex}")
+    spark.createDataFrame([("h1", "North", "5"), ("h2", "South", None)], "id string, harbour string, seen string") \
+        .write.parquet(path)
+    got = scan(spark, cat, path)
+    assert got.columns == ["id", "harbour", "depth", "seen"]  # absent cells come back as null text
+    assert [r.depth for r in got.collect()] == [None, None]
