@@ -135,3 +135,18 @@ def test_catalog_from_connector_json_and_scan(spark, scratch):
     got = scan(spark, cat, path)
     assert got.columns == ["id", "harbour", "depth", "seen"]  # absent cells come back as null text
     assert [r.depth for r in got.collect()] == [None, None]
+
+
+def test_current_weather_rows_round_trip_through_cells(spark):
+    from tidewater.sources import fixtures as fx
+    from tidewater.sources.catalog import CURRENT_WEATHER
+    from tidewater.sources.payloads import explode_current
+
+    from .conftest import SF_SMALL
+
+    rows, rejects = explode_current(fx.current_payloads(spark, SF_SMALL))
+    text = rows.select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    back = cells_to_rows(rows_to_cells(text, CURRENT_WEATHER, ts_col="timestamp"), CURRENT_WEATHER)
+    cols = ["id", "port_id", "port_name", "timestamp", "wave_height", "sea_surface_temperature"]
+    assert sorted(map(tuple, back.select(cols).collect())) == sorted(map(tuple, text.select(cols).collect()))
+    assert rejects.count() + rows.count() == fx.table(spark, SF_SMALL, "supplier").count()

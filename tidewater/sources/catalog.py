@@ -145,3 +145,17 @@ FORECAST = Catalog(
         **{f: ("weather_data", f) for f in FORECAST_ANALYSIS_FIELDS},
     },
 )
+
+CURRENT_WEATHER = Catalog(
+    "port_weather",
+    "id",
+    {
+        "id": ("rowkey", "id"),
+        "port_id": ("meta_data", "port_id"),
+        "port_name": ("meta_data", "port_name"),
+        "latitude": ("meta_data", "lat"),
+        "longitude": ("meta_data", "long"),
+        "timestamp": ("meta_data", "timestamp"),
+        **{f: ("weather_data", f) for f in WEATHER_FIELDS},
+    },
+)
