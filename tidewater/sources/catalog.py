@@ -52,7 +52,7 @@ def scan(spark: SparkSession, catalog: Catalog, path: str, fmt: str = "parquet")
     return catalog.project(spark.read.format(fmt).load(path))
 
 
-# The column -> (family, qualifier) maps of the four store tables.
+# The column -> (family, qualifier) maps of the store tables.
 PORTS = Catalog(
     "ports_info",
     "id",
