@@ -18,7 +18,7 @@ def norm(v):
     if v is None or (isinstance(v, float) and math.isnan(v)):
         return "<null>"
     if isinstance(v, float):
-        return f"{v:.9g}"
+        return repr(v)  # bit-exact
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ")
     return str(v)
@@ -42,9 +42,18 @@ def test_every_query_has_an_oracle():
     assert len(queries()) >= 36
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN",
+}
+
+
 @pytest.mark.parametrize("name", sorted(queries()))
 def test_query_matches_oracle(spark, con, name):
-    got = canon(queries()[name](spark, SF_SMALL).toPandas())
+    df = queries()[name](spark, SF_SMALL)
+    duck_types = {r[0]: r[1] for r in con.execute(f"describe {oracle_sql()[name]}").fetchall()}
+    assert {c: SPARK_TO_DUCK.get(t, t) for c, t in df.dtypes} == duck_types
+    got = canon(df.toPandas())
     want = canon(con.execute(oracle_sql()[name]).df())
     assert got[0] == want[0]
     assert len(got[1]) == len(want[1])

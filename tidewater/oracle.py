@@ -196,7 +196,7 @@ _PROFILE_COLS = [
 ]
 ORACLE["null_profile"] = sql(
     "select column_name, null_count from (select "
-    + ", ".join(f"count_if({c} is null) as {c}" for c in _PROFILE_COLS)
+    + ", ".join(f"cast(count_if({c} is null) as bigint) as {c}" for c in _PROFILE_COLS)
     + " from (select f.*, p.port_name from forecast_latest f left join ports_latest p on f.port_id = p.port_id)) "
     + "unpivot (null_count for column_name in (" + ", ".join(_PROFILE_COLS) + "))",
     "forecast_latest", "ports_latest",
