@@ -31,20 +31,30 @@ def null_sentinels(
 ) -> DataFrame:
     """Replace exact sentinel texts with null in the string columns ``cols``
     (default: every string column). Other columns pass through untouched."""
-    values = list(values)
     if cols is None:
         cols = [f.name for f in df.schema.fields if isinstance(f.dataType, StringType)]
     targets = set(cols)
-    return df.select(
+    # One SQL projection for all columns: the same CASE expressions as
+    # F.when(...).isin(...), built with one call instead of several per column.
+    in_list = ", ".join(_sql_string(v) for v in values)
+    return df.selectExpr(
         *[
-            F.when(F.col(c).isin(values), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
+            f"CASE WHEN {_ident(c)} IN ({in_list}) THEN NULL ELSE {_ident(c)} END AS {_ident(c)}"
             if c in targets
-            else F.col(c)
+            else _ident(c)
             for c in df.columns
         ]
     )
 
 
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_string(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def to_number(c: str | Column, dtype: str = "double") -> Column:
     """Text -> number; null when the text is not a number (never raises)."""
     column = _col(c).try_cast(dtype)
@@ -58,11 +68,11 @@ def round_half_up(c: str | Column, digits: int = 2) -> Column:
     depending on summation order, so rounding the double directly can land on
     either side. Going through decimal(24,8) first removes that noise (a decimal
     rounding at the 8th place), then the 2-place rounding is exact. Values out of
-    decimal range, NaN and infinities fall back to the plain double rounding.
+    decimal range, NaN and infinities do not convert (``try_cast`` gives null)
+    and fall back to the plain double rounding; null stays null.
     """
     x = _col(c)
-    via_decimal = F.round(x.try_cast("decimal(24,8)"), digits).cast("double")
-    return F.when(x.isNull() | F.isnan(x), x).otherwise(F.coalesce(via_decimal, F.round(x, digits)))
+    return F.coalesce(F.round(x.try_cast("decimal(24,8)"), digits).cast("double"), F.round(x, digits))
 
 
 def epoch_to_time(c: str | Column) -> Column:

@@ -273,7 +273,7 @@ def _registry_pages(rows: DataFrame, catalog, key: str, page_size: int) -> DataF
     item = F.struct(
         *[F.col(c).alias(qual) for c, (fam, qual) in catalog.columns.items() if fam == "info" and c in rows.columns]
     )
-    page = F.floor(F.regexp_extract(F.col(key), r"(\d+)$", 1).cast("bigint") / page_size)
+    page = F.floor(F.regexp_extract(F.col(key), r"(\d+)$", 1).try_cast("bigint") / page_size)
     pages = rows.groupBy(page.alias("page")).agg(F.collect_list(item).alias("data"))
     body = F.struct(F.lit(None).cast("string").alias("error"), F.col("data"))
     return pages.select(F.to_json(body).alias("payload"))
