@@ -81,3 +81,54 @@ def test_cli_runs_jobs_on_landed_tables(spark, scratch):
     from tidewater.sinks import read_upserted
 
     assert read_upserted(spark, f"{run}/store", ["message_key"]).count() == QUERIES["ais_dedup"](spark, SF_SMALL).count()
+
+
+def test_load_jobs_land_payloads_into_stores(spark, scratch):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tidewater.sinks import read_upserted
+    from tidewater.sources.catalog import PORTS
+    from tidewater.sources.payloads import read_forecast_payloads
+
+    run = os.path.join(scratch, f"load-{uuid.uuid4().hex}")
+    fx.forecast_payloads(spark, SF_SMALL).write.json(f"{run}/landed_forecast")
+    payloads = read_forecast_payloads(spark, f"{run}/landed_forecast")
+    jobs.forecast_load_job(payloads, f"{run}/forecast")
+    jobs.forecast_load_job(payloads, f"{run}/forecast")  # re-landing the same run
+    store = spark.read.parquet(f"{run}/forecast")
+    expect = QUERIES["forecast_unnest"](spark, SF_SMALL)
+    assert store.count() == expect.count()
+    assert store.select("ref_time").distinct().count() == 1
+    assert store.filter(F.col("wave_height").isNotNull()).count() == expect.count()
+
+    jobs.registry_load_job(fx.registry_payloads(spark, SF_SMALL), f"{run}/ports", PORTS, 1704067200, 0)
+    ports = read_upserted(spark, f"{run}/ports", ["id"])
+    assert ports.count() == QUERIES["registry_explode"](spark, SF_SMALL).count()
+    assert ports.select("timestamp").distinct().collect()[0][0] == "1704067200"
+    bad = spark.createDataFrame([('{"error": "quota exceeded"}',)], "payload string")
+    with pytest.raises(RuntimeError, match="quota exceeded"):
+        jobs.registry_load_job(bad, f"{run}/ports", PORTS, 1704070800, 1)
+
+    jobs.current_load_job(fx.current_payloads(spark, SF_SMALL), f"{run}/current", 0, f"{run}/current_rejects")
+    assert read_upserted(spark, f"{run}/current", ["id"]).count() + spark.read.parquet(
+        f"{run}/current_rejects").count() == fx.table(spark, SF_SMALL, "supplier").count()
+
+
+def test_cli_load_commands(spark, scratch):
+    from tidewater import cli
+    from tidewater.sinks import read_upserted
+
+    run = os.path.join(scratch, f"cli-load-{uuid.uuid4().hex}")
+    fx.forecast_payloads(spark, SF_SMALL).write.json(f"{run}/lf")
+    fx.vessel_registry_payloads(spark, SF_SMALL).write.text(f"{run}/lr")
+    fx.current_payloads(spark, SF_SMALL).write.text(f"{run}/lc")
+    cli.main(["forecast-load", "--payloads", f"{run}/lf", "--store", f"{run}/forecast"])
+    assert spark.read.parquet(f"{run}/forecast").count() == QUERIES["forecast_unnest"](spark, SF_SMALL).count()
+    cli.main(["registry-load", "--payloads", f"{run}/lr", "--store", f"{run}/vessels", "--catalog", "vessels",
+              "--fetched-at", "1704067200", "--batch-id", "0"])
+    vessels = read_upserted(spark, f"{run}/vessels", ["id"])
+    assert vessels.count() == QUERIES["vessel_registry_explode"](spark, SF_SMALL).count()
+    cli.main(["current-load", "--payloads", f"{run}/lc", "--store", f"{run}/current", "--batch-id", "0"])
+    assert read_upserted(spark, f"{run}/current", ["id"]).count() == QUERIES["current_weather_rows"](
+        spark, SF_SMALL).count()

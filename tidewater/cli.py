@@ -5,6 +5,9 @@
     ... movement    --messages M --out DIR
     ... ingest-ais  (--files DIR | --kafka HOSTS --topic T) --store S [--rejects R]
     ... type-counts (--files DIR | --kafka HOSTS --topic T) --out DIR [--watermark W]
+    ... forecast-load --payloads DIR --store S
+    ... registry-load --payloads DIR --store S --catalog ports|vessels --fetched-at EPOCH --batch-id N
+    ... current-load  --payloads DIR --store S --batch-id N [--rejects R]
 
 Store tables are Parquet with the catalog's column names (all text). Message
 inputs are Parquet or JSON lines (``json:<path>``) with a ``value`` text column. Stream
@@ -76,6 +79,23 @@ def main(argv: list[str] | None = None) -> dict:
             s.add_argument("--window", default="15 minutes")
             s.add_argument("--watermark", default="1 hour")
 
+    fl = sub.add_parser("forecast-load")
+    fl.add_argument("--payloads", required=True)
+    fl.add_argument("--store", required=True)
+
+    rl = sub.add_parser("registry-load")
+    rl.add_argument("--payloads", required=True)
+    rl.add_argument("--store", required=True)
+    rl.add_argument("--catalog", choices=("ports", "vessels"), required=True)
+    rl.add_argument("--fetched-at", type=int, required=True)
+    rl.add_argument("--batch-id", type=int, required=True)
+
+    cl = sub.add_parser("current-load")
+    cl.add_argument("--payloads", required=True)
+    cl.add_argument("--store", required=True)
+    cl.add_argument("--batch-id", type=int, required=True)
+    cl.add_argument("--rejects", default=None)
+
     args = parser.parse_args(argv)
     spark = get_session(os.environ.get("TIDEWATER_MASTER"), app_name=f"tidewater-{args.job}")
 
@@ -88,6 +108,24 @@ def main(argv: list[str] | None = None) -> dict:
         result = jobs.fleet_job(_read_table(spark, args.ports), _read_table(spark, args.vessels), args.out)
     elif args.job == "movement":
         result = jobs.movement_job(_read_table(spark, args.messages), args.out)
+    elif args.job == "forecast-load":
+        from tidewater.sources.payloads import read_forecast_payloads
+
+        result = {"store": jobs.forecast_load_job(read_forecast_payloads(spark, args.payloads), args.store)}
+    elif args.job == "registry-load":
+        from tidewater.sources.catalog import PORTS, VESSELS
+        from tidewater.sources.payloads import read_json_payloads
+
+        catalog = PORTS if args.catalog == "ports" else VESSELS
+        result = {"batch": jobs.registry_load_job(
+            read_json_payloads(spark, args.payloads), args.store, catalog, args.fetched_at, args.batch_id
+        )}
+    elif args.job == "current-load":
+        from tidewater.sources.payloads import read_json_payloads
+
+        result = {"batch": jobs.current_load_job(
+            read_json_payloads(spark, args.payloads), args.store, args.batch_id, args.rejects
+        )}
     elif args.job == "ingest-ais":
         q = ingest.ingest_ais(
             _stream_source(spark, args), args.store, args.rejects, args.checkpoint,

@@ -88,3 +88,44 @@ def movement_job(messages: DataFrame, out_base: str, value_col: str = "value") -
         )
     finally:
         pos.unpersist()
+
+
+# ------------------------------------------------------------------ load jobs (landed payloads -> stores)
+
+def forecast_load_job(payloads: DataFrame, store_path: str) -> str:
+    """Hourly forecast documents -> typed rows -> the run-partitioned forecast
+    store. Re-landing a run replaces exactly that run (idempotent)."""
+    from pyspark.sql import functions as F
+
+    from tidewater.sinks import write_forecast_store
+    from tidewater.sources.payloads import explode_forecast
+
+    rows = explode_forecast(payloads)
+    return write_forecast_store(rows.withColumn("ref_time", F.col("ref_time").cast("bigint")), store_path)
+
+
+def registry_load_job(
+    payloads: DataFrame, store_path: str, catalog, fetched_at: int, batch_id: int, key_col: str | None = None
+) -> str:
+    """Registry pages -> snapshot rows -> one idempotent upsert batch. An error
+    response fails the load, as the reference's fetchers raise on an API error."""
+    from tidewater.sinks import write_upsert_batch
+    from tidewater.sources.payloads import explode_registry
+
+    rows, errors = explode_registry(payloads, catalog, key_col=key_col, fetched_at=fetched_at)
+    first_error = errors.limit(1).collect()  # at most one row reaches the driver
+    if first_error:
+        raise RuntimeError(f"Registry API error: {first_error[0]['error']}")
+    return write_upsert_batch(rows, store_path, batch_id)
+
+
+def current_load_job(payloads: DataFrame, store_path: str, batch_id: int, rejects_path: str | None = None) -> str:
+    """Current-conditions documents -> one row per port -> one upsert batch;
+    failed documents go to ``rejects_path`` and the rest load."""
+    from tidewater.sinks import write_upsert_batch
+    from tidewater.sources.payloads import explode_current
+
+    rows, rejects = explode_current(payloads)
+    if rejects_path:
+        write_upsert_batch(rejects, rejects_path, batch_id)
+    return write_upsert_batch(rows, store_path, batch_id)

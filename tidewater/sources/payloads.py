@@ -102,7 +102,9 @@ def explode_forecast(payloads: DataFrame, hourly_col: str = "hourly") -> DataFra
         if isinstance(f.dataType, ArrayType)
     ]
     steps = F.try_divide(h["end"] - h["start"], h["interval"]).cast("bigint")
-    zipped = F.arrays_zip(*[h[f].alias(f) for f in fields])
+    # A variable the response lacks is a null array; arrays_zip would then be
+    # null for the whole run. As an empty array it is padded with nulls instead.
+    zipped = F.arrays_zip(*[F.coalesce(h[f], F.array().cast(ArrayType(DoubleType()))).alias(f) for f in fields])
     keep = [c for c in payloads.columns if c != hourly_col]
     stepped = payloads.select(
         *keep,
@@ -141,3 +143,19 @@ def explode_current(
     )
     rejects = parsed.filter(~F.coalesce(good, F.lit(False))).select(payload_col)
     return rows, rejects
+
+
+def forecast_payload_schema(fields=WEATHER_FIELDS) -> StructType:
+    """One landed hourly-forecast document per port."""
+    return StructType(
+        [
+            StructField("port_id", StringType()),
+            StructField("port_name", StringType()),
+            StructField("hourly", hourly_schema(fields)),
+        ]
+    )
+
+
+def read_forecast_payloads(spark: SparkSession, path: str, fields=WEATHER_FIELDS) -> DataFrame:
+    """Landed forecast documents (JSON lines) with an explicit schema (no inference pass)."""
+    return spark.read.schema(forecast_payload_schema(fields)).json(path)
