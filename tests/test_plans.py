@@ -93,3 +93,13 @@ def test_run_partitioned_store_prunes_to_the_newest_run(spark, scratch):
     assert "ReadSchema: struct<>" in plan  # the newest run comes from partition values only
     expect = QUERIES["temperature_analysis"](spark, SF_SMALL)
     assert sorted(map(tuple, df.collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_parse_boundary_stays_inside_whole_stage_codegen(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # static plan shows codegen stage ids
+    try:
+        plan = QUERIES["ais_positions"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    generate = [line for line in plan.splitlines() if "Generate inline" in line]
+    assert generate and all("*(" in line for line in generate)
