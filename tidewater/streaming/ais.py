@@ -100,12 +100,13 @@ def _is_object(path: str) -> Column:
 
 
 def _reason(value_col: str) -> Column:
-    text = F.col(value_col)
+    no_value, bad_json, error_frame, bad_structure = REASONS
+    j = F.col(JSON_COL)
     return (
-        F.when(text.isNull(), "no_value")
-        .when(F.col(JSON_COL).isNull(), "bad_json")
-        .when(F.variant_get(F.col(JSON_COL), "$.error", "variant").isNotNull(), "error_frame")
-        .when(~(_is_object("$.Message") & _is_object("$.MetaData")), "bad_structure")
+        F.when(F.col(value_col).isNull(), no_value)
+        .when(j.isNull(), bad_json)
+        .when(F.variant_get(j, "$.error", "variant").isNotNull(), error_frame)
+        .when(~(_is_object("$.Message") & _is_object("$.MetaData")), bad_structure)
         .otherwise(OK)
     )
 
