@@ -82,6 +82,15 @@ def test_cli_runs_jobs_on_landed_tables(spark, scratch):
 
     assert read_upserted(spark, f"{run}/store", ["message_key"]).count() == QUERIES["ais_dedup"](spark, SF_SMALL).count()
 
+    # reports over the ingested store equal reports over the de-duplicated good messages
+    from tidewater.plans import movement as mv
+    from tidewater.streaming.ais import decode_ais, dedupe_messages, route_invalid
+
+    from_store = cli.main(["movement", "--store", f"{run}/store", "--out", f"{run}/ms"])
+    good, _ = route_invalid(fx.ais_dirty(spark, SF_SMALL))
+    expect = mv.movement_status(mv.positions(decode_ais(dedupe_messages(good).select("value"))))
+    assert _same_rows(spark, from_store["movement_status"], expect)
+
 
 def test_load_jobs_land_payloads_into_stores(spark, scratch):
     import pytest

@@ -2,7 +2,7 @@
 
     spark-submit --py-files tidewater.zip tidewater/cli.py weather  --forecast F --ports P --out DIR
     ... fleet       --ports P --vessels V --out DIR
-    ... movement    --messages M --out DIR
+    ... movement    (--messages M | --store S) --out DIR
     ... ingest-ais  (--files DIR | --kafka HOSTS --topic T) --store S [--rejects R]
     ... type-counts (--files DIR | --kafka HOSTS --topic T) --out DIR [--watermark W]
     ... forecast-load --payloads DIR --store S
@@ -58,7 +58,9 @@ def main(argv: list[str] | None = None) -> dict:
     f.add_argument("--out", required=True)
 
     m = sub.add_parser("movement")
-    m.add_argument("--messages", required=True)
+    msrc = m.add_mutually_exclusive_group(required=True)
+    msrc.add_argument("--messages", help="message files with a value column")
+    msrc.add_argument("--store", help="message store written by ingest-ais (keys resolved on read)")
     m.add_argument("--out", required=True)
 
     for name in ("ingest-ais", "type-counts"):
@@ -107,7 +109,13 @@ def main(argv: list[str] | None = None) -> dict:
     elif args.job == "fleet":
         result = jobs.fleet_job(_read_table(spark, args.ports), _read_table(spark, args.vessels), args.out)
     elif args.job == "movement":
-        result = jobs.movement_job(_read_table(spark, args.messages), args.out)
+        if args.store:
+            from tidewater.sinks import read_upserted
+
+            messages = read_upserted(spark, args.store, ["message_key"])
+        else:
+            messages = _read_table(spark, args.messages)
+        result = jobs.movement_job(messages.select("value"), args.out)
     elif args.job == "forecast-load":
         from tidewater.sources.payloads import read_forecast_payloads
 
