@@ -150,3 +150,21 @@ def test_current_weather_rows_round_trip_through_cells(spark):
     cols = ["id", "port_id", "port_name", "timestamp", "wave_height", "sea_surface_temperature"]
     assert sorted(map(tuple, back.select(cols).collect())) == sorted(map(tuple, text.select(cols).collect()))
     assert rejects.count() + rows.count() == fx.table(spark, SF_SMALL, "supplier").count()
+
+
+def test_compact_folds_batches_without_changing_the_read(spark, scratch):
+    import os
+    import uuid
+
+    from tidewater.sinks import compact, read_upserted, write_upsert_batch
+
+    path = os.path.join(scratch, f"store-{uuid.uuid4().hex}")
+    schema = "k string, v int, s string"
+    for i in range(3):
+        write_upsert_batch(spark.createDataFrame([("a", i, f"a{i}"), (f"k{i}", 0, "x")], schema), path, i)
+    before = sorted(map(tuple, read_upserted(spark, path, ["k"], ["v"]).collect()))
+    target = os.path.join(scratch, f"compacted-{uuid.uuid4().hex}")
+    compact(spark, path, target, ["k"], ["v"])
+    after = sorted(map(tuple, read_upserted(spark, target, ["k"], ["v"]).collect()))
+    assert before == after == [("a", 2, "a2"), ("k0", 0, "x"), ("k1", 0, "x"), ("k2", 0, "x")]
+    assert spark.read.parquet(target).count() == 4  # one row per key after compaction
