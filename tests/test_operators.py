@@ -168,3 +168,20 @@ def test_compact_folds_batches_without_changing_the_read(spark, scratch):
     after = sorted(map(tuple, read_upserted(spark, target, ["k"], ["v"]).collect()))
     assert before == after == [("a", 2, "a2"), ("k0", 0, "x"), ("k1", 0, "x"), ("k2", 0, "x")]
     assert spark.read.parquet(target).count() == 4  # one row per key after compaction
+
+
+def test_read_upserted_narrows_before_the_shuffle(spark, scratch):
+    import os
+    import uuid
+
+    from tidewater.sinks import read_upserted, write_upsert_batch
+
+    path = os.path.join(scratch, f"store-{uuid.uuid4().hex}")
+    schema = "k string, v int, s string, wide string"
+    write_upsert_batch(spark.createDataFrame([("a", 1, "x", "w1"), ("b", 1, "y", "w2")], schema), path, 0)
+    write_upsert_batch(spark.createDataFrame([("a", 2, "z", "w3")], schema), path, 1)
+    df = read_upserted(spark, path, ["k"], ["v"], columns=["s"])
+    assert df.columns == ["k", "s"]
+    assert sorted(map(tuple, df.collect())) == [("a", "z"), ("b", "y")]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "wide" not in plan.split("ReadSchema:")[1].split("\n")[0]  # the unread column is not even scanned

@@ -112,7 +112,7 @@ def main(argv: list[str] | None = None) -> dict:
         if args.store:
             from tidewater.sinks import read_upserted
 
-            messages = read_upserted(spark, args.store, ["message_key"])
+            messages = read_upserted(spark, args.store, ["message_key"], columns=["value"])
         else:
             messages = _read_table(spark, args.messages)
         result = jobs.movement_job(messages.select("value"), args.out)

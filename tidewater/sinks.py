@@ -61,10 +61,15 @@ def read_upserted(
     keys: Sequence[str],
     order_by: Sequence[str | Column] = (),
     schema: StructType | str | None = None,
+    columns: Sequence[str] | None = None,
 ) -> DataFrame:
     """K-2 read side: newest version per key across all batches. ``order_by``
     decides which write is newest; the batch id breaks remaining ties.
 
+    ``columns`` narrows the result to those columns (plus the keys) *before*
+    the per-key shuffle: the survivor struct, and so the shuffle, carries only
+    what the caller reads. Order columns given by name are kept for ordering.
+
     K-3: a target that has never been written is an empty table of ``schema``
     (when given) rather than an error, so the first upsert needs no setup."""
     try:
@@ -72,8 +77,13 @@ def read_upserted(
     except AnalysisException as exc:
         if schema is None or "PATH_NOT_FOUND" not in str(exc):
             raise
-        return spark.createDataFrame([], schema)
-    return latest_by_key(df, keys, [*order_by, F.col(BATCH_COL)]).drop(BATCH_COL)
+        empty = spark.createDataFrame([], schema)
+        return empty.select(*keys, *columns) if columns else empty
+    if columns:
+        ordering = [o for o in order_by if isinstance(o, str) and o not in keys and o not in columns]
+        df = df.select(*keys, *columns, *ordering, BATCH_COL)
+    out = latest_by_key(df, keys, [*order_by, F.col(BATCH_COL)]).drop(BATCH_COL)
+    return out.select(*keys, *columns) if columns else out
 
 
 def compact(
