@@ -60,7 +60,7 @@ def main(argv: list[str] | None = None) -> dict:
     m = sub.add_parser("movement")
     msrc = m.add_mutually_exclusive_group(required=True)
     msrc.add_argument("--messages", help="message files with a value column")
-    msrc.add_argument("--store", help="message store written by ingest-ais (keys resolved on read)")
+    msrc.add_argument("--store", help="message store written by ingest-ais (one row per message key)")
     m.add_argument("--out", required=True)
 
     for name in ("ingest-ais", "type-counts"):
@@ -110,9 +110,7 @@ def main(argv: list[str] | None = None) -> dict:
         result = jobs.fleet_job(_read_table(spark, args.ports), _read_table(spark, args.vessels), args.out)
     elif args.job == "movement":
         if args.store:
-            from tidewater.sinks import read_upserted
-
-            messages = read_upserted(spark, args.store, ["message_key"], columns=["value"])
+            messages = ingest.read_messages(spark, args.store)
         else:
             messages = _read_table(spark, args.messages)
         result = jobs.movement_job(messages.select("value"), args.out)

@@ -48,10 +48,16 @@ def write_forecast_store(forecast: DataFrame, path: str, run_col: str = "ref_tim
     return path
 
 
-def write_upsert_batch(df: DataFrame, path: str, batch_id: int) -> str:
-    """K-2 write side: one idempotent batch directory."""
+def write_upsert_batch(
+    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] | None = None
+) -> str:
+    """K-2 write side: one idempotent batch directory (optionally partitioned
+    inside, e.g. by event date, so later reads can prune)."""
     out = f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
-    df.write.mode("overwrite").parquet(out)
+    writer = df.write.mode("overwrite")
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(out)
     return out
 
 
@@ -75,7 +81,8 @@ def read_upserted(
     try:
         df = spark.read.parquet(path)
     except AnalysisException as exc:
-        if schema is None or "PATH_NOT_FOUND" not in str(exc):
+        nothing_written = "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc)
+        if schema is None or not nothing_written:
             raise
         empty = spark.createDataFrame([], schema)
         return empty.select(*keys, *columns) if columns else empty

@@ -28,7 +28,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tidewater.session import checkpoint_root
-from tidewater.sinks import write_upsert_batch
+from pyspark.errors import AnalysisException
+
+from tidewater.sinks import BATCH_COL, write_upsert_batch
 from tidewater.streaming.ais import JSON_COL, OK, classify, decode_ais, dedupe_messages, type_counts
 
 # The reference consumer's per-run bound on messages.
@@ -78,23 +80,62 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
 
 
+KEY_COLS = ["event_date", "message_key"]
+DATE_COL = "event_date"
+
+
+def _stored_keys(spark: SparkSession, store_path: str, messages: DataFrame, batch_id: int) -> DataFrame:
+    """Keys already in the store from *other* batches, on the dates this batch
+    touches. A message always has the same event date, so a redelivered one is
+    found there; the semi-join on the date lets dynamic partition pruning read
+    only those date directories. Excluding this batch's own id keeps a replayed
+    batch (same id after a failure) identical to its first attempt."""
+    try:
+        stored = spark.read.parquet(store_path)
+    except AnalysisException as exc:
+        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
+            raise
+        # nothing stored yet (no directory, or only empty batches)
+        return spark.createDataFrame([], messages.select(*KEY_COLS).schema)
+    dates = messages.select(DATE_COL).distinct()
+    return (
+        stored.filter(F.col(BATCH_COL) != batch_id)
+        .join(dates, DATE_COL, "left_semi")
+        .select(*KEY_COLS)
+    )
+
+
 def write_ais_batch(
     batch: DataFrame, batch_id: int, store_path: str, rejects_path: str | None, fail_on_invalid: bool = False
 ) -> None:
-    """One micro-batch of the ingest (also usable on a static frame)."""
+    """One micro-batch of the ingest (also usable on a static frame).
+
+    Each message key is stored once: the batch is de-duplicated in itself and
+    against keys stored by other batches, so ``read_messages`` needs no
+    per-key shuffle. Rejects are kept with their reason."""
     tagged = classify(batch).persist()
     try:
         if fail_on_invalid and tagged.filter(F.col("reason") == "bad_structure").limit(1).count():
             raise ValueError("Invalid message structure: expected Message and MetaData objects")
         good = tagged.filter(F.col("reason") == OK).drop("reason")
-        messages = dedupe_messages(good).withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-        write_upsert_batch(messages, store_path, batch_id)
+        messages = (
+            dedupe_messages(good)
+            .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+            .withColumn(DATE_COL, F.to_date("event_time"))
+        )
+        fresh = messages.join(_stored_keys(batch.sparkSession, store_path, messages, batch_id), KEY_COLS, "left_anti")
+        write_upsert_batch(fresh, store_path, batch_id, partition_by=[DATE_COL])
         if rejects_path:
             write_upsert_batch(tagged.filter(F.col("reason") != OK).drop(JSON_COL), rejects_path, batch_id)
     finally:
         tagged.unpersist()
 
 
+def read_messages(spark: SparkSession, store_path: str) -> DataFrame:
+    """The message store, one row per message key (no shuffle on read)."""
+    return spark.read.parquet(store_path).drop(BATCH_COL)
+
+
 def ingest_ais(
     stream: DataFrame,
     store_path: str,
