@@ -145,3 +145,15 @@ def test_empty_first_batch_does_not_break_the_next(spark, scratch):
     write_ais_batch(raw.filter("value is null"), 0, store, None)  # a batch with no good messages
     write_ais_batch(raw, 1, store, None)
     assert read_messages(spark, store).count() == raw.select("value").distinct().count()
+
+
+def test_redelivered_message_without_time_is_stored_once(spark, scratch):
+    run = os.path.join(scratch, f"notime-{uuid.uuid4().hex}")
+    store = os.path.join(run, "store")
+    value = ('{"MessageType":"PositionReport","Message":{"MessageID":7,"PositionReport":{"Sog":1.0}},'
+             '"MetaData":{"MMSI":1,"ShipName":"V","latitude":1.0,"longitude":2.0,"time_utc":"not a time"}}')
+    batch = spark.createDataFrame([(1, None, value)], "event_id long, ts timestamp, value string")
+    write_ais_batch(batch, 0, store, None)
+    write_ais_batch(batch, 1, store, None)
+    stored = read_messages(spark, store)
+    assert stored.count() == 1 and stored.collect()[0].event_date is None

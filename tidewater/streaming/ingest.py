@@ -80,29 +80,30 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
     return checkpoint or f"{checkpoint_root(spark).rstrip('/')}/streams/{name}"
 
 
-KEY_COLS = ["event_date", "message_key"]
+KEY_COL = "message_key"
 DATE_COL = "event_date"
 
 
 def _stored_keys(spark: SparkSession, store_path: str, messages: DataFrame, batch_id: int) -> DataFrame:
     """Keys already in the store from *other* batches, on the dates this batch
     touches. A message always has the same event date, so a redelivered one is
-    found there; the semi-join on the date lets dynamic partition pruning read
-    only those date directories. Excluding this batch's own id keeps a replayed
-    batch (same id after a failure) identical to its first attempt."""
+    found there. The semi-join on the batch's dates lets dynamic partition
+    pruning read only those date directories; messages without a parseable
+    time live in the null-date partition, which a static filter selects.
+    Excluding this batch's own id keeps a replayed batch (same id after a
+    failure) identical to its first attempt."""
     try:
         stored = spark.read.parquet(store_path)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
             raise
         # nothing stored yet (no directory, or only empty batches)
-        return spark.createDataFrame([], messages.select(*KEY_COLS).schema)
-    dates = messages.select(DATE_COL).distinct()
-    return (
-        stored.filter(F.col(BATCH_COL) != batch_id)
-        .join(dates, DATE_COL, "left_semi")
-        .select(*KEY_COLS)
-    )
+        return spark.createDataFrame([], messages.select(KEY_COL).schema)
+    others = stored.filter(F.col(BATCH_COL) != batch_id)
+    dates = messages.select(DATE_COL).filter(F.col(DATE_COL).isNotNull()).distinct()
+    dated = others.join(dates, DATE_COL, "left_semi").select(KEY_COL)
+    undated = others.filter(F.col(DATE_COL).isNull()).select(KEY_COL)
+    return dated.unionByName(undated)
 
 
 def write_ais_batch(
@@ -123,7 +124,7 @@ def write_ais_batch(
             .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
             .withColumn(DATE_COL, F.to_date("event_time"))
         )
-        fresh = messages.join(_stored_keys(batch.sparkSession, store_path, messages, batch_id), KEY_COLS, "left_anti")
+        fresh = messages.join(_stored_keys(batch.sparkSession, store_path, messages, batch_id), KEY_COL, "left_anti")
         write_upsert_batch(fresh, store_path, batch_id, partition_by=[DATE_COL])
         if rejects_path:
             write_upsert_batch(tagged.filter(F.col("reason") != OK).drop(JSON_COL), rejects_path, batch_id)
