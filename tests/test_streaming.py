@@ -27,6 +27,7 @@ def test_stream_type_counts_equal_batch(spark, scratch):
         checkpoint=os.path.join(run, "chk"),
         output_mode="complete",
         query_name="type_counts_test",
+        dedupe=False,  # files in random time order: plain counting, no late-row handling
     )
     q.awaitTermination(300)
     streamed = {tuple(r) for r in spark.table("type_counts_test").collect()}
@@ -157,3 +158,25 @@ def test_redelivered_message_without_time_is_stored_once(spark, scratch):
     write_ais_batch(batch, 1, store, None)
     stored = read_messages(spark, store)
     assert stored.count() == 1 and stored.collect()[0].event_date is None
+
+
+def test_type_counts_count_redelivered_messages_once(spark, scratch):
+    from tidewater.streaming.ais import dedupe_messages, route_invalid
+
+    run = os.path.join(scratch, f"typededupe-{uuid.uuid4().hex}")
+    landed = os.path.join(run, "in")
+    dirty = fx.ais_dirty(spark, SF_SMALL)  # every tenth message is delivered twice
+    week = F.floor((F.dayofmonth("ts") - 1) / 8)
+    for w in range(4):
+        dirty.filter(week == w).coalesce(1).write.mode("append").json(landed)
+    q = type_count_stream(
+        read_files(spark, landed, max_files_per_trigger=1),
+        checkpoint=os.path.join(run, "chk"),
+        output_mode="complete",
+        query_name="type_counts_dedupe",
+    )
+    q.awaitTermination(300)
+    streamed = {tuple(r) for r in spark.table("type_counts_dedupe").collect()}
+    good, _ = route_invalid(dirty)
+    batch = {tuple(r) for r in type_counts(dedupe_messages(good)).collect()}
+    assert streamed == batch

@@ -167,16 +167,22 @@ def type_count_stream(
     output_mode: str = "append",
     query_name: str | None = None,
     available_now: bool = True,
+    dedupe: bool = True,
 ) -> StreamingQuery:
     """T-5 / T-6 / T-7: per-window message type counts of the live feed.
 
+    With ``dedupe`` (default) a message redelivered within the watermark is
+    counted once: messages are de-duplicated by key before counting, with the
+    same watermark, so both stateful steps keep bounded state.
+
     ``append`` emits a window once the watermark passes its end (final counts;
     rows later than the watermark are not counted). ``complete`` re-emits all
     windows each trigger (tests). With ``path`` the counts go to Parquet,
     otherwise to an in-memory table named ``query_name``."""
     spark = stream.sparkSession
     good = classify(stream).filter(F.col("reason") == OK).drop("reason")
-    counts = type_counts(decode_ais(good), window=window, watermark=watermark)
+    decoded = dedupe_messages(good, watermark=watermark) if dedupe else decode_ais(good)
+    counts = type_counts(decoded, window=window, watermark=None if dedupe else watermark)
     writer = counts.writeStream.outputMode(output_mode)
     if path:
         writer = writer.format("parquet").option("path", path)
