@@ -14,8 +14,9 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def summary(plan: str) -> str:
-    shuffles = len(re.findall(r"Exchange hashpartitioning", plan))
-    ranges = len(re.findall(r"rangepartitioning", plan))
+    main = plan.split("===== Subqueries =====")[0]
+    shuffles = len(re.findall(r"Arguments: hashpartitioning", main))
+    ranges = len(re.findall(r"Arguments: rangepartitioning", main))
     joins = sorted(set(re.findall(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin)", plan)))
     aggs = sorted(set(re.findall(r"(ObjectHashAggregate|SortAggregate|HashAggregate)", plan)))
     python = "PYTHON" if re.search(r"(BatchEvalPython|ArrowEvalPython)", plan) else ""
