@@ -134,6 +134,11 @@ def test_cli_load_commands(spark, scratch):
     fx.current_payloads(spark, SF_SMALL).write.text(f"{run}/lc")
     cli.main(["forecast-load", "--payloads", f"{run}/lf", "--store", f"{run}/forecast"])
     assert spark.read.parquet(f"{run}/forecast").count() == QUERIES["forecast_unnest"](spark, SF_SMALL).count()
+    fx.ports_raw(spark, SF_SMALL).write.parquet(f"{run}/ports")
+    reports = cli.main(["weather", "--forecast", f"{run}/forecast", "--ports", f"{run}/ports", "--out", f"{run}/w"])
+    summary = spark.read.parquet(reports["weather_port_summary"])
+    assert summary.count() == fx.table(spark, SF_SMALL, "supplier").count()  # one row per landed port
+    assert summary.filter("forecast_records = 72 and avg_wave_height is not null").count() == summary.count()
     cli.main(["registry-load", "--payloads", f"{run}/lr", "--store", f"{run}/vessels", "--catalog", "vessels",
               "--fetched-at", "1704067200", "--batch-id", "0"])
     vessels = read_upserted(spark, f"{run}/vessels", ["id"])
