@@ -180,3 +180,19 @@ def test_type_counts_count_redelivered_messages_once(spark, scratch):
     good, _ = route_invalid(dirty)
     batch = {tuple(r) for r in type_counts(dedupe_messages(good)).collect()}
     assert streamed == batch
+
+
+def test_recent_window_prunes_message_store_by_date(spark, scratch):
+    from tidewater.operators.filters import recent
+
+    run = os.path.join(scratch, f"recent-{uuid.uuid4().hex}")
+    store = os.path.join(run, "store")
+    write_ais_batch(fx.ais_raw(spark, SF_SMALL).select("event_id", "ts", "value"), 0, store, None)
+    messages = read_messages(spark, store)
+    pruned = recent(messages, "event_time", 3600, date_col="event_date")
+    plain = recent(messages, "event_time", 3600)
+    assert sorted(map(tuple, pruned.select("message_key").collect())) == sorted(
+        map(tuple, plain.select("message_key").collect()))
+    plan = spark._jvm.PythonSQLUtils.explainString(pruned._jdf.queryExecution(), "formatted")
+    main = plan.split("===== Subqueries =====")[0]
+    assert "PartitionFilters: [isnotnull(event_date" in main and "Subquery" in main

@@ -25,9 +25,18 @@ def latest_run_per(df: DataFrame, key: str, run_col: str = "ref_time") -> DataFr
     return df.join(newest, key).filter(F.col(run_col) == F.col("__newest")).drop("__newest")
 
 
-def recent(df: DataFrame, ts_col: str, seconds: int = 3600) -> DataFrame:
+def recent(df: DataFrame, ts_col: str, seconds: int = 3600, date_col: str | None = None) -> DataFrame:
     """Rows within ``seconds`` of the newest timestamp, compared in whole epoch
-    seconds: ``unix_seconds(ts) >= max(unix_seconds(ts)) - seconds``."""
-    secs = F.unix_seconds(F.col(ts_col))
+    seconds: ``unix_seconds(ts) >= max(unix_seconds(ts)) - seconds``.
+
+    ``date_col``: a date partition column of ``ts_col`` (e.g. the message
+    store's ``event_date``). The implied ``date_col >= date(newest - seconds)``
+    is added, which Spark evaluates as a runtime partition filter: only the
+    last day or two of files are read."""
+    secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
     newest = df.agg(F.max(secs)).scalar()
-    return df.filter(secs >= newest - F.lit(seconds))
+    out = df.filter(secs >= newest - F.lit(seconds))
+    if date_col:
+        cutoff = F.to_date(F.timestamp_seconds(newest - F.lit(seconds)))
+        out = out.filter(F.col(date_col) >= cutoff)
+    return out

@@ -56,9 +56,10 @@ def store_positions(store: DataFrame, drop_unavailable: bool = False) -> DataFra
     return positions(typed)
 
 
-def recent_positions(pos: DataFrame, seconds: int = 3600) -> DataFrame:
-    """P-13: positions within ``seconds`` of the newest one."""
-    return recent(pos, "event_time", seconds)
+def recent_positions(pos: DataFrame, seconds: int = 3600, date_col: str | None = None) -> DataFrame:
+    """P-13: positions within ``seconds`` of the newest one. Over the message
+    store pass ``date_col="event_date"`` so only the newest dates are read."""
+    return recent(pos, "event_time", seconds, date_col=date_col)
 
 
 def bbox_positions(pos: DataFrame, box: BBox) -> DataFrame:
