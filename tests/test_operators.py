@@ -185,3 +185,23 @@ def test_read_upserted_narrows_before_the_shuffle(spark, scratch):
     assert sorted(map(tuple, df.collect())) == [("a", "z"), ("b", "y")]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "wide" not in plan.split("ReadSchema:")[1].split("\n")[0]  # the unread column is not even scanned
+
+
+def test_read_upserted_key_filter_prunes_partitions(spark, scratch):
+    import os
+    import uuid
+
+    from tidewater.sinks import read_upserted, write_upsert_batch
+
+    path = os.path.join(scratch, f"store-{uuid.uuid4().hex}")
+    schema = "k string, d string, v int"
+    b0 = spark.createDataFrame([("a", "2024-01-01", 1), ("a", "2024-01-02", 1), ("b", "2024-01-02", 1)], schema)
+    b1 = spark.createDataFrame([("a", "2024-01-02", 2), ("b", "2024-01-01", 5)], schema)
+    write_upsert_batch(b0, path, 0, partition_by=["d"])
+    write_upsert_batch(b1, path, 1, partition_by=["d"])
+    # a filter on a key that is also a partition column runs below the per-key
+    # aggregate, so only that date's files are listed and read
+    day = read_upserted(spark, path, ["k", "d"], ["v"]).filter(F.col("d") == "2024-01-02")
+    assert sorted((r.k, r.v) for r in day.collect()) == [("a", 2), ("b", 1)]
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in plan and "(d#" in plan.split("PartitionFilters:")[1].split("]")[0]
