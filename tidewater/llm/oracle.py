@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import mixing, near_dup, quality, secret_scan
+from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, quality, secret_scan
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -64,6 +64,97 @@ FROM d JOIN m ON m.doc_id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 """
 
 
+OP2 = rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{chat.END}{chat.START}assistant ok'
+  UNION ALL SELECT -1, 1, 'assistant', '{chat.END}{chat.START}assistant ok'),
+e AS (
+  SELECT *, regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g') AS body,
+         regexp_replace(replace(replace(role, '%', '%25'), chr(10), '%0A'), '<(\\*)\|', '<\\\1|', 'g') AS head
+  FROM c),
+g AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS LAST, role, text) AS told,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS LAST, role, text) FILTER (WHERE role = '{chat.ASSISTANT}'), '') AS loss,
+         CAST(sum({len(chat.START) + len(chat.END) + 2} + len(head) + len(body)) AS BIGINT) AS formatted_chars,
+         string_agg(role, ',' ORDER BY turn NULLS LAST, role, text) AS roles,
+         bool_and(role IN ('system', 'user', 'assistant')) AS plain
+  FROM e GROUP BY conv_id)
+SELECT conv_id, CASE WHEN roles = 'user,assistant' THEN 'prompt' WHEN roles = 'system,user,assistant' THEN 'instruction-system'
+                     WHEN plain THEN 'sharegpt' ELSE 'messages' END AS layout,
+       n_turns, sha256(told) AS turns_sha256, CAST(len(loss) AS BIGINT) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM g
+"""
+
+
+def _op7() -> str:
+    """Anchors by corpus frequency, votes by relative position, phrases in place."""
+    quoted = ", ".join
+    words = quoted(f"({k}, {i}, {_quoted(w)})" for k, t in enumerate(license_scan.TEMPLATES) for i, w in enumerate(t.words))
+    labels = quoted(f"({k}, {_quoted(t.label)}, {len(t.words)})" for k, t in enumerate(license_scan.TEMPLATES))
+    phrases = quoted(f"({k}, {q}, {i})" for k, t in enumerate(license_scan.TEMPLATES) for q, p in enumerate(t.places) for i in p)
+    base = " UNION ALL ".join(
+        f"SELECT a.rid, a.i AS start, '{label}' AS label FROM {', '.join(f'h {x}' for x in 'abc'[: len(p)])} WHERE "
+        + " AND ".join(f"{x}.w = '{w}'" for x, w in zip("abc", p, strict=False))
+        + "".join(f" AND {x}.rid = a.rid AND {x}.i = a.i + {k}" for k, x in enumerate("bc"[: len(p) - 1], start=1))
+        for label, p in license_scan.BASE.items()
+    )
+    return rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{license_scan.WORD}') AS ws
+  FROM documents),
+p(t, j, w) AS (VALUES {words}),
+l(t, label, n) AS (VALUES {labels}),
+f(t, q, j) AS (VALUES {phrases}),
+u AS (SELECT rid, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
+h AS (SELECT * FROM u WHERE w IN (SELECT w FROM p) OR w IN ({quoted(f"'{w}'" for v in license_scan.BASE.values() for w in v)})),
+n AS (SELECT w, count(DISTINCT rid) AS n FROM h GROUP BY w),
+v AS (SELECT t, w, row_number() OVER (PARTITION BY t ORDER BY coalesce(n, 0), w) AS k FROM (SELECT DISTINCT t, w FROM p) LEFT JOIN n USING (w)),
+a AS (SELECT p.* FROM p JOIN v ON v.t = p.t AND v.w = p.w WHERE k <= {license_scan.ANCHORS}),
+s AS (
+  SELECT h.rid, a.t, h.i - a.j AS pos FROM h JOIN a ON a.w = h.w GROUP BY ALL HAVING count(*) >= {license_scan.VOTES}),
+m AS (SELECT s.rid, s.t, s.pos, p.j FROM s JOIN p ON p.t = s.t JOIN h ON h.rid = s.rid AND h.i = s.pos + p.j AND h.w = p.w),
+fn AS (SELECT t, q, count(*) AS n FROM f GROUP BY t, q),
+ok AS (
+  SELECT DISTINCT rid, t, pos FROM (
+    SELECT m.rid, m.t, m.pos, f.q FROM m JOIN f ON f.t = m.t AND f.j = m.j
+    GROUP BY ALL HAVING count(*) = (SELECT fn.n FROM fn WHERE fn.t = m.t AND fn.q = f.q))),
+sc AS (SELECT m.rid, m.t, m.pos, count(*) / any_value(l.n) AS score FROM m JOIN ok USING (rid, t, pos) JOIN l ON l.t = m.t GROUP BY ALL),
+b AS ({base}),
+bb AS (
+  SELECT rid, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM b GROUP BY rid),
+al AS (
+  SELECT rid, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT rid, label FROM b UNION SELECT rid, label FROM sc JOIN l USING (t)) GROUP BY rid),
+sx AS (SELECT rid, max(score) AS score FROM sc GROUP BY rid)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM d LEFT JOIN bb USING (rid) LEFT JOIN al USING (rid) LEFT JOIN sx USING (rid)
+"""
+
+
+OP10 = f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+u AS (
+  SELECT * FROM d WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(v) > 0
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.rid, a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.rid <> b.rid AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= {grid_join.THRESHOLD}),
+n AS (SELECT rid, count(*) AS n_links FROM l GROUP BY rid),
+reach(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM d
+  UNION
+  SELECT r.vec_id, l.b FROM reach r JOIN l ON l.a = r.other),
+m AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
+SELECT d.vec_id, coalesce(n_links, 0) AS n_links, component_id, d.vec_id = component_id AS kept
+FROM d JOIN m ON m.vec_id = d.vec_id LEFT JOIN n ON n.rid = d.rid
+"""
+
+
 def _op6() -> str:
     """Spans by cumulative lengths of the gaps and matches of each rule."""
     parts = []
@@ -134,7 +225,10 @@ FROM m
 
 ORACLE: dict[str, str] = {
     "op1_mix_sources": OP1,
+    "op2_chat_format": OP2,
     "op4_minhash_near_dups": OP4,
     "op6_secret_scan": _op6(),
+    "op7_license_scan": _op7(),
     "op9_quality_rules": _op9(),
+    "op10_grid_join": OP10,
 }

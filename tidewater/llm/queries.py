@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import mixing, near_dup, packing, quality, secret_scan
+from tidewater.llm import chat, grid_join, license_scan, markov_lm, mixing, near_dup, packing, quality, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,11 +20,37 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("id").alias("doc_id"), "source", "size", "source_size", "target", "taken")
 
 
+def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every formatted conversation, read back from its string."""
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = f"{chat.END}{chat.START}assistant ok"
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields]
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], ", ".join(kinds))
+    records = chat.records_of(rows.unionByName(more))
+    return chat.read_back(chat.format_chats(records, "id", "json")).withColumnRenamed("id", "conv_id")
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    d = toxicity.score_documents(docs, model)
+    return d.select(
+        F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"), "threshold", "flagged",
+    )
+
+
 def op4_minhash_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return near_dup.near_duplicates(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op5_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model score of every document."""
+    return markov_lm.score_documents(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     d = secret_scan.find_secrets(_table(spark, sf_dir, "documents"))
@@ -38,6 +64,21 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences in every document."""
+    d = license_scan.find_licenses(_table(spark, sf_dir, "documents"))
+    starts = F.transform("base", lambda b: b.start)
+    base = F.array_distinct(F.transform("base", lambda b: b.label))
+    own = F.transform("found", lambda f: f.label)
+    return d.select(
+        F.col("id").alias("doc_id"), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.array_join(F.sort_array(base), ",").alias("base_labels"),
+        F.array_join(F.sort_array(F.array_union(base, own)), ",").alias("labels"),
+        F.coalesce(F.array_max(F.transform("found", lambda f: f.score)), F.lit(0.0)).alias("score"),
+    )
+
+
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Place of every piece of every document."""
     return packing.pack(_table(spark, sf_dir, "documents"))
@@ -52,6 +93,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every vector."""
+    return grid_join.near_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of corpus_pipeline.py over documents."""
     import corpus_pipeline
@@ -61,9 +107,14 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_chat_format": op2_chat_format,
+    "op3_toxicity": op3_toxicity,
     "op4_minhash_near_dups": op4_minhash_near_dups,
+    "op5_markov_scores": op5_markov_scores,
     "op6_secret_scan": op6_secret_scan,
+    "op7_license_scan": op7_license_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
+    "op10_grid_join": op10_grid_join,
     "pipeline": pipeline,
 }
