@@ -2,7 +2,7 @@
 
 Templates are short public licence notices. Their words are indexed by position:
 word -> (template, position). How rare a licence word is comes from its document
-frequency over the whole corpus; each template is looked up by its rarest words
+frequency over the whole corpus; each template is looked up by its rare words
 alone. For every file, the rare licence words it holds are looked up, each hit
 votes for (template, start = place in file - place in template), and starts with
 two or more votes are candidates. A candidate counts only where a mandatory key
@@ -36,7 +36,9 @@ BASE = {"mit": ("mit", "license"), "apache": ("apache", "license"), "gpl": ("gen
 #: The word that all base phrases end in.
 LAST = "license"
 
-#: Rarest words by which a template is looked up, and votes that make a candidate.
+#: A template is looked up by its words that at most this share of the corpus holds,
+#: and by as many of its rarest ones in any case; votes that make a candidate.
+RARE_SHARE = 0.05
 ANCHORS = 4
 VOTES = 2
 
@@ -101,19 +103,22 @@ def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, int]:
-    """Documents that hold each licence word: one row a word of the fixed vocabulary."""
+    """Documents that hold each licence word, and all documents (under ""): one row
+    a word of the fixed vocabulary."""
     d = _words(docs.select(F.lit(0).alias("id"), F.col(text_col).alias("text")), "id", "text")
     seen = F.array_intersect("w", F.array(*map(F.lit, VOCABULARY)))
-    counts = d.select(F.explode(seen).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
+    counts = d.select(F.explode(F.array_append(seen, "")).alias("word")).groupBy("word").agg(F.count("*").alias("n"))
     return {r["word"]: r["n"] for r in counts.collect()}
 
 
 def anchors(frequency: dict[str, int]) -> list[tuple[str, int, int]]:
-    """The index: (word, template, position) of every template's rarest words.
-    Ascending document frequency is descending IDF."""
+    """The index: (word, template, position) of every template's rare words, of
+    those that the corpus holds. Ascending document frequency is descending IDF."""
     out = []
+    most = RARE_SHARE * frequency.get("", 0)
     for k, t in enumerate(TEMPLATES):
-        rare = sorted(set(t.words), key=lambda w: (frequency.get(w, 0), w))[:ANCHORS]
+        rare = sorted((w for w in set(t.words) if w in frequency), key=lambda w: (frequency[w], w))
+        rare = {w for n, w in enumerate(rare) if n < ANCHORS or frequency[w] <= most}
         out += [(w, k, i) for i, w in enumerate(t.words) if w in rare]
     return out
 
@@ -147,6 +152,7 @@ def find_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     of_word: dict[str, list[Column]] = {}
     for word, t, i in index:
         of_word.setdefault(word, []).append(F.struct(F.lit(t).alias("t"), F.lit(i).alias("i")))
+    of_word = of_word or {"": [F.struct(F.lit(0).alias("t"), F.lit(0).alias("i"))]}  # no licence word anywhere
     posting = F.create_map(*[x for word, spots in sorted(of_word.items()) for x in (F.lit(word), F.array(*spots))])
     looked_up = sorted(of_word)
 

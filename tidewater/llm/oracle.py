@@ -110,16 +110,16 @@ f(t, q, j) AS (VALUES {phrases}),
 u AS (SELECT rid, unnest(ws) AS w, unnest(range(len(ws))) AS i FROM d),
 h AS (SELECT * FROM u WHERE w IN (SELECT w FROM p) OR w IN ({quoted(f"'{w}'" for v in license_scan.BASE.values() for w in v)})),
 n AS (SELECT w, count(DISTINCT rid) AS n FROM h GROUP BY w),
-v AS (SELECT t, w, row_number() OVER (PARTITION BY t ORDER BY coalesce(n, 0), w) AS k FROM (SELECT DISTINCT t, w FROM p) LEFT JOIN n USING (w)),
-a AS (SELECT p.* FROM p JOIN v ON v.t = p.t AND v.w = p.w WHERE k <= {license_scan.ANCHORS}),
+v AS (SELECT t, w, n, row_number() OVER (PARTITION BY t ORDER BY n, w) AS k FROM (SELECT DISTINCT t, w FROM p) JOIN n USING (w)),
+a AS (
+  SELECT p.* FROM p JOIN v ON v.t = p.t AND v.w = p.w
+  WHERE k <= {license_scan.ANCHORS} OR n <= {license_scan.RARE_SHARE} * (SELECT count(*) FROM d)),
 s AS (
   SELECT h.rid, a.t, h.i - a.j AS pos FROM h JOIN a ON a.w = h.w GROUP BY ALL HAVING count(*) >= {license_scan.VOTES}),
 m AS (SELECT s.rid, s.t, s.pos, p.j FROM s JOIN p ON p.t = s.t JOIN h ON h.rid = s.rid AND h.i = s.pos + p.j AND h.w = p.w),
 fn AS (SELECT t, q, count(*) AS n FROM f GROUP BY t, q),
-ok AS (
-  SELECT DISTINCT rid, t, pos FROM (
-    SELECT m.rid, m.t, m.pos, f.q FROM m JOIN f ON f.t = m.t AND f.j = m.j
-    GROUP BY ALL HAVING count(*) = (SELECT fn.n FROM fn WHERE fn.t = m.t AND fn.q = f.q))),
+hit AS (SELECT m.rid, m.t, m.pos, f.q, count(*) AS k FROM m JOIN f ON f.t = m.t AND f.j = m.j GROUP BY ALL),
+ok AS (SELECT DISTINCT hit.rid, hit.t, hit.pos FROM hit JOIN fn ON fn.t = hit.t AND fn.q = hit.q AND fn.n = hit.k),
 sc AS (SELECT m.rid, m.t, m.pos, count(*) / any_value(l.n) AS score FROM m JOIN ok USING (rid, t, pos) JOIN l ON l.t = m.t GROUP BY ALL),
 b AS ({base}),
 bb AS (
