@@ -1,12 +1,14 @@
-"""Sinks: Parquet reports, the keyed upsert store, and the Kafka publisher
-(K-1 ... K-5).
-
-The upsert store needs no table format: every write is one batch directory
-``<path>/batch=<id>``, written with ``overwrite`` so that replaying a batch
-(same id after a restart) rewrites the same directory instead of adding rows.
-Reading applies latest-per-key over all batches (a partial aggregate), so the
-result is the same however often a batch was written. ``compact`` folds the
-batches into a new base directory when the batch count grows.
+"""Sinks: Parquet reports, the keyed stores, and the Kafka publisher (K-1 ... K-5).
+
+Two store layouts, both without a table format:
+
+* the *upsert store* keeps every load under ``<path>/batch=<load>`` and resolves
+  keys on read (latest per key). A load that runs again under the same id adds
+  its rows once more and never removes others; reading folds the duplicates.
+  ``compact`` folds the loads into a new store.
+* the *forecast store* merges at write: rows of the touched (run, bucket)
+  partitions are merged by row key with the incoming ones and only these
+  partitions are replaced. Reading is a plain scan.
 """
 
 from __future__ import annotations
@@ -14,13 +16,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidewater.operators.dedup import latest_by_key
 
 BATCH_COL = "batch"
+BUCKET_COL = "bucket"
+
+#: Buckets of a forecast run, by hash of the port: a reload of one port rewrites
+#: one of them.
+FORECAST_BUCKETS = 16
 
 
 def write_report(df: DataFrame, base: str, name: str, mode: str = "overwrite") -> str:
@@ -30,31 +36,61 @@ def write_report(df: DataFrame, base: str, name: str, mode: str = "overwrite") -
     return path
 
 
-def write_forecast_store(forecast: DataFrame, path: str, run_col: str = "ref_time") -> str:
-    """Forecast store layout: typed rows partitioned by run.
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Ask the path's own Hadoop file system (local, HDFS, object store alike)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)  # noqa: SLF001
+    conf = spark.sparkContext._jsc.hadoopConfiguration()  # noqa: SLF001
+    return bool(target.getFileSystem(conf).exists(target))
+
+
+def read_store(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """K-3: a store of a known schema; one that was never written is empty. A
+    store that exists but cannot be read is an error, not an empty table."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
-    Dynamic partition overwrite replaces only the runs present in ``forecast``,
-    so re-landing a run is idempotent and other runs are untouched. On this
-    layout the newest-run filter (``latest_run``) becomes a partition filter
-    evaluated from a subquery that reads partition values only: the reports
-    then read just the newest run's files.
-    """
+
+def bucket_of(key: str | Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def write_forecast_store(
+    forecast: DataFrame, path: str, run_col: str = "ref_time", key: str = "id", port_col: str = "port_id",
+    buckets: int = FORECAST_BUCKETS,
+) -> str:
+    """K-2: merge rows into the forecast store by row key, incoming rows first.
+
+    The store is partitioned by run and by a hash bucket of the port. Stored rows
+    of the touched partitions whose key does not come in are kept next to the
+    incoming rows, and dynamic partition overwrite replaces these partitions
+    alone: other runs, and other ports of the same run, stay. A key that comes in
+    twice is kept once (the greater row). The newest-run filter (``latest_run``)
+    is a partition filter on this layout, evaluated from partition values."""
+    spark = forecast.sparkSession
+    fresh = latest_by_key(forecast, [key]).withColumn(BUCKET_COL, bucket_of(port_col, buckets))
+    stored = read_store(spark, path, fresh.schema)
+    touched = fresh.select(run_col, BUCKET_COL).distinct()
+    others = stored.join(touched, [run_col, BUCKET_COL], "left_semi").join(fresh.select(key), key, "left_anti")
     (
-        forecast.write.mode("overwrite")
+        fresh.unionByName(others.select(*fresh.columns))
+        .repartition(run_col, BUCKET_COL)  # one file a touched partition
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(run_col)
+        .partitionBy(run_col, BUCKET_COL)
         .parquet(path)
     )
     return path
 
 
 def write_upsert_batch(
-    df: DataFrame, path: str, batch_id: int, partition_by: Sequence[str] | None = None
+    df: DataFrame, path: str, batch_id: int | str, partition_by: Sequence[str] | None = None
 ) -> str:
-    """K-2 write side: one idempotent batch directory (optionally partitioned
-    inside, e.g. by event date, so later reads can prune)."""
-    out = f"{path.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
-    writer = df.write.mode("overwrite")
+    """K-2 write side: add one load (optionally partitioned inside, e.g. by event
+    date, so later reads can prune). Rows of an earlier load under the same id
+    stay; ``read_upserted`` resolves keys, so a repeated load changes nothing."""
+    out = f"{path.rstrip('/')}/{BATCH_COL}={batch_id}"
+    writer = df.write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(out)
@@ -69,8 +105,8 @@ def read_upserted(
     schema: StructType | str | None = None,
     columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """K-2 read side: newest version per key across all batches. ``order_by``
-    decides which write is newest; the batch id breaks remaining ties.
+    """K-2 read side: newest version per key across all loads. ``order_by``
+    decides which write is newest; the load id breaks remaining ties.
 
     ``columns`` narrows the result to those columns (plus the keys) *before*
     the per-key shuffle: the survivor struct, and so the shuffle, carries only
@@ -78,14 +114,10 @@ def read_upserted(
 
     K-3: a target that has never been written is an empty table of ``schema``
     (when given) rather than an error, so the first upsert needs no setup."""
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException as exc:
-        nothing_written = "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc)
-        if schema is None or not nothing_written:
-            raise
+    if schema is not None and not path_exists(spark, path):
         empty = spark.createDataFrame([], schema)
         return empty.select(*keys, *columns) if columns else empty
+    df = spark.read.parquet(path)
     if columns:
         ordering = [o for o in order_by if isinstance(o, str) and o not in keys and o not in columns]
         df = df.select(*keys, *columns, *ordering, BATCH_COL)
@@ -96,7 +128,9 @@ def read_upserted(
 def compact(
     spark: SparkSession, path: str, target: str, keys: Sequence[str], order_by: Sequence[str | Column] = ()
 ) -> str:
-    """Fold all batches of ``path`` into batch 0 of a new store at ``target``."""
+    """Fold all loads of ``path`` into the one load of a new store at ``target``."""
+    if path_exists(spark, target):
+        raise ValueError(f"{target} exists; compact into a new path")
     return write_upsert_batch(read_upserted(spark, path, keys, order_by), target, 0)
 
 

@@ -141,24 +141,40 @@ def message_key(df: DataFrame, value_col: str = "value", id_col: str = "message_
 
 
 def dedupe_messages(good: DataFrame, value_col: str = "value", watermark: str | None = None) -> DataFrame:
-    """U-3: one row per message key. Batch: a hash aggregate with a partial step
-    (replays collapse on the map side). Stream: with ``watermark``, state for a
-    key is dropped once the watermark passes, so state stays bounded."""
+    """U-3: one row per message key. Batch: an aggregate with a partial step
+    (replays collapse on the map side). Stream: with ``watermark`` on the time a
+    message counts under, state for a key is dropped once the watermark passes, so
+    state stays bounded."""
     decoded = decode_ais(good, value_col, keep_value=True)
     keyed = decoded.withColumn("message_key", message_key(decoded, value_col)).drop(JSON_COL)
     if watermark:
-        return keyed.withWatermark("event_time", watermark).dropDuplicatesWithinWatermark(["message_key"])
+        return count_time(keyed).withWatermark(COUNT_TIME, watermark).dropDuplicatesWithinWatermark(["message_key"])
     return keyed.dropDuplicates(["message_key"])
 
 
+#: The time that a message counts under.
+COUNT_TIME = "count_time"
+
+
+def count_time(decoded: DataFrame, arrival_col: str = "ts") -> DataFrame:
+    """Add the time a message counts under: its own, else its arrival (landing or
+    Kafka timestamp), else the Unix epoch, so that no valid frame goes uncounted."""
+    times = [F.col("event_time")]
+    if arrival_col in decoded.columns:
+        times.append(F.col(arrival_col).cast("timestamp"))
+    return decoded.withColumn(COUNT_TIME, F.coalesce(*times, F.timestamp_seconds(F.lit(0))))
+
+
 def type_counts(
-    decoded: DataFrame, window: str = "15 minutes", watermark: str | None = None, time_col: str = "event_time"
+    decoded: DataFrame, window: str = "15 minutes", watermark: str | None = None, time_col: str = COUNT_TIME
 ) -> DataFrame:
-    """T-5 / T-6: message count per message type per event-time window.
+    """T-5 / T-6: message count per message type per window of ``count_time``.
 
     With ``watermark`` (streaming), rows later than the watermark are dropped
     from these counts only; the ingest path keeps them. Output windows are
     flattened to naive (UTC wall-clock) ``window_start`` / ``window_end``."""
+    if time_col == COUNT_TIME and COUNT_TIME not in decoded.columns:
+        decoded = count_time(decoded)
     df = decoded.withColumn("message_type", F.coalesce(F.col("message_type"), F.lit("Unknown")))
     if watermark:
         df = df.withWatermark(time_col, watermark)

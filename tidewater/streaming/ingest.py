@@ -9,32 +9,35 @@ route / key functions run on either.
   * records are classified once (the batch is persisted for the two writes and
     recomputed from its fixed source offsets if an executor is lost);
   * good messages are keyed (MessageID + hash of canonical JSON), de-duplicated
-    within the batch and written to ``<store>/batch=<id>``; a replayed batch
-    rewrites the same directory, and reads resolve duplicates across batches
-    by key (``sinks.read_upserted``), so at-least-once delivery gives
-    exactly-once rows;
-  * rejects go to ``<rejects>/batch=<id>`` with their reason; the stream keeps
-    running (``fail_on_invalid=True`` stops it instead, as the reference does
-    for a bad structure).
+    within the batch and against the stored keys, and written to the store;
+  * rejects go to ``<rejects>/load=<load>`` with their reason; the stream keeps
+    running (``fail_on_invalid=True`` stops it instead).
+
+The store is partitioned by event date, by a hash bucket of the key, and by
+load, the persistent id of the streaming query with the batch number. A batch
+that is replayed after a failure replaces its own load's partitions with the same
+rows. Another query, or the same one under a new checkpoint, has another id and
+replaces nothing. The key lookup reads only the (date, bucket) partitions that
+the batch touches, and a batch writes one file to each of them; ``compact_days``
+folds the loads of closed days.
+
 Progress lives in the checkpoint under ``spark.checkpoint.dir`` (shared
 storage), so a restarted query resumes from the last committed batch.
 """
 
 from __future__ import annotations
 
+import datetime
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from tidewater.session import checkpoint_root
-from pyspark.errors import AnalysisException
-
-from tidewater.sinks import BATCH_COL, write_upsert_batch
-from tidewater.streaming.ais import JSON_COL, OK, classify, decode_ais, dedupe_messages, type_counts
-
-# The reference consumer's per-run bound on messages.
-MAX_MESSAGES_PER_TRIGGER = 10_000
+from tidewater.sinks import BUCKET_COL, bucket_of, path_exists, read_store
+from tidewater.streaming.ais import JSON_COL, OK, classify, count_time, decode_ais, dedupe_messages, type_counts
 
 FILE_SCHEMA = StructType(
     [
@@ -49,18 +52,20 @@ def read_kafka(
     spark: SparkSession,
     servers: str,
     topic: str,
-    max_offsets: int = MAX_MESSAGES_PER_TRIGGER,
+    max_offsets: int | None = None,
     starting_offsets: str = "earliest",
 ) -> DataFrame:
-    """S-12: the topic as a stream of ``value`` text plus Kafka coordinates."""
-    raw = (
+    """S-12: the topic as a stream of ``value`` text plus Kafka coordinates.
+    ``max_offsets`` is an optional rate limit per trigger (T-7)."""
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting_offsets)
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .load()
     )
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
+    raw = reader.load()
     return raw.select(
         F.col("value").cast("string").alias("value"),
         "topic", "partition", "offset",
@@ -82,59 +87,105 @@ def _checkpoint(spark: SparkSession, name: str, checkpoint: str | None) -> str:
 
 KEY_COL = "message_key"
 DATE_COL = "event_date"
+LOAD_COL = "load"
+
+#: Buckets of a day (and of the undated messages), by hash of the message key.
+MESSAGE_BUCKETS = 8
+
+
+def _stored_keys(spark: SparkSession, store_path: str, messages: DataFrame, load: str) -> DataFrame:
+    """Keys already in the store from *other* loads, in the partitions this batch
+    touches. A message always has the same event date and bucket, so a redelivered
+    one is found there. The semi-joins on the batch's dates and buckets let dynamic
+    partition pruning read only those directories; messages without a parseable
+    time live under the null date, where the buckets alone select. Excluding this
+    batch's own load keeps a replayed batch identical to its first attempt."""
+    stored = read_store(spark, store_path, _stored_schema(messages))
+    others = stored.filter(F.col(LOAD_COL) != load)
+    touched = messages.select(DATE_COL, BUCKET_COL).distinct()
+    dated = others.join(touched.filter(F.col(DATE_COL).isNotNull()), [DATE_COL, BUCKET_COL], "left_semi")
+    buckets = touched.filter(F.col(DATE_COL).isNull()).select(BUCKET_COL)
+    undated = others.filter(F.col(DATE_COL).isNull()).join(buckets, BUCKET_COL, "left_semi")
+    return dated.select(KEY_COL).unionByName(undated.select(KEY_COL))
+
+
+def _stored_schema(messages: DataFrame) -> StructType:
+    return StructType([*messages.schema.fields, StructField(LOAD_COL, StringType())])
+
+
+def keyed_messages(good: DataFrame, buckets: int = MESSAGE_BUCKETS) -> DataFrame:
+    """Good messages of a batch, once each, with their store partition."""
+    return (
+        dedupe_messages(good)
+        .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
+        .withColumn(DATE_COL, F.to_date("event_time"))
+        .withColumn(BUCKET_COL, bucket_of(KEY_COL, buckets))
+    )
 
 
-def _stored_keys(spark: SparkSession, store_path: str, messages: DataFrame, batch_id: int) -> DataFrame:
-    """Keys already in the store from *other* batches, on the dates this batch
-    touches. A message always has the same event date, so a redelivered one is
-    found there. The semi-join on the batch's dates lets dynamic partition
-    pruning read only those date directories; messages without a parseable
-    time live in the null-date partition, which a static filter selects.
-    Excluding this batch's own id keeps a replayed batch (same id after a
-    failure) identical to its first attempt."""
-    try:
-        stored = spark.read.parquet(store_path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" not in str(exc) and "UNABLE_TO_INFER_SCHEMA" not in str(exc):
-            raise
-        # nothing stored yet (no directory, or only empty batches)
-        return spark.createDataFrame([], messages.select(KEY_COL).schema)
-    others = stored.filter(F.col(BATCH_COL) != batch_id)
-    dates = messages.select(DATE_COL).filter(F.col(DATE_COL).isNotNull()).distinct()
-    dated = others.join(dates, DATE_COL, "left_semi").select(KEY_COL)
-    undated = others.filter(F.col(DATE_COL).isNull()).select(KEY_COL)
-    return dated.unionByName(undated)
+def fresh_messages(messages: DataFrame, store_path: str, load: str) -> DataFrame:
+    """Those ``messages`` that no other load has stored."""
+    return messages.join(_stored_keys(messages.sparkSession, store_path, messages, load), KEY_COL, "left_anti")
 
 
 def write_ais_batch(
-    batch: DataFrame, batch_id: int, store_path: str, rejects_path: str | None, fail_on_invalid: bool = False
+    batch: DataFrame,
+    batch_id: int,
+    store_path: str,
+    rejects_path: str | None,
+    fail_on_invalid: bool = False,
+    run_id: str = "static",
+    buckets: int = MESSAGE_BUCKETS,
 ) -> None:
     """One micro-batch of the ingest (also usable on a static frame).
 
     Each message key is stored once: the batch is de-duplicated in itself and
-    against keys stored by other batches, so ``read_messages`` needs no
-    per-key shuffle. Rejects are kept with their reason."""
+    against keys stored by other loads, so ``read_messages`` needs no per-key
+    shuffle. Rejects are kept with their reason. A load is named by ``run_id``
+    and ``batch_id``; only a load of the same name is ever replaced."""
+    load = f"{run_id}-{batch_id}"
     tagged = classify(batch).persist()
     try:
-        if fail_on_invalid and tagged.filter(F.col("reason") == "bad_structure").limit(1).count():
-            raise ValueError("Invalid message structure: expected Message and MetaData objects")
+        if fail_on_invalid:
+            shown = [c for c in ("topic", "partition", "offset", "event_id") if c in tagged.columns]
+            bad = tagged.filter(F.col("reason") == "bad_structure").select(*shown).limit(1).collect()
+            if bad:
+                where = ", ".join(f"{c}={bad[0][c]}" for c in shown) or "an unnamed record"
+                raise ValueError(f"Message or MetaData is not a JSON object in batch {batch_id} ({where})")
         good = tagged.filter(F.col("reason") == OK).drop("reason")
-        messages = (
-            dedupe_messages(good)
-            .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-            .withColumn(DATE_COL, F.to_date("event_time"))
+        fresh = fresh_messages(keyed_messages(good, buckets), store_path, load).withColumn(LOAD_COL, F.lit(load))
+        (
+            fresh.repartition(DATE_COL, BUCKET_COL)  # one file a touched partition
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(DATE_COL, BUCKET_COL, LOAD_COL)
+            .parquet(store_path)
         )
-        fresh = messages.join(_stored_keys(batch.sparkSession, store_path, messages, batch_id), KEY_COL, "left_anti")
-        write_upsert_batch(fresh, store_path, batch_id, partition_by=[DATE_COL])
         if rejects_path:
-            write_upsert_batch(tagged.filter(F.col("reason") != OK).drop(JSON_COL), rejects_path, batch_id)
+            rejects = tagged.filter(F.col("reason") != OK).drop(JSON_COL)
+            rejects.write.mode("overwrite").parquet(f"{rejects_path.rstrip('/')}/{LOAD_COL}={load}")
     finally:
         tagged.unpersist()
 
 
 def read_messages(spark: SparkSession, store_path: str) -> DataFrame:
     """The message store, one row per message key (no shuffle on read)."""
-    return spark.read.parquet(store_path).drop(BATCH_COL)
+    return spark.read.parquet(store_path).drop(BUCKET_COL, LOAD_COL)
+
+
+def compact_days(spark: SparkSession, store_path: str, target: str, before: datetime.date) -> str:
+    """Copy the days before ``before`` to a new store with one load a partition."""
+    if path_exists(spark, target):
+        raise ValueError(f"{target} exists; compact into a new path")
+    closed = spark.read.parquet(store_path).filter(F.col(DATE_COL) < F.lit(before))
+    folded = closed.withColumn(LOAD_COL, F.lit("compacted"))
+    folded.repartition(DATE_COL, BUCKET_COL).write.partitionBy(DATE_COL, BUCKET_COL, LOAD_COL).parquet(target)
+    return target
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The persistent id that Spark keeps in a query's checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
 
 
 def ingest_ais(
@@ -148,9 +199,12 @@ def ingest_ais(
 ) -> StreamingQuery:
     """T-4: stream messages into the keyed message store."""
     spark = stream.sparkSession
-    writer = stream.writeStream.foreachBatch(
-        lambda df, batch_id: write_ais_batch(df, batch_id, store_path, rejects_path, fail_on_invalid)
-    ).option("checkpointLocation", _checkpoint(spark, "ais_ingest", checkpoint))
+    progress = _checkpoint(spark, "ais_ingest", checkpoint)
+
+    def store(df: DataFrame, batch_id: int) -> None:
+        write_ais_batch(df, batch_id, store_path, rejects_path, fail_on_invalid, _query_id(spark, progress))
+
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", progress)
     if processing_time:
         writer = writer.trigger(processingTime=processing_time)
     elif available_now:
@@ -167,13 +221,14 @@ def type_count_stream(
     output_mode: str = "append",
     query_name: str | None = None,
     available_now: bool = True,
-    dedupe: bool = True,
+    dedupe: bool = False,
 ) -> StreamingQuery:
     """T-5 / T-6 / T-7: per-window message type counts of the live feed.
 
-    With ``dedupe`` (default) a message redelivered within the watermark is
-    counted once: messages are de-duplicated by key before counting, with the
-    same watermark, so both stateful steps keep bounded state.
+    Every good frame counts, redelivered ones too, as in ``message_type_counts``.
+    With ``dedupe`` a message redelivered within the watermark is counted once:
+    messages are de-duplicated by key before counting, with the same watermark, so
+    both stateful steps keep bounded state.
 
     ``append`` emits a window once the watermark passes its end (final counts;
     rows later than the watermark are not counted). ``complete`` re-emits all
@@ -181,7 +236,7 @@ def type_count_stream(
     otherwise to an in-memory table named ``query_name``."""
     spark = stream.sparkSession
     good = classify(stream).filter(F.col("reason") == OK).drop("reason")
-    decoded = dedupe_messages(good, watermark=watermark) if dedupe else decode_ais(good)
+    decoded = dedupe_messages(good, watermark=watermark) if dedupe else count_time(decode_ais(good))
     counts = type_counts(decoded, window=window, watermark=None if dedupe else watermark)
     writer = counts.writeStream.outputMode(output_mode)
     if path:
