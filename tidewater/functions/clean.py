@@ -91,22 +91,33 @@ def parse_ais_time(c: str | Column) -> Column:
     return F.try_to_timestamp(text)
 
 
-# Python literal -> JSON literal, matched only in value position.
+# Python literal -> JSON literal.
 PY_LITERALS = (("True", "true"), ("False", "false"), ("None", "null"))
 
+#: The rest of a text from a place outside quotes: plain characters and whole quoted texts.
+_OUTSIDE_QUOTES = r"""(?=[^'"]*+(?:(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")[^'"]*+)*+$)"""
+
+
+#: ``\\xNN`` after an even number of backslashes, and its JSON form.
+HEX_ESCAPE = (r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
+
 
 def py_literal_pattern(literal: str) -> str:
-    return rf"(?<=[:,\[]\s{{0,8}}){literal}(?=\s*[,}}\]])"
+    """The literal as a word of its own, outside quoted texts."""
+    return rf"(?s)\b{literal}\b{_OUTSIDE_QUOTES}"
 
 
 def parse_repr(c: str | Column, schema) -> Column:
     """Python-repr dict text (single quotes, True/False/None) -> struct.
 
     Old store rows hold nested messages as ``str(dict)``. The JSON reader already
-    accepts single quotes; only the three Python literals in value position need
-    rewriting. Values inside quoted strings are left alone.
+    accepts single quotes and, asked to, any escaped character. The three Python
+    literals are rewritten wherever they stand outside quoted texts, with any
+    white space around; texts that contain them are left alone. ``\\xNN`` escapes
+    become ``\\u00NN``.
     """
     text = _col(c)
     for literal, json_literal in PY_LITERALS:
-        text = F.regexp_replace(text, py_literal_pattern(literal), json_literal)
-    return F.from_json(text, schema)
+        text = F.when(text.contains(literal), F.regexp_replace(text, py_literal_pattern(literal), json_literal)).otherwise(text)
+    text = F.when(text.contains("\\x"), F.regexp_replace(text, *HEX_ESCAPE)).otherwise(text)
+    return F.from_json(text, schema, {"allowBackslashEscapingAnyCharacter": "true"})

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -32,17 +33,27 @@ class BBox:
 
 
 def parse_bbox(text: str) -> BBox:
-    """Parse the configuration text ``[[[min_lon, max_lon], [min_lat, max_lat]]]``.
+    """Read a box from configuration text: one box, as a longitude range and a
+    latitude range, ``[[[min_lon, max_lon], [min_lat, max_lat]]]``.
 
-    This is the axis-range reading the registry fetchers use. It runs once on the
-    driver over a configuration string, not over data.
-    """
+    Runs once on the driver over a setting, not over data. A text that is no box
+    raises ``ValueError`` and says what is wrong with it."""
     try:
-        data = json.loads(text)
-        (min_lon, max_lon), (min_lat, max_lat) = data[0][0], data[0][1]
-        return BBox(float(min_lon), float(max_lon), float(min_lat), float(max_lat))
-    except Exception as exc:  # noqa: BLE001 - re-raised with context
-        raise ValueError(f"Failed to parse BBOX: {exc}") from exc
+        boxes = json.loads(text)
+    except json.JSONDecodeError as exc:
+        raise ValueError(f"the box is not JSON: {exc}") from exc
+    ranges = boxes[0] if isinstance(boxes, list) and len(boxes) == 1 else None
+    if not (isinstance(ranges, list) and len(ranges) == 2 and all(isinstance(r, list) and len(r) == 2 for r in ranges)):
+        raise ValueError("the box must be one list of a longitude range and a latitude range")
+    for name, limit, pair in zip(("longitude", "latitude"), (180.0, 90.0), ranges, strict=True):
+        if not all(isinstance(v, int | float) and not isinstance(v, bool) and math.isfinite(v) for v in pair):
+            raise ValueError(f"{name} bounds must be finite numbers, not {pair}")
+        if pair[0] > pair[1]:
+            raise ValueError(f"{name} range {pair} runs backwards")
+        if max(map(abs, pair)) > limit:
+            raise ValueError(f"{name} range {pair} leaves [-{limit:g}, {limit:g}]")
+    lon, lat = ranges
+    return BBox(float(lon[0]), float(lon[1]), float(lat[0]), float(lat[1]))
 
 
 def within_bbox(df: DataFrame, box: BBox, lat: str = "latitude", lon: str = "longitude") -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tidewater.functions.clean import PY_LITERALS, py_literal_pattern
+from tidewater.functions.clean import HEX_ESCAPE, PY_LITERALS, py_literal_pattern
 
 # SQL function name -> field of the position report.
 EXTRACTORS = {"extract_sog": "Sog", "extract_cog": "Cog", "extract_heading": "TrueHeading"}
@@ -25,7 +25,8 @@ def _repr_to_json_sql(arg: str) -> str:
     expr = arg
     for literal, json_literal in PY_LITERALS:
         expr = f"regexp_replace({expr}, {_sql_literal(py_literal_pattern(literal))}, '{json_literal}')"
-    return expr
+    pattern, replacement = HEX_ESCAPE
+    return f"regexp_replace({expr}, {_sql_literal(pattern)}, {_sql_literal(replacement)})"
 
 
 def register_sql_functions(spark: SparkSession) -> list[str]:
@@ -34,6 +35,7 @@ def register_sql_functions(spark: SparkSession) -> list[str]:
     for name, field in EXTRACTORS.items():
         spark.sql(
             f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(report STRING) RETURNS DOUBLE "
-            f"RETURN from_json({_repr_to_json_sql('report')}, {schema}).{field}"
+            f"RETURN from_json({_repr_to_json_sql('report')}, {schema}, "
+            f"map('allowBackslashEscapingAnyCharacter', 'true')).{field}"
         )
     return list(EXTRACTORS)

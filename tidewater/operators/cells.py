@@ -43,8 +43,11 @@ def cells_to_rows(cells: DataFrame, catalog: Catalog) -> DataFrame:
     for c, (fam, qual) in catalog.columns.items():
         if fam == "rowkey":
             continue
-        here = (F.col("family") == fam) & (F.col("qualifier") == qual)
-        pick.append(F.max(F.when(here, F.struct("cell_ts", "value"))).getField("value").alias(c))
+        newest = [
+            F.max(F.when((F.col("family") == fam) & (F.col("qualifier") == q), F.struct("cell_ts", "value")))["value"]
+            for q in dict.fromkeys((qual, *catalog.alternates.get(c, ())))
+        ]
+        pick.append(F.coalesce(*newest).alias(c))
     rows = cells.groupBy("row_key").agg(*pick)
     return rows.select(
         *[F.col("row_key").alias(c) if fam == "rowkey" else F.col(c) for c, (fam, _) in catalog.columns.items()]

@@ -3,7 +3,10 @@
 Written as ``groupBy(key).agg(max(struct(order..., rest...)))`` rather than a
 ``row_number()`` window: the aggregate runs a partial step on the map side, so
 a key holding a third of all rows is reduced to one row per input partition
-before the shuffle, and no task ever has to sort a whole hot group. Struct
+before the shuffle, and no task ever has to hold a whole hot group. A struct
+with text fields does not fit a hash aggregate's fixed-width buffer, so Spark
+plans a ``SortAggregate``: rows are sorted by key on both sides of the exchange
+(spilling, in memory-bounded runs). Struct
 ordering compares fields left to right with null lowest, which is
 ``ORDER BY o1 DESC NULLS LAST, o2 DESC NULLS LAST, ...`` over the order columns
 followed by every remaining column: a total, repeatable choice of survivor.

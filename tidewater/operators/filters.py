@@ -19,22 +19,20 @@ def latest_run(df: DataFrame, run_col: str = "ref_time") -> DataFrame:
     return df.filter(F.col(run_col) == newest)
 
 
-def latest_run_per(df: DataFrame, key: str, run_col: str = "ref_time") -> DataFrame:
-    """Variant: each key's own newest run (keeps ports missing from the last run)."""
-    newest = df.groupBy(key).agg(F.max(run_col).alias("__newest"))
-    return df.join(newest, key).filter(F.col(run_col) == F.col("__newest")).drop("__newest")
-
-
 def recent(df: DataFrame, ts_col: str, seconds: int = 3600, date_col: str | None = None) -> DataFrame:
     """Rows within ``seconds`` of the newest timestamp, compared in whole epoch
     seconds: ``unix_seconds(ts) >= max(unix_seconds(ts)) - seconds``.
 
     ``date_col``: a date partition column of ``ts_col`` (e.g. the message
-    store's ``event_date``). The implied ``date_col >= date(newest - seconds)``
-    is added, which Spark evaluates as a runtime partition filter: only the
-    last day or two of files are read."""
+    store's ``event_date``). The newest date comes from partition values alone,
+    the newest timestamp from that date's files, and the implied
+    ``date_col >= date(newest - seconds)`` is added, which Spark evaluates as a
+    runtime partition filter: only the last day or two of files are read."""
     secs = F.unix_seconds(F.col(ts_col).cast("timestamp"))
-    newest = df.agg(F.max(secs)).scalar()
+    last = df
+    if date_col:
+        last = df.filter(F.col(date_col) == df.agg(F.max(date_col)).scalar())
+    newest = last.agg(F.max(secs)).scalar()
     out = df.filter(secs >= newest - F.lit(seconds))
     if date_col:
         cutoff = F.to_date(F.timestamp_seconds(newest - F.lit(seconds)))

@@ -17,13 +17,6 @@ def _unpivot_one_row(row: DataFrame, name_col: str, value_col: str) -> DataFrame
     return row.unpivot([], row.columns, name_col, value_col)
 
 
-def null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """``(column_name, null_count)`` for every column, from a single scan."""
-    cols = list(cols or df.columns)
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols])
-    return _unpivot_one_row(counts, "column_name", "null_count")
-
-
 def stage_counts(df: DataFrame, stages: dict[str, Column]) -> DataFrame:
     """``(stage, row_count)`` for named count expressions evaluated in one pass,
     e.g. ``{"loaded": F.count("*"), "valid": F.count_if(cond)}``."""
