@@ -2,10 +2,10 @@
 
     spark-submit --py-files tidewater.zip tidewater/cli.py weather  --forecast F --ports P --out DIR
     ... fleet       --ports P --vessels V --out DIR
-    ... movement    (--messages M | --store S) --out DIR
+    ... movement    (--messages M | --store S) --out DIR [--since DATE] [--until DATE]
     ... ingest-ais  (--files DIR | --kafka HOSTS --topic T) --store S [--rejects R]
     ... type-counts (--files DIR | --kafka HOSTS --topic T) --out DIR [--watermark W]
-    ... forecast-load --payloads DIR --store S
+    ... forecast-load --payloads DIR --store S [--rejects R]
     ... registry-load --payloads DIR --store S --catalog ports|vessels --fetched-at EPOCH --batch-id N
     ... current-load  --payloads DIR --store S --batch-id N [--rejects R]
 
@@ -62,6 +62,8 @@ def main(argv: list[str] | None = None) -> dict:
     msrc.add_argument("--messages", help="message files with a value column")
     msrc.add_argument("--store", help="message store written by ingest-ais (one row per message key)")
     m.add_argument("--out", required=True)
+    m.add_argument("--since", default=None, help="first event date")
+    m.add_argument("--until", default=None, help="event date after the last")
 
     for name in ("ingest-ais", "type-counts"):
         s = sub.add_parser(name)
@@ -69,7 +71,7 @@ def main(argv: list[str] | None = None) -> dict:
         src.add_argument("--files")
         src.add_argument("--kafka")
         s.add_argument("--topic", default="ais-stream")
-        s.add_argument("--max-offsets", type=int, default=10_000)
+        s.add_argument("--max-offsets", type=int, default=None)
         s.add_argument("--max-files", type=int, default=None)
         s.add_argument("--checkpoint", default=None)
         if name == "ingest-ais":
@@ -84,6 +86,7 @@ def main(argv: list[str] | None = None) -> dict:
     fl = sub.add_parser("forecast-load")
     fl.add_argument("--payloads", required=True)
     fl.add_argument("--store", required=True)
+    fl.add_argument("--rejects", default=None)
 
     rl = sub.add_parser("registry-load")
     rl.add_argument("--payloads", required=True)
@@ -113,11 +116,11 @@ def main(argv: list[str] | None = None) -> dict:
             messages = ingest.read_messages(spark, args.store)
         else:
             messages = _read_table(spark, args.messages)
-        result = jobs.movement_job(messages.select("value"), args.out)
+        result = jobs.movement_job(messages, args.out, since=args.since, until=args.until)
     elif args.job == "forecast-load":
-        from tidewater.sources.payloads import read_forecast_payloads
+        from tidewater.sources.payloads import read_json_payloads
 
-        result = {"store": jobs.forecast_load_job(read_forecast_payloads(spark, args.payloads), args.store)}
+        result = {"store": jobs.forecast_load_job(read_json_payloads(spark, args.payloads), args.store, args.rejects)}
     elif args.job == "registry-load":
         from tidewater.sources.catalog import PORTS, VESSELS
         from tidewater.sources.payloads import read_json_payloads

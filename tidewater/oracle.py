@@ -10,7 +10,7 @@ of ``functions.clean.round_half_up``.
 from __future__ import annotations
 
 from tidewater.sources import fixtures as fx
-from tidewater.sources.catalog import FORECAST_ANALYSIS_FIELDS
+from tidewater.sources.catalog import FORECAST_ANALYSIS_FIELDS, WEATHER_FIELDS
 
 WEATHER_SENTINELS_SQL = "('nan', 'NaN', 'Nan', 'NAN', 'None')"
 
@@ -74,10 +74,10 @@ CTES: dict[str, tuple[str, list[str]]] = {
     "ais_events": (f"select {_sel(fx.AIS_FIELDS)} from events", []),
     "ais_raw": (f"select {_sel(fx.AIS_RAW)} from ais_events", ["ais_events"]),
     "ais_dirty": (
-        f"select {_sel(fx.AIS_DIRTY)} from (select * from ais_raw union all "
-        f"select * from ais_raw where {fx.AIS_REPLAY_PREDICATE}) r",
-        ["ais_raw"],
+        f"select * from dirty_once union all select {_sel(fx.AIS_REPLAY)} from dirty_once where {fx.AIS_REPLAY_PREDICATE}",
+        ["dirty_once"],
     ),
+    "dirty_once": (f"select {_sel(fx.AIS_DIRTY)} from ais_raw", ["ais_raw"]),
     "forecast_clean": (_forecast_clean(), ["forecast_raw"]),
     "forecast_latest": (
         "select * from forecast_clean where ref_time = (select max(ref_time) from forecast_clean)",
@@ -340,15 +340,8 @@ ORACLE["movement_status"] = sql(
   group by movement_class order by position_reports desc""",
     "positions",
 )
-ORACLE["message_type_counts"] = sql(
-    """select to_timestamp(floor(epoch(event_time) / 900) * 900)::timestamp as window_start,
-    to_timestamp(floor(epoch(event_time) / 900) * 900 + 900)::timestamp as window_end,
-    coalesce(message_type, 'Unknown') as message_type, count(*) as message_count
-  from ais_decoded group by all""",
-    "ais_decoded",
-)
 CTES["ais_classified"] = (
-    """select event_id, value, case
+    """select event_id, ts, value, case
       when value is null then 'no_value'
       when not json_valid(value) then 'bad_json'
       when json_extract(value, '$.error') is not null then 'error_frame'
@@ -362,20 +355,48 @@ ORACLE["ais_rejects"] = sql(
     "select event_id, reason, value from ais_classified where reason <> 'ok'", "ais_classified"
 )
 ORACLE["ais_dedup"] = sql(
-    "select distinct value, json_extract_string(value, '$.MessageType') as message_type "
-    "from ais_classified where reason = 'ok'",
+    "select min(event_id) as event_id, any_value(json_extract_string(value, '$.MessageType')) as message_type "
+    "from ais_classified where reason = 'ok' group by replace(value, ' ', '')",
     "ais_classified",
 )
+CTES["counted"] = (
+    """select json_extract_string(value, '$.MessageType') as message_type, coalesce(
+      try_cast(replace(json_extract_string(value, '$.MetaData.time_utc'), ' +0000 UTC', '') as timestamp), ts) as t
+  from ais_classified where reason = 'ok'""",
+    ["ais_classified"],
+)
+ORACLE["message_type_counts"] = sql(
+    """select to_timestamp(floor(epoch(t) / 900) * 900)::timestamp as window_start,
+    to_timestamp(floor(epoch(t) / 900) * 900 + 900)::timestamp as window_end,
+    coalesce(message_type, 'Unknown') as message_type, count(*) as message_count
+  from counted group by all""",
+    "counted",
+)
+ORACLE["sql_extractors"] = sql(
+    f"""select event_id, {_jnum('$.Message.PositionReport.Sog')} as sog, {_jnum('$.Message.PositionReport.Cog')} as cog,
+    {_jnum('$.Message.PositionReport.TrueHeading')} as heading from ais_raw""",
+    "ais_raw",
+)
 
 # ------------------------------------------------------------------ ingest transforms
 
+_HOURLY = ",\n    ".join(f"{fx.hourly_value(f, 's_suppkey', 'i')} as {f}" for f in WEATHER_FIELDS)
 ORACLE["forecast_unnest"] = sql(
-    """select concat('P', cast(s_suppkey as varchar), '-', '1704067200', '-', cast(1704067200 + i * 3600 as varchar)) as id,
+    f"""select concat('P', cast(s_suppkey as varchar), '-', '1704067200', '-', cast(1704067200 + i * 3600 as varchar)) as id,
     concat('P', cast(s_suppkey as varchar)) as port_id, s_name as port_name,
-    cast(1704067200 as bigint) as ref_time, cast(1704067200 + i * 3600 as bigint) as forecast_timestamp,
-    ((s_suppkey * 3 + i) % 50) / 10 as wave_height, ((s_suppkey * 5 + i) % 300) / 10 as sea_surface_temperature
+    {fx.PORT_LATITUDE} as latitude, {fx.PORT_LONGITUDE} as longitude,
+    cast(1704067200 as bigint) as ref_time, cast(1704067200 + i * 3600 as bigint) as forecast_timestamp, {_HOURLY}
   from (select s_suppkey, s_name, unnest(range(72)) as i from supplier)"""
 )
+_HEAD = "left(concat('{\"port_id\":\"P', cast(s_suppkey as varchar), '\",\"port_name\":\"', s_name, '\",\"latitude\"'), 30)"
+ORACLE["forecast_rejects"] = sql(
+    f"""select case when s_suppkey % 41 = 0 then 'unparseable' else 'incomplete' end as reason, {_HEAD} as head
+  from supplier where s_suppkey % 41 = 0 or s_suppkey % 43 = 0 or s_suppkey % 47 = 0"""
+)
+ORACLE["current_rejects"] = sql(
+    f"""select case when s_suppkey % 59 = 0 then 'unparseable' else 'incomplete' end as reason, {_HEAD} as head
+  from supplier where s_suppkey % 53 = 0 or s_suppkey % 59 = 0"""
+)
 
 _RAW_FORECAST_COLS = [e.rsplit(" as ", 1)[1] for e in fx.FORECAST_RAW]
 ORACLE["forecast_upsert"] = sql(
@@ -422,13 +443,24 @@ ORACLE["vessel_registry_explode"] = sql(
     "where timestamp = '1704067200'",
     "vessels_raw",
 )
+_CURRENT = ",\n    ".join(f"{fx.current_value(f, 's_suppkey')} as {f}" for f in WEATHER_FIELDS)
 ORACLE["current_weather_rows"] = sql(
-    """select concat('P', cast(s_suppkey as varchar), '-', cast(1704067200 + (s_suppkey % 24) * 3600 as varchar)) as id,
+    f"""select concat('P', cast(s_suppkey as varchar), '-', cast(1704067200 + (s_suppkey % 24) * 3600 as varchar)) as id,
     concat('P', cast(s_suppkey as varchar)) as port_id, s_name as port_name,
-    cast(1704067200 + (s_suppkey % 24) * 3600 as bigint) as timestamp,
-    (s_suppkey % 50) / 10 as wave_height, (s_suppkey * 7 % 300) / 10 as sea_surface_temperature,
-    (s_suppkey % 80) / 40 as ocean_current_velocity
-  from supplier where s_suppkey % 53 <> 0"""
+    {fx.PORT_LATITUDE} as latitude, {fx.PORT_LONGITUDE} as longitude,
+    cast(1704067200 + (s_suppkey % 24) * 3600 as bigint) as timestamp, {_CURRENT}
+  from supplier where s_suppkey % 53 <> 0 and s_suppkey % 59 <> 0"""
+)
+ORACLE["registry_snapshot"] = sql(
+    "select concat(port_id, '-1704067200000') as id, port_id, port_name, country, berths, un_locode, latitude, longitude, "
+    "'1704067200' as timestamp from ports_raw where timestamp = '1704067200'",
+    "ports_raw",
+)
+ORACLE["registry_errors"] = sql(
+    """with pages as (select distinct floor(s_suppkey / 100) as page from supplier)
+  select 'unparseable' as reason, cast(null as varchar) as error, count(*) as responses from pages
+  union all select 'no_data', null, count(*) from pages
+  union all select 'api_error', concat('quota ', cast(cast(page as bigint) as varchar)), count(*) from pages group by page"""
 )
 
 # ------------------------------------------------------------------ profiles

@@ -15,9 +15,15 @@ from pyspark.sql import functions as F
 from tidewater.functions.clean import REGISTRY_SENTINELS, null_sentinels, round_half_up, to_number
 from tidewater.functions.geo import latitude_region
 from tidewater.operators.dedup import latest_by_key
+from tidewater.sources.catalog import PORTS, VESSELS
 
 _TS = "__ts"
 
+# The registry columns that the fleet report reads.
+FLEET_COLUMNS = (
+    "mmsi", "ship_name", "ship_type", "flag", "length", "width", "draft", "beam", "imo", "status", "timestamp",
+)
+
 
 def r2(c):
     return round_half_up(c, 2)
@@ -25,7 +31,7 @@ def r2(c):
 
 def port_statistics(ports_raw: DataFrame, sentinels=REGISTRY_SENTINELS) -> DataFrame:
     """A-1: one cleaned, typed row per port (newest snapshot)."""
-    ports = null_sentinels(ports_raw, sentinels)
+    ports = null_sentinels(PORTS.project(ports_raw, PORTS.value_columns), sentinels)
     typed = ports.select(
         "port_id", "port_name", "country", "berths", "un_locode",
         to_number("latitude"), to_number("longitude"),
@@ -59,7 +65,7 @@ def regional_ports(stats: DataFrame) -> DataFrame:
 def vessel_fleet(vessels_raw: DataFrame, sentinels=REGISTRY_SENTINELS) -> DataFrame:
     """A-4: one cleaned, typed row per vessel (newest snapshot). ``length``,
     ``width``, ``draft``, ``beam`` are the AIS dimension cells a, b, c, d."""
-    vessels = null_sentinels(vessels_raw, sentinels)
+    vessels = null_sentinels(VESSELS.project(vessels_raw, FLEET_COLUMNS), sentinels)
     typed = vessels.select(
         "mmsi", "ship_name", "ship_type", "flag",
         to_number("length"), to_number("width"), to_number("draft"), to_number("beam"),

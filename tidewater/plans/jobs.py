@@ -13,7 +13,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from tidewater.functions.clean import WEATHER_SENTINELS
-from tidewater.operators.filters import latest_run
 from tidewater.plans import fleet, movement, weather
 from tidewater.sinks import write_report
 from tidewater.streaming.ais import decode_ais
@@ -24,13 +23,15 @@ def _write_all(reports: dict[str, DataFrame], out_base: str) -> dict[str, str]:
 
 
 def weather_job(forecast_raw: DataFrame, ports_raw: DataFrame, out_base: str) -> dict[str, str]:
-    """Conditions, hazards and the country comparison over the newest run."""
-    scan = weather.forecast_scan(forecast_raw)
-    newest = latest_run(weather.type_forecast(weather.clean_forecast_text(scan))).persist(
-        StorageLevel.MEMORY_AND_DISK
-    )
-    ports = weather.latest_ports(ports_raw).persist(StorageLevel.MEMORY_AND_DISK)
-    ports_clean = weather.latest_ports(ports_raw, sentinels=WEATHER_SENTINELS)
+    """Conditions, hazards and the country comparison over the newest run: the
+    run's cleaned text is read and kept once, typed rows derive from it, and the
+    registry's newest snapshots are kept once."""
+    text = weather.latest_run_text(weather.clean_forecast_text(weather.forecast_scan(forecast_raw)))
+    text = text.persist(StorageLevel.MEMORY_AND_DISK)
+    newest = weather.type_forecast(text)
+    snapshots = weather.ports_scan(ports_raw).persist(StorageLevel.MEMORY_AND_DISK)
+    ports = weather.latest_ports(snapshots)
+    ports_clean = weather.latest_ports(snapshots, sentinels=WEATHER_SENTINELS)
     try:
         return _write_all(
             {
@@ -41,13 +42,13 @@ def weather_job(forecast_raw: DataFrame, ports_raw: DataFrame, out_base: str) ->
                 "wave_comparison": weather.wave_comparison(newest, ports),
                 "hazardous_ports": weather.hazardous_ports(newest, ports),
                 "regional_weather_comparison": weather.regional_weather_comparison(newest, ports_clean),
-                "null_profile": weather.null_profile(weather.clean_forecast_text(scan), ports),
+                "null_profile": weather.null_profile(text, ports),
             },
             out_base,
         )
     finally:
-        newest.unpersist()
-        ports.unpersist()
+        text.unpersist()
+        snapshots.unpersist()
 
 
 def fleet_job(ports_raw: DataFrame, vessels_raw: DataFrame, out_base: str) -> dict[str, str]:
@@ -73,55 +74,77 @@ def fleet_job(ports_raw: DataFrame, vessels_raw: DataFrame, out_base: str) -> di
         vessels.unpersist()
 
 
-def movement_job(messages: DataFrame, out_base: str, value_col: str = "value") -> dict[str, str]:
-    """Movement reports over every position report (no row limit)."""
-    pos = movement.positions(decode_ais(messages, value_col)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _write_all(
-            {
-                "speed_stats": movement.speed_stats(pos),
-                "vessel_speed_patterns": movement.vessel_speed_patterns(pos),
-                "navigation_hotspots": movement.navigation_hotspots(pos),
-                "movement_status": movement.movement_status(pos),
-            },
-            out_base,
-        )
-    finally:
-        pos.unpersist()
+def movement_job(
+    messages: DataFrame, out_base: str, value_col: str = "value", since: str | None = None, until: str | None = None
+) -> dict[str, str]:
+    """Movement reports over every position report (no row limit).
+
+    Rows of the message store are typed already and used as they are; only raw
+    messages (a ``value_col`` text without typed columns) are decoded. ``since``
+    and ``until`` (dates, the latter exclusive) prune the store's partitions. Each
+    report scans the columns it needs; the history is not cached."""
+    typed = "speed_over_ground" in messages.columns
+    decoded = messages if typed else decode_ais(messages, value_col)
+    for bound, keep in ((since, ">="), (until, "<")):
+        if bound:
+            day = "event_date" if "event_date" in decoded.columns else "to_date(event_time)"
+            decoded = decoded.filter(f"{day} {keep} date '{bound}'")
+    pos = movement.positions(decoded)
+    return _write_all(
+        {
+            "speed_stats": movement.speed_stats(pos),
+            "vessel_speed_patterns": movement.vessel_speed_patterns(pos),
+            "navigation_hotspots": movement.navigation_hotspots(pos),
+            "movement_status": movement.movement_status(pos),
+        },
+        out_base,
+    )
 
 
 # ------------------------------------------------------------------ load jobs (landed payloads -> stores)
 
-def forecast_load_job(payloads: DataFrame, store_path: str) -> str:
-    """Hourly forecast documents -> typed rows -> the run-partitioned forecast
-    store. Re-landing a run replaces exactly that run (idempotent)."""
+def _fail_on(rejects: DataFrame, what: str) -> None:
+    """Stop a load on its first reject; at most one row reaches the driver."""
+    first = rejects.limit(1).collect()
+    if first:
+        r = first[0].asDict()
+        raise RuntimeError(f"{what}: {r['reason']}, {r.get('error') or (r['payload'] or '')[:200]}")
+
+
+def forecast_load_job(payloads: DataFrame, store_path: str, rejects_path: str | None = None) -> str:
+    """Hourly forecast texts -> typed rows -> the forecast store, merged by row
+    key, so that re-landing any part of a run is idempotent and leaves the rest.
+    Rejects go to ``rejects_path``; without one, the first reject fails the load."""
     from pyspark.sql import functions as F
 
     from tidewater.sinks import write_forecast_store
-    from tidewater.sources.payloads import explode_forecast
+    from tidewater.sources.payloads import explode_forecast, split_forecast
 
-    rows = explode_forecast(payloads)
+    documents, rejects = split_forecast(payloads)
+    if rejects_path:
+        rejects.write.mode("append").parquet(rejects_path)
+    else:
+        _fail_on(rejects, "Forecast document")
+    rows = explode_forecast(documents)
     return write_forecast_store(rows.withColumn("ref_time", F.col("ref_time").cast("bigint")), store_path)
 
 
 def registry_load_job(
     payloads: DataFrame, store_path: str, catalog, fetched_at: int, batch_id: int, key_col: str | None = None
 ) -> str:
-    """Registry pages -> snapshot rows -> one idempotent upsert batch. An error
-    response fails the load, as the reference's fetchers raise on an API error."""
+    """Registry pages -> snapshot rows -> one load of the upsert store. An error
+    response or a corrupt page fails the load, as the reference's fetchers raise."""
     from tidewater.sinks import write_upsert_batch
     from tidewater.sources.payloads import explode_registry
 
     rows, errors = explode_registry(payloads, catalog, key_col=key_col, fetched_at=fetched_at)
-    first_error = errors.limit(1).collect()  # at most one row reaches the driver
-    if first_error:
-        raise RuntimeError(f"Registry API error: {first_error[0]['error']}")
+    _fail_on(errors, "Registry API error")
     return write_upsert_batch(rows, store_path, batch_id)
 
 
 def current_load_job(payloads: DataFrame, store_path: str, batch_id: int, rejects_path: str | None = None) -> str:
-    """Current-conditions documents -> one row per port -> one upsert batch;
-    failed documents go to ``rejects_path`` and the rest load."""
+    """Current-conditions documents -> one row per port -> one load; failed
+    documents go to ``rejects_path`` and the rest load."""
     from tidewater.sinks import write_upsert_batch
     from tidewater.sources.payloads import explode_current
 

@@ -14,6 +14,7 @@ from tidewater.functions.clean import parse_repr, round_half_up
 from tidewater.functions.geo import BBox, grid_cell, movement_class, within_bbox
 from tidewater.operators.filters import recent
 from tidewater.operators.once import with_column_once
+from tidewater.sources.catalog import AIS_MESSAGES
 from tidewater.streaming.ais import (
     COG_UNAVAILABLE,
     HEADING_UNAVAILABLE,
@@ -39,6 +40,7 @@ def positions(decoded: DataFrame, message_type: str = "PositionReport") -> DataF
 def store_positions(store: DataFrame, drop_unavailable: bool = False) -> DataFrame:
     """Positions from the message store, where the nested report is kept as
     Python-repr text (P-10, X-1 ... X-3 without UDFs)."""
+    store = AIS_MESSAGES.project(store)
     parsed = with_column_once(store, "__report", parse_repr(F.col("position_report"), POSITION_SCHEMA))
     rep = F.col("__report")
     sog, cog, hdg = rep["Sog"], rep["Cog"], rep["TrueHeading"]

@@ -26,7 +26,7 @@ from tidewater.functions.clean import (
 )
 from tidewater.operators.dedup import latest_by_key
 from tidewater.operators.filters import latest_run
-from tidewater.sources.catalog import FORECAST, WEATHER_FIELDS
+from tidewater.sources.catalog import FORECAST, PORTS, WEATHER_FIELDS
 
 _TIME_COLS = ("ref_time", "forecast_timestamp", "timestamp")
 _NUMERIC = set(WEATHER_FIELDS)
@@ -70,10 +70,16 @@ def prepare_forecast(forecast_raw: DataFrame) -> DataFrame:
     return type_forecast(clean_forecast_text(forecast_scan(forecast_raw)))
 
 
+def ports_scan(ports_raw: DataFrame) -> DataFrame:
+    """The port registry as its catalog sees it (S-3), without the row key."""
+    return PORTS.project(ports_raw, PORTS.value_columns)
+
+
 def latest_ports(ports_raw: DataFrame, sentinels=()) -> DataFrame:
     """One registry row per port: the newest snapshot by numeric timestamp (F-2,
     U-1), optionally after sentinel cleaning."""
-    ports = null_sentinels(ports_raw, sentinels) if sentinels else ports_raw
+    ports = ports_scan(ports_raw)
+    ports = null_sentinels(ports, sentinels) if sentinels else ports
     return latest_by_key(ports, ["port_id"], [to_number("timestamp", "bigint")])
 
 
@@ -131,7 +137,9 @@ def circular_mean_deg(c) -> F.Column:
 
 
 def storm_detection(forecast: DataFrame, ports: DataFrame, threshold: float = STORM_WAVE_M) -> DataFrame:
-    """A-13: newest-run rows with wave height above the threshold (F-7, P-5)."""
+    """A-13: newest-run rows with wave height above the threshold (F-7, P-5). A
+    row-level report that grows with the data: rows are sorted within partitions
+    (O-1), so files are ordered inside; order globally only for a preview."""
     storms = latest_run(forecast).filter(F.col("wave_height") > threshold)  # null fails the test
     rows = storms.select(
         "port_id",
@@ -140,7 +148,7 @@ def storm_detection(forecast: DataFrame, ports: DataFrame, threshold: float = ST
         epoch_to_time("forecast_timestamp").alias("forecast_time"),
     )
     out = rows.join(_port_names(ports), "port_id", "left")
-    return out.select("port_id", "port_name", "wave_height", "swell_height", "forecast_time").orderBy(
+    return out.select("port_id", "port_name", "wave_height", "swell_height", "forecast_time").sortWithinPartitions(
         F.desc("wave_height"), "port_id", "forecast_time"
     )
 
@@ -256,6 +264,12 @@ def regional_weather_comparison(forecast: DataFrame, ports_clean: DataFrame) ->
     return by_country.filter(keep).orderBy(F.desc("avg_wave_height"), "country")
 
 
+def latest_run_text(clean_text: DataFrame) -> DataFrame:
+    """The newest run of a cleaned, still untyped forecast (F-1)."""
+    run = to_number("ref_time", "bigint").alias("__run")
+    return latest_run(clean_text.select("*", run), "__run").drop("__run")
+
+
 def null_profile(clean_text: DataFrame, ports: DataFrame) -> DataFrame:
     """A-19: null count of every column of the cleaned newest-run frame with the
     joined ``port_name``, in one pass.
@@ -264,8 +278,7 @@ def null_profile(clean_text: DataFrame, ports: DataFrame) -> DataFrame:
     then a per-port join (a port without a registry row contributes all its rows
     to ``port_name``'s count).
     """
-    run = to_number("ref_time", "bigint").alias("__run")
-    newest = latest_run(clean_text.select("*", run), "__run").drop("__run")
+    newest = latest_run_text(clean_text)
     cols = [c for c in newest.columns if c != "port_id"]
     per_port = newest.groupBy("port_id").agg(
         F.count("*").alias("__n"), *[F.count_if(F.col(c).isNull()).alias(c) for c in cols]

@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.functions.clean import WEATHER_SENTINELS
 from tidewater.functions.geo import parse_bbox
+from tidewater.functions.sql import register_sql_functions
 from tidewater.operators import cells
 from tidewater.operators.dedup import upsert
 from tidewater.plans import fleet, movement, profiles, weather
@@ -226,7 +228,9 @@ def movement_status(spark, d):
 
 @register("message_type_counts")
 def message_type_counts(spark, d):
-    return ais.type_counts(_decoded(spark, d))
+    """Every good frame of the dirty feed, redelivered ones too, as the stream counts."""
+    good, _ = ais.route_invalid(fx.ais_dirty(spark, d))
+    return ais.type_counts(ais.decode_ais(good))
 
 
 @register("ais_rejects")
@@ -238,7 +242,14 @@ def ais_rejects(spark, d):
 @register("ais_dedup")
 def ais_dedup(spark, d):
     good, _ = ais.route_invalid(fx.ais_dirty(spark, d))
-    return ais.dedupe_messages(good).select("value", "message_type")
+    return ais.dedupe_messages(good).select("event_id", "message_type")
+
+
+@register("sql_extractors")
+def sql_extractors(spark, d):
+    """X-1 ... X-3 as a SQL user calls them on the stored report text."""
+    names = register_sql_functions(spark)
+    return fx.ais_store(spark, d).selectExpr("event_id", *[f"{n}(position_report) as {n[len('extract_'):]}" for n in names])
 
 
 # ------------------------------------------------------------------ ingest transforms
@@ -254,9 +265,17 @@ def forecast_unnest(spark, d):
 
 @register("forecast_upsert")
 def forecast_upsert(spark, d):
-    updates = fx.forecast_raw(spark, d)
-    empty_store = spark.createDataFrame([], updates.schema)
-    return upsert(empty_store, updates, FORECAST_KEY, FORECAST_ORDER)
+    """Updates merged into a store that already holds rows: a third of the rows is
+    in the store only, a third comes in anew (some of it older than what the store
+    has under the key), and a third is in both."""
+    rows = fx.forecast_raw(spark, d)
+    return upsert(rows.filter("seq1 % 3 <> 1"), rows.filter("seq1 % 3 <= 1"), FORECAST_KEY, FORECAST_ORDER)
+
+
+@register("forecast_rejects")
+def forecast_rejects(spark, d):
+    _documents, rejects = payloads.split_forecast(fx.forecast_texts(spark, d))
+    return rejects.selectExpr("reason", "substring(payload, 1, 30) as head")
 
 
 @register("rows_to_cells")
@@ -275,6 +294,9 @@ def registry_explode(spark, d):
     return rows
 
 
+# Fixed value: the load time of the registry snapshot query, epoch seconds.
+FETCHED_AT = 1704067200
+
 VESSEL_REGISTRY_COLS = ["mmsi", "ship_name", "ship_type", "flag", "length", "width", "draft", "beam", "imo", "status"]
 
 
@@ -284,13 +306,31 @@ def vessel_registry_explode(spark, d):
     return rows.select(*VESSEL_REGISTRY_COLS)
 
 
+@register("registry_snapshot")
+def registry_snapshot(spark, d):
+    """P-12: fetch time and snapshot key on every row."""
+    rows, _errors = payloads.explode_registry(fx.registry_payloads(spark, d), PORTS, fetched_at=FETCHED_AT)
+    return rows
+
+
+@register("registry_errors")
+def registry_errors(spark, d):
+    _rows, errors = payloads.explode_registry(fx.registry_failures(spark, d), PORTS)
+    return errors.groupBy("reason", "error").agg(F.count("*").alias("responses"))
+
+
 @register("current_weather_rows")
 def current_weather_rows(spark, d):
-    fields = ("wave_height", "sea_surface_temperature", "ocean_current_velocity")
-    rows, _rejects = payloads.explode_current(fx.current_payloads(spark, d), fields)
+    rows, _rejects = payloads.explode_current(fx.current_payloads(spark, d))
     return rows
 
 
+@register("current_rejects")
+def current_rejects(spark, d):
+    _rows, rejects = payloads.explode_current(fx.current_payloads(spark, d))
+    return rejects.selectExpr("reason", "substring(payload, 1, 30) as head")
+
+
 # ------------------------------------------------------------------ profiles
 
 @register("load_profile")

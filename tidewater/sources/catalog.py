@@ -10,9 +10,10 @@ connector uses (``{"table":..., "rowkey": "id", "columns": {name: {"cf", "col",
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -22,6 +23,8 @@ class Catalog:
     rowkey: str
     # column name -> (family, qualifier); the row key maps to ("rowkey", rowkey)
     columns: dict[str, tuple[str, str]] = field(default_factory=dict)
+    # column name -> qualifiers some writers use instead, tried in order
+    alternates: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     @classmethod
     def from_json(cls, text: str) -> Catalog:
@@ -34,22 +37,32 @@ class Catalog:
         """Columns stored in cells (everything but the row key), in catalog order."""
         return [c for c, (fam, _) in self.columns.items() if fam != "rowkey"]
 
-    def project(self, df: DataFrame) -> DataFrame:
-        """Select the catalog's columns from a flat frame, in catalog order.
+    def project(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+        """Select the catalog's columns (or ``columns`` of them) from a flat frame,
+        in catalog order.
 
         The store is sparse: a column the frame lacks is an absent cell, so it
         comes back as null text. Selecting only mapped columns is what prunes
         the scan down to the columns a report needs.
         """
+        unknown = set(columns or ()) - set(self.columns)
+        if unknown:
+            raise ValueError(f"{self.table} maps no {sorted(unknown)}")
         present = set(df.columns)
-        return df.select(
-            *[F.col(c) if c in present else F.lit(None).cast("string").alias(c) for c in self.columns]
-        )
 
+        def value(c: str) -> Column:
+            held = [F.col(n) for n in (c, *self.alternates.get(c, ())) if n in present]
+            return (F.coalesce(*held) if len(held) > 1 else held[0] if held else F.lit(None).cast("string")).alias(c)
 
-def scan(spark: SparkSession, catalog: Catalog, path: str, fmt: str = "parquet") -> DataFrame:
-    """Read a flat landed table and return it as the catalog's text columns."""
-    return catalog.project(spark.read.format(fmt).load(path))
+        return df.select(*[value(c) for c in self.columns if columns is None or c in columns])
+
+
+def scan(
+    spark: SparkSession, catalog: Catalog, path: str, fmt: str = "parquet", columns: Sequence[str] | None = None
+) -> DataFrame:
+    """Read a flat landed table and return the catalog's text columns, or those
+    of ``columns``; no other column is read."""
+    return catalog.project(spark.read.format(fmt).load(path), columns)
 
 
 # The column -> (family, qualifier) maps of the store tables.
@@ -67,6 +80,8 @@ PORTS = Catalog(
         "longitude": ("info", "long"),
         "timestamp": ("meta_data", "timestamp"),
     },
+    # the weather fetchers read the port's name from info:port_name
+    alternates={"port_name": ("name", "port_name")},
 )
 
 VESSELS = Catalog(

@@ -8,55 +8,21 @@ oracle (``tidewater.oracle``): both engines build byte-identical inputs, and onl
 the operators on top differ (DataFrame API here, hand-written SQL there).
 
 Snapshots are generated with ``explode`` (Spark) / ``unnest`` (DuckDB), never a
-cross join. The only broadcast is ``nation``: 25 rows at every scale factor.
+cross join. No join carries a broadcast hint; the planner decides by size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-# Key column of each driver table, used to spread a scan that arrives in fewer
-# splits than the session has cores.
-TABLE_KEYS = {
-    "lineitem": "l_orderkey", "orders": "o_orderkey", "part": "p_partkey", "supplier": "s_suppkey",
-    "customer": "c_custkey", "events": "event_id",
-}
+from tidewater.sources.catalog import FORECAST_ANALYSIS_FIELDS, WEATHER_FIELDS
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_spread(spark, f"{sf_dir.rstrip('/')}/{name}.parquet", TABLE_KEYS.get(name))
-
-
-_SCAN_INFO: dict[tuple[str, str], tuple] = {}
-
-
-def _scan_info(app_id: str, path: str, spark: SparkSession):
-    """Schema and split count of a read-only input, looked up once per
-    application (each lookup is a footer-reading job plus split planning)."""
-    key = (app_id, path)
-    if key not in _SCAN_INFO:
-        df = spark.read.parquet(path)
-        _SCAN_INFO[key] = (df.schema, df.rdd.getNumPartitions())
-    return _SCAN_INFO[key]
-
-
-def read_spread(spark: SparkSession, path: str, key: str | None = None) -> DataFrame:
-    """Read Parquet; if the file arrives in fewer splits than the session has
-    cores (one file written as a single row group), hash-spread it on ``key``
-    so the per-row work after the scan runs on every core.
-
-    Large inputs come in thousands of splits and are returned untouched: no
-    extra shuffle at scale. Hash partitioning (not round-robin) keeps task
-    retries deterministic after an executor loss without a pre-sort.
-    """
-    schema, splits = _scan_info(spark.sparkContext.applicationId, path, spark)
-    df = spark.read.schema(schema).parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if key is None or splits >= cores:
-        return df
-    return df.repartition(cores, key)
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --------------------------------------------------------------------------
@@ -95,12 +61,14 @@ VESSELS_RAW = [
 
 _REF = "1704067200 + 86400 * (l_orderkey % 2)"
 _VALID = f"{_REF} + 3600 * (l_partkey % 72)"
+# Every 37th port has forecasts but no registry row.
+_FORECAST_PORT = "concat(case when l_suppkey % 37 = 0 then 'U' else 'P' end, cast(l_suppkey as string))"
 
 # port_weather_forecast rows: two runs, duplicate keys, mixed sentinels. The
 # port's coordinates are copied in as text, as the forecast fetcher does.
 FORECAST_RAW = [
-    f"concat('P', cast(l_suppkey as string), '-', cast({_REF} as string), '-', cast({_VALID} as string)) as id",
-    "concat('P', cast(l_suppkey as string)) as port_id",
+    f"concat({_FORECAST_PORT}, '-', cast({_REF} as string), '-', cast({_VALID} as string)) as id",
+    f"{_FORECAST_PORT} as port_id",
     "case when l_suppkey % 23 = 0 then 'nan' "
     "else cast(cast(350 + (l_suppkey * 7) % 300 as double) / 10 as string) end as latitude",
     "cast(cast((l_suppkey * 13) % 510 - 260 as double) / 10 as string) as longitude",
@@ -108,26 +76,26 @@ FORECAST_RAW = [
     f"cast({_VALID} as string) as forecast_timestamp",
     "case when l_orderkey % 29 = 0 then 'nan' else cast(l_quantity / 10 as string) end as wave_height",
     "case when l_orderkey % 31 = 0 then 'NaN' else cast(l_quantity / 5 as string) end as wave_period",
+    "case when l_partkey % 7 = 0 then 'Nan' else cast((l_partkey + l_linenumber) % 360 as string) end as wave_direction",
     "cast(l_quantity / 20 as string) as wind_wave_height",
     "cast(l_partkey % 360 as string) as wind_wave_direction",
+    "cast(cast(l_quantity + l_linenumber as double) / 4 as string) as wind_wave_period",
     "cast(cast(l_linenumber as double) / 2 as string) as swell_wave_height",
+    "case when l_orderkey % 19 = 0 then 'NAN' else cast(l_orderkey % 180 as string) end as swell_wave_direction",
     "cast(l_linenumber + 4 as string) as swell_wave_period",
-    "case when l_partkey % 11 = 0 then 'nan' "
+    # ports whose temperature and current are never measured
+    "case when l_suppkey % 41 = 0 or l_partkey % 11 = 0 then 'nan' "
     "else cast(cast((l_partkey * 37 + l_orderkey) % 400 as double) / 10 - 2 as string) end as sea_surface_temperature",
     "cast(cast(l_partkey % 50 as double) / 100 as string) as sea_level_height_msl",
-    "case when l_partkey % 13 = 0 then 'None' "
+    "case when l_suppkey % 41 = 0 or l_partkey % 13 = 0 then 'None' "
     "else cast(cast((l_orderkey + l_linenumber) % 80 as double) / 40 as string) end as ocean_current_velocity",
     "cast(l_orderkey % 360 as string) as ocean_current_direction",
     "l_orderkey as seq1",
     "l_linenumber as seq2",
 ]
 
-# Weather columns present in forecast_raw, in order.
-FORECAST_FIELDS = (
-    "wave_height", "wave_period", "wind_wave_height", "wind_wave_direction",
-    "swell_wave_height", "swell_wave_period", "sea_surface_temperature",
-    "sea_level_height_msl", "ocean_current_velocity", "ocean_current_direction",
-)
+# Weather columns present in forecast_raw: all that the analysis reads.
+FORECAST_FIELDS = FORECAST_ANALYSIS_FIELDS
 
 # AIS wire messages, one per event: message type from the event type, JSON
 # nulls for some MessageID / Sog values, the 511 "no heading" code.
@@ -138,9 +106,11 @@ AIS_FIELDS = [
     "case event_type when 'signup' then 'ShipStaticData' when 'error' then 'SafetyBroadcastMessage' "
     "else 'PositionReport' end as mt",
     "case when event_id % 41 = 0 then 'null' else cast(event_id as string) end as mid",
-    "case when event_id % 37 = 0 then 'null' else cast(cast((event_id * 7) % 1000 as double) / 40 as string) end as sog",
-    "cast(cast((event_id * 37) % 3600 as double) / 10 as string) as cog",
-    "case when event_id % 50 = 0 then '511' else cast(event_id % 360 as string) end as hdg",
+    # every 43rd report holds no movement field at all
+    "case when event_id % 37 = 0 or event_id % 43 = 0 then 'null' "
+    "else cast(cast((event_id * 7) % 1000 as double) / 40 as string) end as sog",
+    "case when event_id % 43 = 0 then 'null' else cast(cast((event_id * 37) % 3600 as double) / 10 as string) end as cog",
+    "case when event_id % 43 = 0 then 'null' when event_id % 50 = 0 then '511' else cast(event_id % 360 as string) end as hdg",
     "cast(200000000 + user_id as string) as mmsi",
     "cast(cast(350 + (user_id * 7 + event_id % 20) % 300 as double) / 10 + 0.03 as string) as lat",
     "cast(cast((user_id * 13 + event_id % 20) % 510 - 260 as double) / 10 + 0.03 as string) as lon",
@@ -154,9 +124,10 @@ AIS_RAW = [
     "',\"time_utc\":\"', cast(ts as string), '\"}}') as value",
 ]
 
-# ais_raw plus replays and one kind of bad record per rule. The replay branch
-# re-delivers every tenth message a second time (at-least-once delivery); it
-# adds rows, the full message table is still read.
+# ais_raw plus replays, one kind of bad record per rule, and good records with a
+# missing type, no time, an unreadable time, or the feed's own time form. The
+# replay branch re-delivers every tenth message a second time (at-least-once
+# delivery), encoded with other white space.
 AIS_DIRTY = [
     "event_id",
     "ts",
@@ -164,30 +135,35 @@ AIS_DIRTY = [
     "when event_id % 89 = 0 then '{\"MessageType\":\"PositionReport\",\"Message\":[],\"MetaData\":{}}' "
     "when event_id % 83 = 0 then '{\"MessageType\":\"PositionReport\",\"Message\":{\"MessageID\":1}}' "
     "when event_id % 79 = 0 then cast(null as string) "
-    "when event_id % 73 = 0 then '{\"error\":\"overload\"}' else value end as value",
+    "when event_id % 73 = 0 then '{\"error\":\"overload\"}' "
+    "when event_id % 71 = 0 then replace(value, '\"MessageType\":', '\"Kind\":') "
+    "when event_id % 67 = 0 then replace(value, '\"time_utc\":', '\"time\":') "
+    "when event_id % 61 = 0 then replace(value, '\"time_utc\":\"', '\"time_utc\":\"not a time ') "
+    "when event_id % 59 = 0 then replace(value, '\"}}', ' +0000 UTC\"}}') "
+    "else value end as value",
 ]
 AIS_REPLAY_PREDICATE = "event_id % 10 = 0"
+AIS_REPLAY = ["event_id", "ts", "replace(replace(value, '\":', '\": '), ',\"', ', \"') as value"]
 
 
 # --------------------------------------------------------------------------
 # Spark builders
 # --------------------------------------------------------------------------
 
-def _two_snapshots(df: DataFrame, *cols: str) -> DataFrame:
-    return df.select(*cols, F.explode(F.array(F.lit(0), F.lit(1))).alias("snap"))
+def _snapshots(df: DataFrame, snapshots: Sequence[int], *cols: str) -> DataFrame:
+    return df.select(*cols, F.explode(F.array(*map(F.lit, snapshots))).alias("snap"))
 
 
-def ports_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def ports_raw(spark: SparkSession, sf_dir: str, snapshots: Sequence[int] = (0, 1)) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # nation has 25 rows at every scale factor: a proven bound, safe to broadcast.
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     joined = supplier.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-    return _two_snapshots(joined, "s_suppkey", "s_name", "n_name").selectExpr(*PORTS_RAW)
+    return _snapshots(joined, snapshots, "s_suppkey", "s_name", "n_name").selectExpr(*PORTS_RAW)
 
 
-def vessels_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def vessels_raw(spark: SparkSession, sf_dir: str, snapshots: Sequence[int] = (0, 1)) -> DataFrame:
     part = table(spark, sf_dir, "part")
-    base = _two_snapshots(part, "p_partkey", "p_name", "p_type", "p_brand", "p_size")
+    base = _snapshots(part, snapshots, "p_partkey", "p_name", "p_type", "p_brand", "p_size")
     return base.selectExpr(*VESSELS_RAW)
 
 
@@ -201,8 +177,8 @@ def ais_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ais_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = ais_raw(spark, sf_dir)
-    replays = raw.filter(AIS_REPLAY_PREDICATE)
-    return raw.unionByName(replays).selectExpr(*AIS_DIRTY)
+    dirty = raw.selectExpr(*AIS_DIRTY)
+    return dirty.unionByName(dirty.filter(AIS_REPLAY_PREDICATE).selectExpr(*AIS_REPLAY))
 
 
 def ais_store(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -246,26 +222,50 @@ FORECAST_STEP = 3600
 FORECAST_STEPS = 72
 
 
+# Element i of hourly variable f of port k, and its current value: integer rules
+# that both engines evaluate alike.
+def hourly_value(f: str, k: str, i: str) -> str:
+    n = WEATHER_FIELDS.index(f)
+    return f"(({k} * {n + 3} + {i}) % {50 + 10 * n}) / 10"
+
+
+def current_value(f: str, k: str) -> str:
+    n = WEATHER_FIELDS.index(f)
+    return f"({k} * {n + 1} % {50 + 10 * n}) / 10"
+
+
+PORT_LATITUDE = "cast(cast(350 + (s_suppkey * 7) % 300 as double) / 10 as string)"
+PORT_LONGITUDE = "cast(cast((s_suppkey * 13) % 510 - 260 as double) / 10 as string)"
+
+
 def forecast_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One hourly forecast response per supplier-port: parallel arrays plus
-    start / interval / end (72 steps)."""
+    """One hourly forecast response per supplier-port: its coordinates, 22 parallel
+    arrays, and start / interval / end (72 steps)."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    steps = F.sequence(F.lit(0), F.lit(FORECAST_STEPS - 1))
-    k = F.col("s_suppkey")
-    hourly = F.struct(
-        F.lit(FORECAST_T0).cast("bigint").alias("start"),
-        F.lit(FORECAST_STEP).cast("bigint").alias("interval"),
-        F.lit(FORECAST_T0 + FORECAST_STEPS * FORECAST_STEP).cast("bigint").alias("end"),
-        F.transform(steps, lambda i: ((k * 3 + i) % 50) / 10).alias("wave_height"),
-        F.transform(steps, lambda i: ((k * 5 + i) % 300) / 10).alias("sea_surface_temperature"),
+    end = FORECAST_T0 + FORECAST_STEPS * FORECAST_STEP
+    arrays = ", ".join(
+        f"'{f}', transform(sequence(0, {FORECAST_STEPS - 1}), i -> {hourly_value(f, 's_suppkey', 'i')})" for f in WEATHER_FIELDS
     )
-    return s.select(
-        F.concat(F.lit("P"), k.cast("string")).alias("port_id"),
-        F.col("s_name").alias("port_name"),
-        hourly.alias("hourly"),
+    return s.selectExpr(
+        "concat('P', cast(s_suppkey as string)) as port_id",
+        "s_name as port_name",
+        f"{PORT_LATITUDE} as latitude",
+        f"{PORT_LONGITUDE} as longitude",
+        f"named_struct('start', cast({FORECAST_T0} as bigint), 'interval', cast({FORECAST_STEP} as bigint), "
+        f"'end', cast({end} as bigint), {arrays}) as hourly",
     )
 
 
+def forecast_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast responses as landed texts: every 41st cut off, every 43rd without
+    its hourly block, every 47th with no step length."""
+    d = forecast_payloads(spark, sf_dir).withColumn("k", F.regexp_extract("port_id", r"(\d+)", 1).cast("bigint"))
+    h = F.col("hourly")
+    hourly = F.when(F.col("k") % 43 != 0, h.withField("interval", F.when(F.col("k") % 47 != 0, h["interval"])))
+    text = F.to_json(F.struct("port_id", "port_name", "latitude", "longitude", hourly.alias("hourly")))
+    return d.select(F.when(F.col("k") % 41 == 0, F.substring(text, 1, 30)).otherwise(text).alias("payload"))
+
+
 def _registry_pages(rows: DataFrame, catalog, key: str, page_size: int) -> DataFrame:
     """Registry API responses as JSON text: ``{"error": null, "data": [...]}``,
     items keyed by the catalog's ``info`` qualifiers. One response per page of
@@ -274,16 +274,25 @@ def _registry_pages(rows: DataFrame, catalog, key: str, page_size: int) -> DataF
         *[F.col(c).alias(qual) for c, (fam, qual) in catalog.columns.items() if fam == "info" and c in rows.columns]
     )
     page = F.floor(F.regexp_extract(F.col(key), r"(\d+)$", 1).try_cast("bigint") / page_size)
-    pages = rows.groupBy(page.alias("page")).agg(F.collect_list(item).alias("data"))
-    body = F.struct(F.lit(None).cast("string").alias("error"), F.col("data"))
-    return pages.select(F.to_json(body).alias("payload"))
+    pages = rows.groupBy(page.alias("page")).agg(F.to_json(F.collect_list(item)).alias("data"))
+    # responses that report no error spell it in several ways
+    none = F.element_at(F.array(*map(F.lit, ("null", "false", '""', "0"))), (F.col("page") % 4 + 1).cast("int"))
+    return pages.select("page", F.concat(F.lit('{"error":'), none, F.lit(',"data":'), F.col("data"), F.lit("}")).alias("payload"))
+
+
+def registry_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every registry page, a good response and three that fail: one cut off,
+    one with an error, one without data."""
+    pages = registry_payloads(spark, sf_dir)
+    bad = F.array(F.col("payload"), F.substring("payload", 1, 40), F.concat(F.lit('{"error":"quota '), "page", F.lit('","data":[]}')), F.lit('{"error":null}'))
+    return pages.select(F.explode(bad).alias("payload"))
 
 
 def registry_payloads(spark: SparkSession, sf_dir: str, page_size: int = 100) -> DataFrame:
     """Port registry responses: snapshot 0 of ``ports_raw``."""
     from tidewater.sources.catalog import PORTS
 
-    ports = ports_raw(spark, sf_dir).filter(f"timestamp = '{FORECAST_T0}'")
+    ports = ports_raw(spark, sf_dir, snapshots=(0,))
     return _registry_pages(ports, PORTS, "port_id", page_size)
 
 
@@ -291,24 +300,20 @@ def vessel_registry_payloads(spark: SparkSession, sf_dir: str, page_size: int =
     """Vessel registry responses: snapshot 0 of ``vessels_raw``."""
     from tidewater.sources.catalog import VESSELS
 
-    vessels = vessels_raw(spark, sf_dir).filter(f"timestamp = '{FORECAST_T0}'")
+    vessels = vessels_raw(spark, sf_dir, snapshots=(0,))
     return _registry_pages(vessels, VESSELS, "mmsi", page_size)
 
 
 def current_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Current-weather responses per supplier-port as JSON text. Every 53rd
-    supplier's fetch failed and landed without a ``current`` block."""
+    """Current-weather responses per supplier-port as JSON text, with coordinates
+    and 22 variables. Every 53rd supplier's fetch failed and landed without a
+    ``current`` block; every 59th response is cut off."""
     s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    k = F.col("s_suppkey")
-    current = F.struct(
-        (F.lit(FORECAST_T0) + (k % 24) * FORECAST_STEP).cast("bigint").alias("time"),
-        ((k % 50) / 10).alias("wave_height"),
-        ((k * 7 % 300) / 10).alias("sea_surface_temperature"),
-        ((k % 80) / 40).alias("ocean_current_velocity"),
-    )
-    body = F.struct(
-        F.concat(F.lit("P"), k.cast("string")).alias("port_id"),
-        F.col("s_name").alias("port_name"),
-        F.when(k % 53 != 0, current).alias("current"),
+    fields = ", ".join(f"'{f}', {current_value(f, 's_suppkey')}" for f in WEATHER_FIELDS)
+    time = f"cast({FORECAST_T0} + (s_suppkey % 24) * {FORECAST_STEP} as bigint)"
+    body = (
+        f"to_json(named_struct('port_id', concat('P', cast(s_suppkey as string)), 'port_name', s_name, "
+        f"'latitude', {PORT_LATITUDE}, 'longitude', {PORT_LONGITUDE}, "
+        f"'current', case when s_suppkey % 53 <> 0 then named_struct('time', {time}, {fields}) end))"
     )
-    return s.select(F.to_json(body).alias("payload"))
+    return s.selectExpr(f"case when s_suppkey % 59 = 0 then substring({body}, 1, 30) else {body} end as payload")
