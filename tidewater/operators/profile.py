@@ -7,8 +7,6 @@ column; here every column is counted in the same scan.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
