@@ -103,6 +103,23 @@ def test_rows_of_one_id_are_one_document(docs):
     assert {r["component_id"] for r in got} == {1} and near_dup.keep_one(docs(rows)).count() == 1
 
 
+def test_large_buckets_lose_no_link(docs):
+    """Copies of one text with up to a quarter of it edited, second copies of edited
+    ones, and an id that holds two texts: bounds must not part what belongs together."""
+    rng = random.Random(9)
+    base = _prose(rng, 200, 2000)
+    rows = []
+    for i in range(120):
+        w = list(base if i < 90 else rows[rng.randrange(90)][1].split())
+        for _ in range(rng.choice([0, 1, 2, 4, 8, 12]) if i < 90 else 1):
+            w[rng.randrange(len(w))] = f"edit{rng.randrange(100_000)}"
+        rows.append((i, " ".join(w), "a"))
+    rows.append((200, rows[5][1] + " tail", "a"))
+    rows.append((200, " ".join(_prose(rng, 300)), "a"))
+    got = {r["id"]: r["component_id"] for r in near_dup.near_duplicates(docs(rows)).collect()}
+    assert got == _brute(rows) and len(set(got.values())) > 3
+
+
 def test_a_sketch_agrees_as_often_as_the_sets_overlap():
     rng = np.random.default_rng(1)
     for n, share in ((40, 0.9), (400, 0.85), (400, 0.5)):

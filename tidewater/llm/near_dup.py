@@ -11,10 +11,13 @@ id, so copies cost nothing further. In a bucket, candidate edges form a star: on
 centre against all others. Each candidate is confirmed on the full sets. A
 member whose edge to the centre fails might still match another member, so
 rounds follow: used centres leave their bucket, and buckets that still hold
-members of more than one component get new centres (more each round, picked by
+members of more than one component get new centres (CENTRES each round, picked by
 independent hash orders) until none does. So every pair that shares a bucket is
 either compared or known to be connected, and pair counts stay at members times
-centres.
+centres. After the first round, members of buckets that are still open are dealt
+anew into buckets by their rarest shingles: a pair that can link shares one of
+these (the prefix filter of exact set joins), and members of a large group that
+differ too much no longer meet.
 
 With 25 bands of 5 bins, a pair at the threshold of 0.85 shares no bucket with
 probability 5e-7.
@@ -29,11 +32,12 @@ their names, are ignored or, in ``keep_one``, returned as they are.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
@@ -46,7 +50,8 @@ BINS = BANDS * ROWS
 PROBES = 1024
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 85
-MOST_CENTRES = 64
+#: Centres of a bucket in each round by rare shingles (one in the round by bands).
+CENTRES = 64
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
@@ -164,9 +169,44 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int, scratch: Scratch
     return scratch.write(links, "links")
 
 
-def _fits(a: str, b: str, percent: int) -> Column:
-    """Sets of such sizes can be similar enough."""
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _can_link(n: Column, room: Column, other_n: Column, other_room: Column, percent: int) -> Column:
+    """Sets of ``n`` and ``other_n`` shingles can be similar enough if they share
+    no more than ``room`` of one and ``other_room`` of the other."""
+    both = F.least(room, other_room)
+    return 100 * both >= percent * (n + other_n - both)
+
+
+def _relabelled(rest: DataFrame, labels: DataFrame | None, scratch: Scratch) -> DataFrame:
+    """``rest`` (key, id, n, room) with every member's component so far."""
+    if labels is None:
+        out = rest.select("key", "id", "n", "room", F.col("id").alias("comp"))
+    else:
+        label = labels.select(F.col("id").alias("l_id"), "component")
+        out = rest.join(label, rest.id == F.col("l_id"), "left").select("key", "id", "n", "room", F.coalesce("component", "id").alias("comp"))
+    return scratch.write(out, "open")
+
+
+def _by_rare_shingles(rest: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int, scratch: Scratch) -> DataFrame:
+    """Members of open buckets in new buckets, one for each shingle of a prefix.
+
+    In any fixed order of all shingles, two sets that share enough of them share
+    one among the first ``n - needed + 1`` of each, where ``needed`` is the least
+    intersection that a partner of the bucket's least size asks for. In ascending
+    order of frequency these are the rarest, so the new buckets are small: what
+    members of a group have in common is no key. A pair that meets under
+    its first common shingle shares no more than what follows there, ``room``; a
+    pair that this rules out elsewhere is compared under its first."""
+    m = _relabelled(rest, labels, scratch)
+    open_keys = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least")).filter("low < high")
+    asked = m.join(open_keys.select("key", "least"), "key").groupBy("id").agg(F.min("least").alias("least"))
+    one = sets.join(asked, "id").select("set", "id", "least", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
+    one = scratch.write(one, "shingles")
+    counted = one.join(one.groupBy("key").agg(F.count("*").alias("df")), "key")
+    partner = F.greatest(F.col("least"), F.ceil(F.lit(percent) * F.col("n") / 100))
+    needed = F.ceil(F.lit(percent) * (F.col("n") + partner) / (100 + percent))
+    place = F.row_number().over(Window.partitionBy("set").orderBy("df", "key"))
+    prefix = counted.withColumn("place", place).filter((F.col("place") <= F.col("n") - needed + 1) & (F.col("df") > 1))
+    return prefix.select("key", "id", "n", (F.col("n") - F.col("place") + 1).alias("room")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -185,29 +225,32 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
     alone = real.join(classes.select("n_shingles", "s1", "s2", F.col("rep").alias("id")), ["n_shingles", "s1", "s2", "id"], "left_semi")
     members = alone.select("id", F.col("n_shingles").alias("n"), F.explode("bands").alias("key")).distinct()
-
-    crowded = members.groupBy("key").agg(F.min(F.struct("id", "n")).alias("centre"), F.max("id").alias("last")).filter("centre.id < last")
-    crowded = scratch.write(crowded.select("key", F.col("centre.id").alias("b"), F.col("centre.n").alias("nb")), "stars")
-    members = scratch.write(members.join(crowded.select("key", "b", "nb"), "key"), "members")
-    pairs = members.filter((F.col("id") != F.col("b")) & _fits("n", "nb", percent)).select(F.col("id").alias("a"), "b").distinct()
+    crowded = members.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1").select("key")
+    members = scratch.write(members.join(crowded, "key"), "members")
     # Full sets of the documents that share a bucket, read by every round.
-    sets = scratch.write(_sets(docs.join(members.select("id").distinct(), "id", "left_semi")), "sets")
-    links = _confirmed(scratch.write(pairs, "pairs"), sets, percent, scratch)
-    labels = scratch.write(components(links, scratch), "labels")
-
-    rest = members.filter(F.col("id") != F.col("b")).select("key", "id", "n")
-    centres = 1
-    while True:
+    sets = _sets(docs.join(members.select("id").distinct(), "id", "left_semi")).distinct()
+    sets = scratch.write(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
+
+    rest, labels = members.withColumn("room", F.col("n")), None
+    for k in itertools.count():
+        if k == 1:
+            rest = _by_rare_shingles(rest, sets, labels, percent, scratch)
+        centres = CENTRES if k else 1
         rest, pairs = _next_round(rest, labels, centres, percent, scratch)
         if rest is None:
             break
+        scratch.tidy()
         more = _confirmed(pairs, sets, percent, scratch)
-        links = scratch.write(links.union(more), "links")
-        labels = scratch.write(components(links, scratch), "labels")
-        centres = min(2 * centres, MOST_CENTRES)
+        if more.isEmpty():
+            continue
+        if labels is not None:  # what is connected so far stands for the links found before
+            more = more.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
+        labels = components(more, scratch)
 
     scratch.drop(sets, members)
-    edges = labels.select(F.col("id").alias("a"), F.col("component").alias("b")).union(of_class.select(F.col("id").alias("a"), F.col("rep").alias("b")))
+    edges = of_class.select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    if labels is not None:
+        edges = edges.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
     labels = scratch.write(components(edges, scratch), "components").select(F.col("id").alias("l_id"), "component")
     out = table.select("id", "n_shingles").join(labels, F.col("id") == F.col("l_id"), "left")
     component = F.coalesce("component", "id")
@@ -216,28 +259,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     )
 
 
-def _next_round(rest: DataFrame, labels: DataFrame, centres: int, percent: int, scratch: Scratch) -> tuple:
-    """Members of buckets that still hold several components, without the new
-    centres, and their pairs with these; (None, None) when no bucket is open."""
-    label = labels.select(F.col("id").alias("l_id"), "component")
-    m = rest.join(label, rest.id == F.col("l_id"), "left").select("key", "id", "n", F.coalesce("component", "id").alias("comp"))
-    m = scratch.write(m, "open")
-    # The greatest component's member, then the first components by independent hash orders.
-    some = [F.max(F.struct("comp", "id", "n")).alias("c0")]
-    some += [F.min(F.struct(F.xxhash64(F.lit(k), "comp").alias("h"), "comp", "id", "n")).alias(f"c{k}") for k in range(1, centres)]
-    picked = m.groupBy("key").agg(F.min("comp").alias("low"), *some).filter("low < c0.comp")
-    chosen = F.array_distinct(F.array(*[F.struct(f"c{k}.id", f"c{k}.n", f"c{k}.comp") for k in range(centres)]))
-    picked = picked.select("key", chosen.alias("centres"))
-    picked = scratch.write(picked, "centres")
+def _next_round(rest: DataFrame, labels: DataFrame | None, centres: int, percent: int, scratch: Scratch) -> tuple:
+    """Pairs of the open buckets' members with new centres, and the members left
+    without these; (None, None) when no bucket holds several components."""
+    m = _relabelled(rest, labels, scratch)
+    # At first any member, another one in each bucket that a group shares; then the one of
+    # the greatest component, then those of the first ones by independent hash orders.
+    order = [F.xxhash64("key", "id")] if labels is None else [F.xxhash64(F.lit(k), "comp") for k in range(centres)]
+    some = [F.min(F.struct(h.alias("h"), "comp", "id", "n", "room")).alias(f"c{k}") for k, h in enumerate(order)]
+    if labels is not None:
+        some[0] = F.max(F.struct("comp", "id", "n", "room")).alias("c0")
+    picked = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *some).filter("low < high")
+    chosen = F.array_distinct(F.array(*[F.struct(*[f"c{k}.{f}" for f in ("id", "n", "room", "comp")]) for k in range(len(some))]))
+    picked = scratch.write(picked.select("key", chosen.alias("centres")), "centres")
     if picked.isEmpty():
         return None, None
     m = m.join(picked, "key")
-    pairs = m.select("id", "n", "comp", F.explode("centres").alias("c")).filter("id <> c.id and comp <> c.comp")
-    pairs = pairs.withColumns({"nc": F.col("c.n"), "b": F.col("c.id")}).filter(_fits("n", "nc", percent))
-    pairs = pairs.select(F.greatest("id", "b").alias("a"), F.least("id", "b").alias("b")).distinct()
-    pairs = scratch.write(pairs, "pairs")
-    left = m.filter(~F.array_contains(F.transform("centres", lambda c: c.id), F.col("id"))).select("key", "id", "n")
-    return scratch.write(left, "rest"), pairs
+    able = lambda c: _can_link(F.col("n"), F.col("room"), c.n, c.room, percent)
+    asked = F.filter("centres", lambda c: (c.id != F.col("id")) & (c.comp != F.col("comp")) & able(c))
+    pairs = m.select("id", F.explode(F.transform(asked, lambda c: c.id)).alias("c"))
+    pairs = scratch.write(pairs.select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct(), "pairs")
+    used = F.array_contains(F.transform("centres", lambda c: c.id), F.col("id"))
+    return m.filter(~used).select("key", "id", "n", "room"), pairs
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:

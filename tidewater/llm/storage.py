@@ -7,6 +7,7 @@ ordinary Parquet, so a lost executor costs nothing but its running tasks.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,10 @@ class Scratch:
             if path and path.startswith(self.root):
                 target = jvm.org.apache.hadoop.fs.Path(path)
                 target.getFileSystem(conf).delete(target, True)
+
+    def tidy(self) -> None:
+        """Let Spark's cleaner remove the shuffle files of finished rounds: it does
+        so once the driver's references to them are collected, by default only as
+        memory runs short, while a loop of many small jobs fills disks first."""
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()  # noqa: SLF001
