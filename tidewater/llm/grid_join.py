@@ -35,6 +35,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 from tidewater.llm.components import components
 from tidewater.llm.storage import Scratch
@@ -42,7 +43,7 @@ from tidewater.llm.storage import Scratch
 THRESHOLD = 0.98
 #: Leading principal dimensions that order the sequence and bound its intervals.
 DIMS = 6
-BLOCK = 256
+BLOCK = 1024
 FAN_BITS = 3
 
 
@@ -117,7 +118,7 @@ def _projected(classes: DataFrame, axes: dict[int, np.ndarray], eps: float, dims
     )
 
 
-def _blocks(ordered: DataFrame, size: int, dims: int) -> DataFrame:
+def _blocks(ordered: DataFrame, size: int, dims: int, stored: str = "<f8") -> DataFrame:
     """Blocks of the sequence: label, dim, p (partition), s (number in it and
     label), lo and hi of each box dimension, ids, copies, vectors (binary)."""
     label = ordered.schema["label"].dataType.simpleString()
@@ -137,7 +138,7 @@ def _blocks(ordered: DataFrame, size: int, dims: int) -> DataFrame:
                 "cids": pa.array([[h[2] for h in held]], pa.list_(pa.int64())),
                 "ids": pa.array([[h[3] for h in held]], pa.list_(_ARROW[id_kind])),
                 "copies": pa.array([[h[4] for h in held]], pa.list_(pa.int64())),
-                "vectors": pa.array([np.array([h[6] for h in held], dtype="<f8").tobytes()], pa.binary()),
+                "vectors": pa.array([np.array([h[6] for h in held], dtype=stored).tobytes()], pa.binary()),
             }
             row |= {n: pa.array([float(x)]) for n, x in zip(bounds, [*box.min(axis=0), *box.max(axis=0)], strict=True)}
             return pa.RecordBatch.from_pydict(row)
@@ -215,7 +216,7 @@ def _linked(hit: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _compare(pairs: DataFrame, id_kind: str, threshold: float) -> DataFrame:
+def _compare(pairs: DataFrame, id_kind: str, threshold: float, stored: str = "<f8") -> DataFrame:
     """From pairs with both blocks' vectors: rows (cid, links, a, b): the number
     of links of a class's vectors, or an edge (a, b) of those that span the pair's."""
 
@@ -224,8 +225,8 @@ def _compare(pairs: DataFrame, id_kind: str, threshold: float) -> DataFrame:
             out: list[tuple] = []
             for r in batch.to_pylist():
                 same = (r["ap"], r["as"]) == (r["bp"], r["bs"])
-                x = _unit(np.frombuffer(r["avectors"], dtype="<f8").reshape(len(r["aids"]), -1))
-                y = x if same else _unit(np.frombuffer(r["bvectors"], dtype="<f8").reshape(len(r["bids"]), -1))
+                x = _unit(np.frombuffer(r["avectors"], dtype=stored).reshape(len(r["aids"]), -1).astype(np.float64))
+                y = x if same else _unit(np.frombuffer(r["bvectors"], dtype=stored).reshape(len(r["bids"]), -1).astype(np.float64))
                 hit = x @ y.T >= threshold
                 if same:
                     np.fill_diagonal(hit, False)
@@ -259,12 +260,14 @@ def near_vectors(
     axes = principal_axes(classes, dims)
     ordered = _projected(classes, axes, eps, dims)
     ordered = ordered.repartitionByRange("label", "dim", "cells", "id").sortWithinPartitions("label", "dim", "cells", "id")
-    blocks = scratch.write(_blocks(ordered, block, dims), "blocks")
+    kind = rows.schema[vector_col].dataType
+    stored = "<f4" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "<f8"
+    blocks = scratch.write(_blocks(ordered, block, dims, stored), "blocks")
     pairs = scratch.write(_block_pairs(blocks, eps, dims), "pairs")
     payload = ["cids", "ids", "copies", "vectors"]
     side = lambda x: blocks.select("label", "dim", F.col("p").alias(f"{x}p"), F.col("s").alias(f"{x}s"), *[F.col(c).alias(x + c) for c in payload])
     both = pairs.join(side("a"), ["label", "dim", "ap", "as"]).join(side("b"), ["label", "dim", "bp", "bs"])
-    found = scratch.write(_compare(both, rows.schema[id_col].dataType.simpleString(), threshold), "found")
+    found = scratch.write(_compare(both, rows.schema[id_col].dataType.simpleString(), threshold, stored), "found")
 
     links = found.filter("cid is not null").groupBy("cid").agg(F.sum("links").alias("links"))
     info = classes.join(links, "cid", "left").select(
