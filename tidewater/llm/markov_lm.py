@@ -104,9 +104,22 @@ class Vocabulary:
         return len(self.mass)
 
 
+def _most_frequent(counts: DataFrame, k: int) -> list:
+    """The ``k`` words with the greatest counts (ties: least hash). A histogram of
+    counts on a fine logarithmic scale first bounds what any task sends."""
+    level = F.floor(F.log2("c") * 16).cast("int")
+    steps = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n"), F.min("c").alias("least")).collect()  # some hundred rows
+    least, seen = 1, 0
+    for r in sorted(steps, key=lambda r: -r["level"]):
+        least, seen = r["least"], seen + r["n"]
+        if seen >= k:
+            break
+    return counts.filter(F.col("c") >= least).orderBy(F.desc("c"), "h").limit(k).collect()
+
+
 def vocabulary(counts: DataFrame) -> Vocabulary:
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    top = counts.orderBy(F.desc("c"), "h").limit(CARRIED).collect()  # bounded by CARRIED
+    top = _most_frequent(counts, CARRIED)
     by_ending = {r["ending"]: r["m"] for r in counts.groupBy("ending").agg(F.sum(F.col("c") + 1).alias("m")).collect()}
     # Classes: 0 the end, then own classes, then endings (with a share for unseen words).
     end = int(END.astype(np.int64))
@@ -294,8 +307,12 @@ def _start(seqs: list[np.ndarray], share: np.ndarray, states: int, seed: int) ->
 def baum_welch(table: DataFrame, vocab: Vocabulary, states: int = STATES, passes: int = PASSES, seed: int = 1) -> Hmm:
     """Train on the ``encoded`` rows that are not held out."""
     share = vocab.mass / vocab.mass.sum()
-    training = table.filter("not held_out").select("n_tokens", "classes")
-    sample = training.orderBy(F.xxhash64("classes"), "n_tokens").limit(START_DOCS).collect()
+    training = table.filter("not held_out").select("row", "classes")
+    # The first documents in the order of a hash; a threshold on it bounds what tasks send.
+    draw = F.pmod(F.xxhash64("classes", "row"), F.lit(1 << 40))
+    n = training.count()
+    few = training.filter(draw < int((1 << 40) * min(1.0, 3 * START_DOCS / max(1, n))))
+    sample = few.orderBy(draw, "row").limit(START_DOCS).collect()
     m = _start([np.frombuffer(r["classes"], dtype="<u2") for r in sample], share, states, seed)
     spark = table.sparkSession
     shape = (vocab.classes + states + 1, states)
