@@ -146,11 +146,11 @@ def encoded(docs: DataFrame, vocab: Vocabulary) -> DataFrame:
     carried (of carried words: how many, and the sum of log10(c + 1)), inside (the
     part of the score inside classes that needs no join), rare (hashes of the
     tokens whose counts must be joined)."""
-    v = docs.sparkSession.sparkContext.broadcast(vocab)  # CARRIED words at most
+    v = docs.sparkSession.sparkContext.broadcast(vars(vocab))  # plain values; CARRIED words at most
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = v.value
+        voc = Vocabulary(**v.value)
         first_ending = voc.classes - ENDING_CLASSES
         log_mass = np.log10(voc.mass)
         end_count = float(voc.counts[voc.hashes == END].sum())
@@ -318,12 +318,12 @@ def baum_welch(table: DataFrame, vocab: Vocabulary, states: int = STATES, passes
     shape = (vocab.classes + states + 1, states)
 
     for _ in range(passes):
-        now = spark.sparkContext.broadcast(m)  # classes by states numbers
+        now = spark.sparkContext.broadcast(vars(m))  # classes by states numbers
 
         def add(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
             total = np.zeros(shape)
             for _, seqs in _groups(batches, "classes"):
-                start, move, emit = expected(seqs, now.value)
+                start, move, emit = expected(seqs, Hmm(**now.value))
                 total += np.vstack([emit, move, start[None]])
             yield pa.RecordBatch.from_pydict({"x": pa.array([total.tobytes()], pa.binary())})
 
@@ -348,11 +348,11 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     counts = scratch.write(word_counts(d.filter("not held_out")), "counts")
     vocab = vocabulary(counts)
     table = scratch.write(encoded(d, vocab).withColumn("row", F.monotonically_increasing_id()), "encoded")
-    model = docs.sparkSession.sparkContext.broadcast(baum_welch(table, vocab))
+    model = docs.sparkSession.sparkContext.broadcast(vars(baum_welch(table, vocab)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, seqs in _groups(batches, "classes"):
-            total = _forward(seqs, model.value)[2]
+            total = _forward(seqs, Hmm(**model.value))[2]
             yield pa.RecordBatch.from_arrays([pa.array(rows, pa.int64()), pa.array(total)], names=["row", "log_classes"])
 
     chain = table.select("row", "classes").mapInArrow(run, "row long, log_classes double")
