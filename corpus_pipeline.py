@@ -15,6 +15,12 @@ from tidewater.llm import mixing, near_dup, packing, quality, secret_scan
 from tidewater.llm.storage import Scratch
 
 
+#: Near copies share at least this percentage of their shingles; the bands miss
+#: such a pair with probability 1.3e-7.
+NEAR_PERCENT = 80
+NEAR_BANDS = 40
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality.keep_good(docs)
@@ -22,7 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group."""
-    return near_dup.keep_one(docs)
+    return near_dup.keep_one(docs, percent=NEAR_PERCENT, bands=NEAR_BANDS)
 
 
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

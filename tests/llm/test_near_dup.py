@@ -1,5 +1,6 @@
 """MinHash near-dedup and the grid join against brute force."""
 
+import importlib
 import random
 import re
 
@@ -120,6 +121,26 @@ def test_large_buckets_lose_no_link(docs):
     assert got == _brute(rows) and len(set(got.values())) > 3
 
 
+def test_pipeline_stage_drops_near_copies_from_80_percent(spark, docs):
+    """The stage against brute force of its own threshold, with pairs on both sides of 0.80 and of 0.85."""
+    rng = random.Random(80)
+    rows, shares = [], []
+    for i in range(0, 160, 2):
+        w = _prose(rng, 200, 5000)
+        edited = list(w)
+        for k in range(2 + i % 10 // 2):
+            edited[20 + 25 * k] = f"edit{rng.randrange(100_000)}"
+        rows += [(i, " ".join(w), "a"), (i + 1, " ".join(edited), "a")]
+        x, y = _set(rows[-2][1]), _set(rows[-1][1])
+        shares.append(len(x & y) / len(x | y))
+    assert any(0.80 <= s < 0.85 for s in shares) and any(s < 0.80 for s in shares) and any(s >= 0.85 for s in shares)
+    sets = [_set(t) for _, t, _ in rows]
+    near = [(a, b) for a, x in enumerate(sets) for b, y in enumerate(sets[:a]) if 100 * len(x & y) >= 80 * len(x | y)]
+    component = _closure(range(len(rows)), near)
+    got = importlib.import_module("corpus_pipeline").near_dedup(spark, docs(rows), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(i for i, c in component.items() if i == c)
+
+
 def test_a_sketch_agrees_as_often_as_the_sets_overlap():
     rng = np.random.default_rng(1)
     for n, share in ((40, 0.9), (400, 0.85), (400, 0.5)):

@@ -20,7 +20,7 @@ these (the prefix filter of exact set joins), and members of a large group that
 differ too much no longer meet.
 
 With 25 bands of 5 bins, a pair at the threshold of 0.85 shares no bucket with
-probability 5e-7.
+probability 5e-7; a lower threshold asks for more bands (40 for 0.80: 1.3e-7).
 
 Defined results. Null or empty text, or no word: an empty set, linked with
 nothing. Fewer words than a shingle: the whole sequence is the one element. Null
@@ -46,7 +46,6 @@ from tidewater.llm.wordhash import blocks, constants, mix, words
 
 SHINGLE = 5
 BANDS, ROWS = 25, 5
-BINS = BANDS * ROWS
 PROBES = 1024
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 85
@@ -77,25 +76,32 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarra
     return out
 
 
-#: Where each bin begins: bin i holds hashes h with h * BINS >> 64 == i.
-_EDGES = np.array([-(-(i << 64) // BINS) for i in range(BINS)], dtype=np.uint64)
-#: Fixed random probe sequences, one for each bin.
-_PROBE = (mix(np.arange(BINS * PROBES, dtype=np.uint64) + np.uint64(1 << 40)) % np.uint64(BINS)).astype(np.int64).reshape(BINS, PROBES)
+def layout(bands: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of ``bands`` bands: where each bin begins (bin i holds hashes h with
+    h * bins >> 64 == i), a fixed random probe sequence for each bin, band seeds."""
+    bins = bands * ROWS
+    edges = np.array([-(-(i << 64) // bins) for i in range(bins)], dtype=np.uint64)
+    probe = (mix(np.arange(bins * PROBES, dtype=np.uint64) + np.uint64(1 << 40)) % np.uint64(bins)).astype(np.int64)
+    return edges, probe.reshape(bins, PROBES), constants(303, bands)
 
 
-def sketch(s: np.ndarray) -> np.ndarray:
+_LAYOUT = layout(BANDS)
+
+
+def sketch(s: np.ndarray, bins: tuple[np.ndarray, np.ndarray, np.ndarray] = _LAYOUT) -> np.ndarray:
     """Densified bin values of a non-empty sorted set."""
-    first = np.searchsorted(s, _EDGES)
+    edges, probe, _ = bins
+    first = np.searchsorted(s, edges)
     filled = np.append(first[1:], len(s)) > first
     value = s[np.minimum(first, len(s) - 1)]
     empty = np.flatnonzero(~filled)
     for width in (32, PROBES):
         if not len(empty):
             break
-        hit = filled[_PROBE[empty, :width]]
+        hit = filled[probe[empty, :width]]
         at = hit.argmax(axis=1)
         ok = hit[np.arange(len(empty)), at]
-        value[empty[ok]] = value[_PROBE[empty[ok], at[ok]]]
+        value[empty[ok]] = value[probe[empty[ok], at[ok]]]
         empty = empty[~ok]
     if len(empty):  # a sequence that met no filled bin goes on in a circle
         full = np.flatnonzero(filled)
@@ -104,12 +110,11 @@ def sketch(s: np.ndarray) -> np.ndarray:
 
 
 _BAND_C = constants(202, ROWS)
-_BAND_SEED = constants(303, BANDS)
 
 
-def band_keys(s: np.ndarray) -> np.ndarray:
+def band_keys(s: np.ndarray, bins: tuple[np.ndarray, np.ndarray, np.ndarray] = _LAYOUT) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix((sketch(s).reshape(BANDS, ROWS) * _BAND_C).sum(axis=1, dtype=np.uint64) + _BAND_SEED)
+        return mix((sketch(s, bins).reshape(-1, ROWS) * _BAND_C).sum(axis=1, dtype=np.uint64) + bins[2])
 
 
 def _signature(s: np.ndarray) -> tuple[int, int]:
@@ -120,8 +125,9 @@ def _signature(s: np.ndarray) -> tuple[int, int]:
     return int(a.astype(np.int64)), int(b.astype(np.int64))
 
 
-def _sketches(docs: DataFrame) -> DataFrame:
+def _sketches(docs: DataFrame, bands: int) -> DataFrame:
     """id, n_shingles, signature (s1, s2) and band keys, from columns id and text."""
+    bins = layout(bands)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -129,14 +135,14 @@ def _sketches(docs: DataFrame) -> DataFrame:
             for at, block in blocks(texts):
                 sets = shingle_sets(block)
                 sig = [_signature(s) for s in sets]
-                bands = [band_keys(s).view(np.int64) if len(s) else None for s in sets]
+                keys = [band_keys(s, bins).view(np.int64) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(at, len(block)),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([a for a, _ in sig], pa.int64()),
                         pa.array([b for _, b in sig], pa.int64()),
-                        pa.array(bands, pa.list_(pa.int64())),
+                        pa.array(keys, pa.list_(pa.int64())),
                     ],
                     names=["id", "n_shingles", "s1", "s2", "bands"],
                 )
@@ -209,11 +215,13 @@ def _by_rare_shingles(rest: DataFrame, sets: DataFrame, labels: DataFrame | None
     return prefix.select("key", "id", "n", (F.col("n") - F.col("place") + 1).alias("room")).distinct()
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS
+) -> DataFrame:
     """Per row: id, n_shingles, component_id (least id reachable), kept."""
     scratch = Scratch(docs.sparkSession, "near-dup")
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    table = scratch.write(_sketches(docs), "sketches")
+    table = scratch.write(_sketches(docs, bands), "sketches")
     real = table.filter("n_shingles > 0 and id is not null")
 
     # Equal sets: one class, stood for by its least id.
@@ -283,10 +291,12 @@ def _next_round(rest: DataFrame, labels: DataFrame | None, centres: int, percent
     return m.filter(~used).select("key", "id", "n", "room"), pairs
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+def keep_one(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS
+) -> DataFrame:
     """The rows of ``docs`` that stand for their group (those with its least id),
     with their own columns only; of rows repeated under that id, one stays."""
-    marks = near_duplicates(docs, id_col, text_col, percent).filter("not kept").select(F.col("id").alias("_out")).distinct()
+    marks = near_duplicates(docs, id_col, text_col, percent, bands).filter("not kept").select(F.col("id").alias("_out")).distinct()
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     rows = rows.join(marks, F.col(f"row.{id_col}") == F.col("_out"), "left_anti")
     # A document that occurs in several rows keeps the first in the order of its columns.
