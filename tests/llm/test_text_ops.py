@@ -158,6 +158,23 @@ def test_license_edges(docs):
     assert license_scan.find_licenses(docs([])).count() == 0
 
 
+def test_license_key_phrases_are_found_where_full_notices_are_frequent(docs):
+    """Every template's notice in a third of the rows, and rows with a bare key phrase each."""
+    notices = " \n".join(t.text for t in license_scan.TEMPLATES)
+    bare = [(t.label, phrase) for t in license_scan.TEMPLATES for phrase in t.phrases]
+    rows = [(i, f"word{i} " + phrase + " tail", "a") for i, (_, phrase) in enumerate(bare)]
+    rows += [(1000 + i, notices, "hot") for i in range(len(rows))] + [(2000 + i, f"plain text {i}", "b") for i in range(len(rows))]
+    got = {r["id"]: r for r in license_scan.find_licenses(docs(rows)).collect()}
+    for i, text, _ in rows:
+        w, want = license_scan.tokens(text), set()
+        for t in license_scan.TEMPLATES:
+            for place in t.places:
+                phrase = [t.words[j] for j in place]
+                want |= {(t.label, k - place[0]) for k in range(len(w)) if w[k : k + len(phrase)] == phrase}
+        assert {(f["label"], f["start"]) for f in got[i]["found"]} == want
+        assert i >= 1000 or bare[i][0] in {label for label, _ in want}
+
+
 def test_license_plan_has_no_shuffle_of_text(docs):
     d = license_scan.find_licenses(docs([(1, "MIT License", "a")]))
     assert not re.search("Exchange|Python", d._jdf.queryExecution().executedPlan().toString())

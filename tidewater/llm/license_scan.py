@@ -3,7 +3,8 @@
 Templates are short public licence notices. Their words are indexed by position:
 word -> (template, position). How rare a licence word is comes from its document
 frequency over the whole corpus; each template is looked up by its rare words
-alone. For every file, the rare licence words it holds are looked up, each hit
+and by the rarest words of each mandatory key phrase, as many as a start needs
+votes, so a whole key phrase reaches the votes at every frequency. For every file, the rare licence words it holds are looked up, each hit
 votes for (template, start = place in file - place in template), and starts with
 two or more votes are candidates. A candidate counts only where a mandatory key
 phrase of its template stands at its exact place; its score is the share of the
@@ -112,13 +113,17 @@ def document_frequencies(docs: DataFrame, text_col: str = "text") -> dict[str, i
 
 
 def anchors(frequency: dict[str, int]) -> list[tuple[str, int, int]]:
-    """The index: (word, template, position) of every template's rare words, of
-    those that the corpus holds. Ascending document frequency is descending IDF."""
+    """The index: (word, template, position) of every template's rare words and of
+    each key phrase's VOTES rarest, of those that the corpus holds. Ascending
+    document frequency is descending IDF."""
     out = []
     most = RARE_SHARE * frequency.get("", 0)
     for k, t in enumerate(TEMPLATES):
-        rare = sorted((w for w in set(t.words) if w in frequency), key=lambda w: (frequency[w], w))
-        rare = {w for n, w in enumerate(rare) if n < ANCHORS or frequency[w] <= most}
+        order = sorted((w for w in set(t.words) if w in frequency), key=lambda w: (frequency[w], w))
+        rare = {w for n, w in enumerate(order) if n < ANCHORS or frequency[w] <= most}
+        for place in t.places:
+            inside = {t.words[i] for i in place}
+            rare.update([w for w in order if w in inside][:VOTES])
         out += [(w, k, i) for i, w in enumerate(t.words) if w in rare]
     return out
 
