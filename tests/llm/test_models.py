@@ -181,6 +181,19 @@ def test_markov_scores(spark, docs, monkeypatch):
     assert markov_lm.score_documents(docs([])).count() == 0
 
 
+def test_markov_end_outside_the_carried_words(docs, monkeypatch):
+    """Words more frequent than there are documents fill the cap; the end's count stays known."""
+    monkeypatch.setattr(markov_lm, "CARRIED", 2)
+    monkeypatch.setattr(markov_lm, "OWN_CLASSES", 1)
+    ids = [i for i in range(40) if zlib.crc32(str(i).encode()) % 7 != 2][:10]
+    got = markov_lm.score_documents(docs([(i, "x y z x y z", "s") for i in ids])).collect()
+    n, v = 10 * 7, 4
+    want = 6 * math.log10(20 + 1) + math.log10(10 + 1) - 7 * math.log10(n + v + 1)
+    assert len(got) == 10
+    for r in got:
+        assert r["n_known"] == 7 and r["base_score"] == pytest.approx(want, abs=1e-9)
+
+
 def test_markov_without_training_rows(docs):
     i = next(i for i in range(99) if zlib.crc32(str(i).encode()) % 7 == 2)
     (r,) = markov_lm.score_documents(docs([(i, "a b", "s")])).collect()

@@ -133,11 +133,14 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         mass[k] = r["c"] + 1
         mass[1 + len(owners) + r["ending"]] -= r["c"] + 1
     own = {r["h"]: k for k, r in enumerate(owners, start=1)} | {end: 0}
-    h = np.array([r["h"] for r in top], dtype=np.int64).view(np.uint64)
+    carried = {r["h"]: r["c"] for r in top}
+    if -1 in by_ending:  # the end is carried whatever its place: no join looks for it
+        carried[end] = by_ending[-1] - 1
+    h = np.array(list(carried), dtype=np.int64).view(np.uint64)
     order = np.argsort(h)
     return Vocabulary(
-        h[order], np.array([r["c"] for r in top], dtype=np.int64)[order],
-        np.array([own.get(r["h"], -1) for r in top], dtype=np.int64)[order], mass, int(total["n"] or 0), int(total["v"]),
+        h[order], np.array(list(carried.values()), dtype=np.int64)[order],
+        np.array([own.get(x, -1) for x in carried], dtype=np.int64)[order], mass, int(total["n"] or 0), int(total["v"]),
     )
 
 
