@@ -267,6 +267,16 @@ def test_fast_ids_equal_the_tokenizers(spark):
             assert fast.encode_ordinary(t) == ids
 
 
+def test_special_token_strings_encode_as_in_the_file():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for t in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>y", "plain <|endof text"):
+        assert packing.encode(t, "byte_bpe_50k.json")[:-1].tolist() == own.encode(t, add_special_tokens=False).ids
+    assert 50256 in packing.encode("a <|endoftext|> b", "byte_bpe_50k.json")
+
+
 def test_packed_whole_table(spark):
     rows = [(r["doc_id"], r["text"], None) for r in spark.read.parquet(f"{SF_MEDIUM}/documents.parquet").collect()]
     out = QUERIES["op8_best_fit_packing"](spark, SF_MEDIUM).collect()

@@ -62,20 +62,21 @@ _ENCODERS: dict[str, tuple] = {}
 
 
 def _encoder(name: str) -> tuple:
-    """(tokenizer, fast encoder with the same vocabulary or None, rare-character test)."""
+    """(tokenizer, fast encoder with the same vocabulary or None, test for texts beyond the fast one)."""
     if name not in _ENCODERS:
         import public_tokenizers
         import tiktoken
         from tokenizers import Tokenizer
 
         whole = Tokenizer.from_file(public_tokenizers.path(name))
-        whole.encode_special_tokens = True
+        # The fast encoder knows no added tokens: texts that hold one's string go to the tokenizer.
+        added = [re.escape(t.content) for t in whole.get_added_tokens_decoder().values()]
         fast = None
         if name == "byte_bpe_50k.json":
             with open(public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as f:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        _ENCODERS[name] = (whole, fast, re.compile(COMMON_TEXT))
+        _ENCODERS[name] = (whole, fast, re.compile("|".join([COMMON_TEXT, *added])))
     return _ENCODERS[name]
 
 
