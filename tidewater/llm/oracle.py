@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, quality, secret_scan
+from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, prefix_trie, quality, secret_scan
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -223,6 +223,39 @@ FROM m
 """
 
 
+# The checksum of a decimal number, bit by bit.
+CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+OP13 = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         sha256(len(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS u
+  FROM conversations WHERE conv_id IS NOT NULL),
+c AS (
+  SELECT conv_id, list({{'u': u, 'n': len(text)}} ORDER BY turn NULLS FIRST, u) AS ts, {CRC32} % {prefix_trie.HEADS} AS h
+  FROM t GROUP BY conv_id),
+r AS (
+  SELECT c.conv_id, list_concat(coalesce(b.ts[1 : c.h], []), c.ts[c.h + 1 :]) AS ts
+  FROM c LEFT JOIN c b ON b.conv_id = c.conv_id - c.conv_id % {prefix_trie.GROUP}),
+p AS (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM r),
+n AS (
+  SELECT list_transform(ts[1 : d], lambda x: x.u) AS node, CASE WHEN d > 0 THEN list_transform(ts[1 : d - 1], lambda x: x.u) END AS parent,
+         d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d > 0 THEN max(ts[d].n) ELSE 0 END AS n,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(ts) = d), '')) AS ends_sha256
+  FROM p GROUP BY ALL),
+k AS (SELECT parent, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
+m AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN k ON k.parent = n.node),
+up AS (SELECT node, unnest(range(depth + 1)) AS d, n_convs, n, n_children FROM m),
+s AS (
+  SELECT node[1 : d] AS node, CAST(count(*) FILTER (WHERE n_children = 0) AS BIGINT) AS n_leaves, CAST(sum((n_convs - 1) * n) AS BIGINT) AS saved_tokens
+  FROM up GROUP BY ALL)
+SELECT m.conv_id, m.depth, q.conv_id AS parent_conv_id, m.n_convs, m.n_children, s.n_leaves, s.saved_tokens, m.ends_sha256
+FROM m JOIN s ON s.node = m.node LEFT JOIN m q ON q.node = m.parent
+"""
+
+
 ORACLE: dict[str, str] = {
     "op1_mix_sources": OP1,
     "op2_chat_format": OP2,
@@ -231,4 +264,5 @@ ORACLE: dict[str, str] = {
     "op7_license_scan": _op7(),
     "op9_quality_rules": _op9(),
     "op10_grid_join": OP10,
+    "op13_prefix_trie": OP13,
 }
