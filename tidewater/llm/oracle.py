@@ -242,7 +242,7 @@ r AS (
 p AS (SELECT conv_id, ts, unnest(range(len(ts) + 1)) AS d FROM r),
 n AS (
   SELECT list_transform(ts[1 : d], lambda x: x.u) AS node, CASE WHEN d > 0 THEN list_transform(ts[1 : d - 1], lambda x: x.u) END AS parent,
-         d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, CASE WHEN d > 0 THEN max(ts[d].n) ELSE 0 END AS n,
+         d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(max(ts[d].n), 0) AS n,
          sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE len(ts) = d), '')) AS ends_sha256
   FROM p GROUP BY ALL),
 k AS (SELECT parent, count(*) AS n_children FROM n WHERE parent IS NOT NULL GROUP BY parent),
