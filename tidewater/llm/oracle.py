@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, prefix_trie, quality, secret_scan
+from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, phrases, prefix_trie, quality, secret_scan
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -223,6 +223,33 @@ FROM m
 """
 
 
+OP11 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '{phrases.UNKNOWN}') AS lang,
+         string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]') AS ps
+  FROM documents),
+p AS (SELECT lang, unnest(list_transform(ps, lambda x: regexp_extract_all(x, '[^ 	]+'))) AS w FROM d),
+g AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
+s AS (SELECT lang, w[i : i + {phrases.DEPTH - 1}] AS t FROM g),
+c AS (SELECT lang, t, unnest(range(1, len(t) + 1)) AS k FROM s),
+f AS (SELECT lang, t[1 : k] AS ws, CAST(count(*) AS HUGEINT) AS f FROM c GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM p GROUP BY lang),
+a AS (SELECT * FROM f WHERE len(ws) > 1 AND f >= {phrases.LEAST}),
+i AS (SELECT lang, ws, f, unnest(range(1, len(ws) + 1)) AS b FROM a WHERE len(ws) > 2),
+j AS (SELECT lang, ws, f, b, unnest(range(b + 1, len(ws) + 1)) AS e FROM i),
+m AS (SELECT lang, ws[b : e] AS ws, max(f) AS most FROM j WHERE e - b + 1 < len(ws) GROUP BY ALL),
+u AS (SELECT a.* FROM a LEFT JOIN m ON m.lang = a.lang AND m.ws = a.ws WHERE NOT coalesce(100 * most >= {phrases.COVERED} * f, false)),
+x AS (SELECT lang, ws, f, unnest(range(1, len(ws))) AS k FROM u),
+y AS (
+  SELECT x.lang, x.ws, x.f, x.k, l.f AS l, r.f AS r, 2000000 * x.f // (l.f + r.f) AS score
+  FROM x JOIN f l ON l.lang = x.lang AND l.ws = x.ws[1 : k] JOIN f r ON r.lang = x.lang AND r.ws = x.ws[k + 1 :]),
+z AS (SELECT * FROM y QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1)
+SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, f DESC, array_to_string(ws, ' ')) AS rank,
+       array_to_string(ws, ' ') AS phrase, CAST(f AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n.n, CAST(score AS BIGINT) AS score
+FROM z JOIN n ON n.lang = z.lang QUALIFY rank <= {phrases.TOP}
+"""
+
 # The checksum of a decimal number, bit by bit.
 CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
   lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
@@ -264,5 +291,6 @@ ORACLE: dict[str, str] = {
     "op7_license_scan": _op7(),
     "op9_quality_rules": _op9(),
     "op10_grid_join": OP10,
+    "op11_phrase_mining": OP11,
     "op13_prefix_trie": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, grid_join, license_scan, markov_lm, mixing, near_dup, packing, prefix_trie, quality, secret_scan, toxicity
+from tidewater.llm import chat, grid_join, license_scan, markov_lm, mixing, near_dup, packing, phrases, prefix_trie, quality, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,11 @@ def op10_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_vectors(_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
 
+def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each language's first phrases by score."""
+    return phrases.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of rebuilt conversations."""
     return prefix_trie.prefix_trie(prefix_trie.rebuild(prefix_trie.sequences(_table(spark, sf_dir, "conversations"))))
@@ -121,6 +126,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_quality_rules": op9_quality_rules,
     "op10_grid_join": op10_grid_join,
+    "op11_phrase_mining": op11_phrase_mining,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }

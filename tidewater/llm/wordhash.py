@@ -46,16 +46,23 @@ def _powers(base: int, n: int) -> np.ndarray:
 _TABLES: dict[str, np.ndarray] = {}
 
 
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: ASCII bytes between words.
+SPACES = bytes([0x20, *range(0x09, 0x0E)])
+
+
+def flags(of: bytes) -> np.ndarray:
+    """A table of 256 booleans that marks the bytes in ``of``."""
+    table = np.zeros(256, dtype=bool)
+    table[list(of)] = True
+    return table
+
+
+def _tables(n: int, separators: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     if "byte" not in _TABLES:
-        sep = np.zeros(256, dtype=bool)
-        sep[[0x20, *range(0x09, 0x0E)]] = True
-        value = constants(7, 256)
-        value[sep] = 0
-        _TABLES["sep"], _TABLES["byte"] = sep, value
+        _TABLES["byte"] = constants(7, 256)
     if "up" not in _TABLES or len(_TABLES["up"]) < n:
         _TABLES["up"], _TABLES["down"] = _powers(_BASE, n), _powers(_BASE_INV, n)
-    return _TABLES["sep"], _TABLES["byte"], _TABLES["up"][:n], _TABLES["down"][:n]
+    return flags(separators), _TABLES["byte"], _TABLES["up"][:n], _TABLES["down"][:n]
 
 
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -78,11 +85,12 @@ class Words(NamedTuple):
             return mix((self.prefix[end] - self.prefix[self.start]) * self.down[self.start])
 
 
-def words(texts: list[str | None]) -> Words:
-    """Words of one block of texts (null: none)."""
+def words(texts: list[str | None], separators: bytes = SPACES) -> Words:
+    """Words of one block of texts (null: none). ``separators`` are ASCII bytes, the
+    space among them."""
     raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer((b" ".join(raw) + b" ").translate(_LOWER), dtype=np.uint8)
-    sep, value, up, down = _tables(len(data) + 1)
+    sep, value, up, down = _tables(len(data) + 1, separators)
     inside = ~sep[data]
     edge = np.flatnonzero(np.diff(inside, prepend=False, append=False))
     start, end = edge[0::2], edge[1::2]
