@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, phrases, prefix_trie, quality, secret_scan
+from tidewater.llm import chat, grid_join, license_scan, mixing, near_dup, phrases, prefix_trie, quality, repeats, secret_scan
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -227,7 +227,8 @@ OP11 = rf"""
 WITH d AS (
   SELECT row_number() OVER () AS rid, coalesce(lang, '{phrases.UNKNOWN}') AS lang,
          string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]') AS ps
+-
+]') AS ps
   FROM documents),
 p AS (SELECT lang, unnest(list_transform(ps, lambda x: regexp_extract_all(x, '[^ 	]+'))) AS w FROM d),
 g AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM p),
@@ -250,6 +251,25 @@ SELECT z.lang, row_number() OVER (PARTITION BY z.lang ORDER BY score DESC, f DES
 FROM z JOIN n ON n.lang = z.lang QUALIFY rank <= {phrases.TOP}
 """
 
+OP12 = f"""
+WITH t AS (SELECT row_number() OVER (ORDER BY doc_id NULLS LAST) AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+w AS (SELECT rid, b, unnest(range(1, octet_length(b) - {repeats.LENGTH} + 2)) AS s FROM t),
+r AS (
+  SELECT rid, s, row_number() OVER (PARTITION BY b[s : s + {repeats.LENGTH - 1}] ORDER BY rid, s) > 1 AS again FROM w),
+g AS (
+  SELECT rid, s, coalesce(s > lag(s) OVER (PARTITION BY rid ORDER BY s) + {repeats.LENGTH}, true) AS new FROM r WHERE again),
+n AS (SELECT rid, s, sum(CAST(new AS INTEGER)) OVER (PARTITION BY rid ORDER BY s) AS k FROM g),
+x AS (SELECT rid, k, min(s) AS a, max(s) + {repeats.LENGTH} AS e FROM n GROUP BY rid, k),
+k AS (
+  SELECT t.rid, t.b, coalesce(list(x.a ORDER BY x.a) FILTER (WHERE x.a IS NOT NULL), []) AS a, coalesce(list(x.e ORDER BY x.a) FILTER (WHERE x.a IS NOT NULL), []) AS e, t.doc_id
+  FROM t LEFT JOIN x ON x.rid = t.rid GROUP BY t.rid, t.b, t.doc_id)
+SELECT doc_id, octet_length(b) AS n_bytes, CAST(coalesce(list_sum(list_transform(range(1, len(a) + 1), lambda i: e[i] - a[i])), 0) AS BIGINT) AS n_removed,
+       len(a) AS n_spans,
+       sha256(unhex(array_to_string(list_transform(range(1, len(a) + 2),
+         lambda i: hex(b[coalesce(e[i - 1], 1) : coalesce(a[i], octet_length(b) + 1) - 1])), ''))) AS kept_sha256
+FROM k
+"""
+
 # The checksum of a decimal number, bit by bit.
 CRC32 = """xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
   lambda a, b: list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0],
@@ -292,5 +312,6 @@ ORACLE: dict[str, str] = {
     "op9_quality_rules": _op9(),
     "op10_grid_join": OP10,
     "op11_phrase_mining": OP11,
+    "op12_remove_repeats": OP12,
     "op13_prefix_trie": OP13,
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import chat, grid_join, license_scan, markov_lm, mixing, near_dup, packing, phrases, prefix_trie, quality, secret_scan, toxicity
+from tidewater.llm import chat, grid_join, license_scan, markov_lm, mixing, near_dup, packing, phrases, prefix_trie, quality, repeats, secret_scan, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,6 +103,11 @@ def op11_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What long repeats leave of every document."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of rebuilt conversations."""
     return prefix_trie.prefix_trie(prefix_trie.rebuild(prefix_trie.sequences(_table(spark, sf_dir, "conversations"))))
@@ -127,6 +132,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_grid_join": op10_grid_join,
     "op11_phrase_mining": op11_phrase_mining,
+    "op12_remove_repeats": op12_remove_repeats,
     "op13_prefix_trie": op13_prefix_trie,
     "pipeline": pipeline,
 }
