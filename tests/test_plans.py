@@ -111,3 +111,8 @@ def test_parse_boundary_stays_inside_whole_stage_codegen(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     generate = [line for line in plan.splitlines() if "Generate inline" in line]
     assert generate and all("*(" in line for line in generate)
+
+
+def test_repr_rewrites_stand_once_in_the_plan(spark):
+    plan = QUERIES["ais_repr_positions"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert [plan.count(rf")*+)\b{literal}\b") for literal in ("True", "False", "None")] == [1, 1, 1]

@@ -94,17 +94,19 @@ def parse_ais_time(c: str | Column) -> Column:
 # Python literal -> JSON literal.
 PY_LITERALS = (("True", "true"), ("False", "false"), ("None", "null"))
 
-#: The rest of a text from a place outside quotes: plain characters and whole quoted texts.
-_OUTSIDE_QUOTES = r"""(?=[^'"]*+(?:(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")[^'"]*+)*+$)"""
-
+#: A quoted text, whole; an open one goes to the end.
+_QUOTED = r"""'[^'\\]*+(?:\\.[^'\\]*+)*+(?:'|$)|"[^"\\]*+(?:\\.[^"\\]*+)*+(?:"|$)"""
 
 #: ``\\xNN`` after an even number of backslashes, and its JSON form.
 HEX_ESCAPE = (r"(?<!\\)((?:\\\\)*+)\\x([0-9a-fA-F]{2})", r"$1\\u00$2")
 
 
-def py_literal_pattern(literal: str) -> str:
-    """The literal as a word of its own, outside quoted texts."""
-    return rf"(?s)\b{literal}\b{_OUTSIDE_QUOTES}"
+def literal_rewrite(literal: str, json_literal: str) -> tuple[str, str]:
+    """Pattern and replacement that put ``json_literal`` for the literal as a word of
+    its own outside quoted texts. Matches join without a gap, and each takes what
+    stands before its word, quoted texts whole, so a text is read once."""
+    other = rf"""[^'"{literal[0]}]++|{_QUOTED}|(?!\b{literal}\b){literal[0]}"""
+    return rf"(?s)\G((?:{other})*+)\b{literal}\b", f"$1{json_literal}"
 
 
 def parse_repr(c: str | Column, schema) -> Column:
@@ -114,10 +116,10 @@ def parse_repr(c: str | Column, schema) -> Column:
     accepts single quotes and, asked to, any escaped character. The three Python
     literals are rewritten wherever they stand outside quoted texts, with any
     white space around; texts that contain them are left alone. ``\\xNN`` escapes
-    become ``\\u00NN``.
+    become ``\\u00NN``. Each rewrite stands once in the plan.
     """
     text = _col(c)
     for literal, json_literal in PY_LITERALS:
-        text = F.when(text.contains(literal), F.regexp_replace(text, py_literal_pattern(literal), json_literal)).otherwise(text)
-    text = F.when(text.contains("\\x"), F.regexp_replace(text, *HEX_ESCAPE)).otherwise(text)
+        text = F.regexp_replace(text, *literal_rewrite(literal, json_literal))
+    text = F.regexp_replace(text, *HEX_ESCAPE)
     return F.from_json(text, schema, {"allowBackslashEscapingAnyCharacter": "true"})

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from tidewater.functions.clean import HEX_ESCAPE, PY_LITERALS, py_literal_pattern
+from tidewater.functions.clean import HEX_ESCAPE, PY_LITERALS, literal_rewrite
 
 # SQL function name -> field of the position report.
 EXTRACTORS = {"extract_sog": "Sog", "extract_cog": "Cog", "extract_heading": "TrueHeading"}
@@ -24,7 +24,8 @@ def _sql_literal(text: str) -> str:
 def _repr_to_json_sql(arg: str) -> str:
     expr = arg
     for literal, json_literal in PY_LITERALS:
-        expr = f"regexp_replace({expr}, {_sql_literal(py_literal_pattern(literal))}, '{json_literal}')"
+        pattern, replacement = literal_rewrite(literal, json_literal)
+        expr = f"regexp_replace({expr}, {_sql_literal(pattern)}, {_sql_literal(replacement)})"
     pattern, replacement = HEX_ESCAPE
     return f"regexp_replace({expr}, {_sql_literal(pattern)}, {_sql_literal(replacement)})"
 

@@ -388,14 +388,28 @@ ORACLE["forecast_unnest"] = sql(
     cast(1704067200 as bigint) as ref_time, cast(1704067200 + i * 3600 as bigint) as forecast_timestamp, {_HOURLY}
   from (select s_suppkey, s_name, unnest(range(72)) as i from supplier)"""
 )
-_HEAD = "left(concat('{\"port_id\":\"P', cast(s_suppkey as varchar), '\",\"port_name\":\"', s_name, '\",\"latitude\"'), 30)"
+_PLACE_JSON = (
+    "concat('{\"port_id\":\"P', s_suppkey, '\",\"port_name\":\"', s_name, '\",\"latitude\":\"', "
+    f"{fx.PORT_LATITUDE}, '\",\"longitude\":\"', {fx.PORT_LONGITUDE}, '\"'"
+)
+_HOURLY_JSON = ", ',', ".join(
+    f"'\"{f}\":[', array_to_string(list_transform(range({fx.FORECAST_STEPS}), lambda i: cast({fx.hourly_value(f, 's_suppkey', 'i')} as varchar)), ','), ']'"
+    for f in WEATHER_FIELDS
+)
 ORACLE["forecast_rejects"] = sql(
-    f"""select case when s_suppkey % 41 = 0 then 'unparseable' else 'incomplete' end as reason, {_HEAD} as head
-  from supplier where s_suppkey % 41 = 0 or s_suppkey % 43 = 0 or s_suppkey % 47 = 0"""
+    f"""with t as (
+    select s_suppkey, {_PLACE_JSON}, case when s_suppkey % 43 <> 0 then concat(
+        ',"hourly":{{"start":{fx.FORECAST_T0},', case when s_suppkey % 47 <> 0 then '"interval":{fx.FORECAST_STEP},' end,
+        '"end":{fx.FORECAST_T0 + fx.FORECAST_STEPS * fx.FORECAST_STEP},', {_HOURLY_JSON}, '}}') end, '}}') as payload
+    from supplier where s_suppkey % 41 = 0 or s_suppkey % 43 = 0 or s_suppkey % 47 = 0)
+  select case when s_suppkey % 41 = 0 then 'unparseable' else 'incomplete' end as reason,
+    case when s_suppkey % 41 = 0 then substring(payload, 1, 30) else payload end as payload from t"""
 )
 ORACLE["current_rejects"] = sql(
-    f"""select case when s_suppkey % 59 = 0 then 'unparseable' else 'incomplete' end as reason, {_HEAD} as head
-  from supplier where s_suppkey % 53 = 0 or s_suppkey % 59 = 0"""
+    f"""with t as (
+    select s_suppkey, {_PLACE_JSON}, '}}') as payload from supplier where s_suppkey % 53 = 0 or s_suppkey % 59 = 0)
+  select case when s_suppkey % 59 = 0 then 'unparseable' else 'incomplete' end as reason,
+    case when s_suppkey % 59 = 0 then substring(payload, 1, 30) else payload end as payload from t"""
 )
 
 _RAW_FORECAST_COLS = [e.rsplit(" as ", 1)[1] for e in fx.FORECAST_RAW]

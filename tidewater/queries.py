@@ -275,7 +275,7 @@ def forecast_upsert(spark, d):
 @register("forecast_rejects")
 def forecast_rejects(spark, d):
     _documents, rejects = payloads.split_forecast(fx.forecast_texts(spark, d))
-    return rejects.selectExpr("reason", "substring(payload, 1, 30) as head")
+    return rejects.select("reason", "payload")
 
 
 @register("rows_to_cells")
@@ -328,7 +328,7 @@ def current_weather_rows(spark, d):
 @register("current_rejects")
 def current_rejects(spark, d):
     _rows, rejects = payloads.explode_current(fx.current_payloads(spark, d))
-    return rejects.selectExpr("reason", "substring(payload, 1, 30) as head")
+    return rejects.select("reason", "payload")
 
 
 # ------------------------------------------------------------------ profiles
