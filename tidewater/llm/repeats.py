@@ -1,6 +1,6 @@
 """Long repeats by run-length indexes over the repetitive parts of a corpus.
 
-Every 100-byte window of a text has an anchor, the 32-byte string in it with the
+Every 100-byte window of a text has an anchor, the 48-byte string in it with the
 least hash (the leftmost of equal ones); neighbouring windows mostly share one.
 Two equal windows have equal anchors, so a window whose anchor occurs once in the
 corpus is no repeat. What is left are runs of windows with anchors that occur
@@ -14,7 +14,9 @@ again, each with the bytes it spans, its part:
    out by their anchor, so all places of a window meet.
 3. Each task builds run-length indexes (``rindex``) over bounded chunks of parts,
    in the order of the documents, and streams the parts through them: every
-   window that also begins at an earlier place is a repeat.
+   window that also begins at an earlier place is a repeat. Equal parts are one
+   part of the index, at the place of the first; the others repeat it whole. A
+   part whose anchor has no other one is left out, as nothing could match it.
 
 An anchor with more parts than HOT (the edge of a passage that a third of all
 texts hold) has its parts cut into single windows dealt out by the window's own
@@ -48,7 +50,7 @@ SLICE = 1 << 20
 #: Runs of windows that a task settles or folds at a time.
 BLOCK_RUNS = 1 << 18
 #: Bytes of parts in one index.
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 #: Parts of one anchor that are dealt out together.
 HOT = 1 << 14
 
@@ -56,7 +58,7 @@ _NO_ID = (1 << 63) - 1
 
 
 def anchor_size(length: int) -> int:
-    return 8 * max(1, length // 24)
+    return 8 * max(1, length // 16)
 
 
 def _hashes(data: np.ndarray, size: int) -> np.ndarray:
@@ -273,17 +275,20 @@ def _marked(parts: DataFrame, length: int) -> DataFrame:
     def repeats(chunk: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(chunk)
         dest, ord_, key, start, windows = (rows.column(c).to_numpy() for c in _PARTS.names[:5])
-        # A lone part has nothing to match; repeats within it share its anchor's place.
-        new = np.append(True, dest[1:] != dest[:-1])
-        lone = new & np.append(new[1:], True)
         order = np.lexsort((start, key, ord_))
-        order = order[~lone[order]]
-        if len(order):  # the same place once
-            o, k, s = ord_[order], key[order], start[order]
-            same = (o[1:] == o[:-1]) & (k[1:] == k[:-1]) & (s[1:] == s[:-1])
-            order = order[np.append(True, ~same)]
-        if len(order) < 2:
-            return pa.RecordBatch.from_arrays([pa.array([], pa.int64())] * 4, schema=schema)
+        o, k, s = ord_[order], key[order], start[order]
+        order = order[np.append(True, (o[1:] != o[:-1]) | (k[1:] != k[:-1]) | (s[1:] != s[:-1]))]  # the same place once
+        seen: set[bytes] = set()
+        fresh = np.zeros(len(order), dtype=bool)
+        for i, body in enumerate(rows.column("body").take(pa.array(order)).to_pylist()):
+            fresh[i] = body not in seen
+            seen.add(body)
+        copies, order = order[~fresh], order[fresh]
+        _, group, size = np.unique(dest[order], return_inverse=True, return_counts=True)
+        order = order[size[group] > 1]
+        columns = [ord_[copies], key[copies], start[copies], windows[copies]]
+        if not len(order):
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
         bodies = rows.column("body").take(pa.array(order)).to_pylist()
         index = rindex.build(bodies, length)
         at = rindex.earlier(index)
@@ -291,7 +296,8 @@ def _marked(parts: DataFrame, length: int) -> DataFrame:
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1)) if len(at) else np.zeros(0, dtype=np.int64)
         of = np.searchsorted(begins, at[first], side="right") - 1
         mine = order[of]
-        columns = [ord_[mine], key[mine], start[mine] + at[first] - begins[of], np.diff(np.append(first, len(at)))]
+        found = [ord_[mine], key[mine], start[mine] + at[first] - begins[of], np.diff(np.append(first, len(at)))]
+        columns = [np.concatenate(x) for x in zip(columns, found, strict=True)]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
