@@ -9,6 +9,8 @@ of ``functions.clean.round_half_up``.
 
 from __future__ import annotations
 
+from tidewater.operators.nearest import EARTH_KM
+from tidewater.plans import safety, visits
 from tidewater.sources import fixtures as fx
 from tidewater.sources.catalog import FORECAST_ANALYSIS_FIELDS, WEATHER_FIELDS
 
@@ -378,6 +380,153 @@ ORACLE["sql_extractors"] = sql(
     "ais_raw",
 )
 
+# ------------------------------------------------------------------ safety and port visits
+
+# Every position against every port; the least distance, then the least id.
+CTES["near_all"] = (
+    f"""select p.event_id, p.mmsi, p.event_time, epoch_us(p.event_time) as us, p.latitude, p.longitude, q.port_id,
+    round(2 * {EARTH_KM} * asin(sqrt(least(1.0, pow(sin(radians(q.latitude - p.latitude) / 2), 2)
+      + cos(radians(p.latitude)) * cos(radians(q.latitude)) * pow(sin(radians(q.longitude - p.longitude) / 2), 2)))), 6) as km
+  from positions p join port_stats q on q.latitude is not null and q.longitude is not null""",
+    ["positions", "port_stats"],
+)
+
+
+def _near(km: float) -> str:
+    return f"""select p.event_id, p.mmsi, p.event_time, epoch_us(p.event_time) as us, p.latitude, p.longitude, n.port_id, n.km
+  from positions p left join (
+    select event_id, arg_min(port_id, (km, port_id)) as port_id, min(km) as km from near_all where km <= {km} group by event_id) n
+  on n.event_id = p.event_id"""
+
+
+CTES["near_ports"] = (_near(safety.REACH_KM), ["near_all", "positions"])
+ORACLE["nearest_ports"] = sql(f"select event_id, mmsi, port_id, {R('km', 3)} as distance_km from near_ports", "near_ports")
+
+CTES["known_hours"] = (
+    f"""select port_id, ref_time, forecast_timestamp, {', '.join(safety.CONDITIONS)}
+  from forecast_clean where port_id is not null and ref_time is not null and forecast_timestamp is not null
+  qualify row_number() over (partition by port_id, ref_time, forecast_timestamp
+    order by {', '.join(f'{c} desc nulls last' for c in safety.CONDITIONS)}) = 1""",
+    ["forecast_clean"],
+)
+CTES["at_run"] = (
+    """select n.*, r.ref_time from near_ports n asof left join (select distinct port_id, ref_time, ref_time * 1000000 as run_us from known_hours) r
+  on r.port_id = n.port_id and n.us >= r.run_us""",
+    ["near_ports", "known_hours"],
+)
+CTES["at_back"] = (
+    """select a.event_id, h.forecast_timestamp as back from at_run a asof left join (select *, forecast_timestamp * 1000000 as h_us from known_hours) h
+  on h.port_id = a.port_id and h.ref_time = a.ref_time and a.us >= h.h_us""",
+    ["at_run", "known_hours"],
+)
+CTES["at_ahead"] = (
+    """select a.event_id, h.forecast_timestamp as ahead from at_run a asof left join (select *, forecast_timestamp * 1000000 as h_us from known_hours) h
+  on h.port_id = a.port_id and h.ref_time = a.ref_time and a.us <= h.h_us""",
+    ["at_run", "known_hours"],
+)
+CTES["at_hour"] = (
+    f"""select a.*, case when ahead is null or us - back * 1000000 <= ahead * 1000000 - us then back else ahead end as hour_at
+  from at_run a join at_back using (event_id) join at_ahead using (event_id)""",
+    ["at_run", "at_back", "at_ahead"],
+)
+CTES["at_forecast"] = (
+    f"""select a.event_id, a.mmsi, a.latitude, a.longitude, a.port_id, a.km, a.ref_time, h.forecast_timestamp, {', '.join(f'h.{c}' for c in safety.CONDITIONS)}
+  from at_hour a left join known_hours h on h.port_id = a.port_id and h.ref_time = a.ref_time and h.forecast_timestamp = a.hour_at
+    and abs(a.us - a.hour_at * 1000000) <= {safety.TOLERANCE_SECONDS * 1000000}""",
+    ["at_hour", "known_hours"],
+)
+ORACLE["forecast_at_positions"] = sql(
+    f"select event_id, port_id, ref_time, forecast_timestamp, {', '.join(safety.CONDITIONS)} from at_forecast", "at_forecast"
+)
+ORACLE["dangerous_positions"] = sql(
+    f"""select event_id, mmsi, latitude, longitude, port_id, {R('km', 3)} as distance_km, ref_time, forecast_timestamp,
+    {', '.join(f'{R(c)} as {c}' for c in safety.CONDITIONS)}
+  from at_forecast where port_id is not null and (wave_height > 4.0 or ocean_current_velocity > 1.5
+    or sea_surface_temperature < 0 or sea_surface_temperature > 35)""",
+    "at_forecast",
+)
+
+# A vessel's state after each position, by windows over its whole history.
+CTES["near_track"] = (_near(visits.LEAVE_KM), ["near_all", "positions"])
+CTES["track"] = (
+    f"""select mmsi, event_time, event_id, port_id, case when port_id is null then 'out' when km <= {visits.ENTER_KM} then 'in' else 'near' end as kind,
+    lag(port_id) over w as prev
+  from near_track where mmsi is not null and event_time is not null and latitude is not null and longitude is not null
+  window w as (partition by mmsi order by event_time, event_id)""",
+    ["near_track"],
+)
+CTES["track_state"] = (
+    """select *, coalesce(last_value(becomes ignore nulls) over (partition by mmsi order by event_time, event_id rows unbounded preceding), '') as state
+  from (select *, case when kind = 'in' then port_id when kind = 'near' and prev = port_id then null else '' end as becomes from track)""",
+    ["track"],
+)
+CTES["moves"] = (
+    """select *, row_number() over (partition by mmsi order by event_time, event_id) as k
+  from (select *, coalesce(lag(state) over (partition by mmsi order by event_time, event_id), '') as before from track_state)
+  where state <> before""",
+    ["track_state"],
+)
+CTES["stays"] = (
+    """select a.mmsi, a.state as port_id, a.event_time as arrival, b.event_time as departure
+  from moves a left join moves b on b.mmsi = a.mmsi and b.k = a.k + 1 where a.state <> ''""",
+    ["moves"],
+)
+ORACLE["port_stays"] = sql("select * from stays", "stays")
+ORACLE["port_throughput"] = sql(
+    f"""select port_id, hour, sum(came) as arrivals, sum(1 - came) as departures, {R('avg(hours)')} as mean_stay_hours
+  from (select port_id, date_trunc('hour', arrival) as hour, 1 as came, cast(null as double) as hours from stays
+    union all select port_id, date_trunc('hour', departure), 0, (epoch_us(departure) - epoch_us(arrival)) / 3.6e9 from stays where departure is not null)
+  group by port_id, hour""",
+    "stays",
+)
+CTES["port_hours"] = (
+    """select port_id, unnest(range(date_trunc('hour', min(t)), date_trunc('hour', max(t)) + interval 1 hour, interval 1 hour)) as hour
+  from (select port_id, arrival as t from stays where departure is null or departure > arrival
+    union all select port_id, departure from stays where departure > arrival) group by port_id""",
+    ["stays"],
+)
+# Vessels in port as each hour begins and at every arrival within it.
+CTES["port_moments"] = (
+    """select port_id, hour, hour as t from port_hours
+  union all select port_id, date_trunc('hour', arrival), arrival from stays where departure is null or departure > arrival""",
+    ["port_hours", "stays"],
+)
+CTES["port_levels"] = (
+    """select m.port_id, m.hour, m.t, count(s.mmsi) as n from port_moments m
+  left join stays s on s.port_id = m.port_id and s.arrival <= m.t and (s.departure is null or s.departure > m.t)
+  group by all""",
+    ["port_moments", "stays"],
+)
+ORACLE["berth_demand"] = sql(
+    """select l.port_id, l.hour, max(n) as peak, any_value(try_cast(p.berths as bigint)) as berths,
+    greatest(0, max(n) - any_value(try_cast(p.berths as bigint))) as waiting
+  from port_levels l left join port_stats p on p.port_id = l.port_id group by l.port_id, l.hour""",
+    "port_levels", "port_stats",
+)
+CTES["levels"] = (
+    """select port_id, forecast_timestamp as t, max(sea_level_height_msl) as level from forecast_latest
+  where port_id is not null and forecast_timestamp is not null and sea_level_height_msl is not null group by all""",
+    ["forecast_latest"],
+)
+CTES["steps"] = (
+    """select port_id, t, level, level - prev as rise from (select *, lag(level) over (partition by port_id order by t) as prev from levels)
+  where prev is null or prev <> level""",
+    ["levels"],
+)
+CTES["turns"] = (
+    """select port_id, t, level, case when rise > 0 then 'high' else 'low' end as kind
+  from (select *, lead(rise) over (partition by port_id order by t) as after from steps) where sign(rise) * sign(after) < 0""",
+    ["steps"],
+)
+ORACLE["tide_at_arrival"] = sql(
+    f"""select s.mmsi, s.port_id, s.arrival, case when n.kind = 'high' then 'rising' else 'falling' end as tide,
+    {R('(n.t * 1000000 - epoch_us(s.arrival)) / 3.6e9')} as hours_to_turn, n.kind as turn, {R('n.level')} as turn_level
+  from stays s
+  asof join (select port_id, t * 1000000 as us from turns) l on l.port_id = s.port_id and epoch_us(s.arrival) >= l.us
+  asof join (select *, t * 1000000 as us from turns) n on n.port_id = s.port_id and epoch_us(s.arrival) <= n.us""",
+    "stays", "turns",
+)
+
 # ------------------------------------------------------------------ ingest transforms
 
 _HOURLY = ",\n    ".join(f"{fx.hourly_value(f, 's_suppkey', 'i')} as {f}" for f in WEATHER_FIELDS)

@@ -11,12 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.functions.clean import WEATHER_SENTINELS
+from tidewater.functions.clean import WEATHER_SENTINELS, round_half_up
 from tidewater.functions.geo import parse_bbox
 from tidewater.functions.sql import register_sql_functions
 from tidewater.operators import cells
 from tidewater.operators.dedup import upsert
-from tidewater.plans import fleet, movement, profiles, weather
+from tidewater.plans import fleet, movement, profiles, safety, visits, weather
 from tidewater.sources import fixtures as fx
 from tidewater.sources import payloads
 from tidewater.sources.catalog import PORTS, VESSELS
@@ -252,6 +252,54 @@ def sql_extractors(spark, d):
     return fx.ais_store(spark, d).selectExpr("event_id", *[f"{n}(position_report) as {n[len('extract_'):]}" for n in names])
 
 
+# ------------------------------------------------------------------ safety and port visits
+
+def _typed_ports(spark, d):
+    return _port_stats(spark, d)
+
+
+def _stays(spark, d):
+    return visits.port_stays(_positions(spark, d), _typed_ports(spark, d))
+
+
+@register("nearest_ports")
+def nearest_ports(spark, d):
+    near = safety.nearest_ports(_positions(spark, d), _typed_ports(spark, d))
+    return near.select("event_id", "mmsi", "port_id", round_half_up("distance_km", 3).alias("distance_km"))
+
+
+@register("forecast_at_positions")
+def forecast_at_positions(spark, d):
+    near = safety.nearest_ports(_positions(spark, d), _typed_ports(spark, d))
+    known = safety.forecast_at(near, _forecast(spark, d))
+    return known.select("event_id", "port_id", "ref_time", "forecast_timestamp", *safety.CONDITIONS)
+
+
+@register("dangerous_positions")
+def dangerous_positions(spark, d):
+    return safety.dangerous_positions(_positions(spark, d), _typed_ports(spark, d), _forecast(spark, d))
+
+
+@register("port_stays")
+def port_stays(spark, d):
+    return _stays(spark, d).withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("arrival", "departure")})
+
+
+@register("port_throughput")
+def port_throughput(spark, d):
+    return visits.port_throughput(_stays(spark, d))
+
+
+@register("berth_demand")
+def berth_demand(spark, d):
+    return visits.berth_demand(_stays(spark, d), _typed_ports(spark, d))
+
+
+@register("tide_at_arrival")
+def tide_at_arrival(spark, d):
+    return visits.tide_at_arrival(_stays(spark, d), _forecast(spark, d))
+
+
 # ------------------------------------------------------------------ ingest transforms
 
 FORECAST_KEY = ["id"]
