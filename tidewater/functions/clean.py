@@ -91,6 +91,18 @@ def parse_ais_time(c: str | Column) -> Column:
     return F.try_to_timestamp(text)
 
 
+#: A message's own time may be this far ahead of its arrival; beyond it the
+#: sender's clock is wrong.
+CLOCK_AHEAD = "5 minutes"
+
+
+def sound_time(own: Column, arrival: Column) -> Column:
+    """A message's own time, or its arrival where the own one is missing or further
+    ahead of it than a clock may be. A time without a known arrival stands."""
+    wrong = own > arrival + F.expr(f"interval {CLOCK_AHEAD}")
+    return F.when(F.coalesce(wrong, F.lit(False)), arrival).otherwise(F.coalesce(own, arrival))
+
+
 # Python literal -> JSON literal.
 PY_LITERALS = (("True", "true"), ("False", "false"), ("None", "null"))
 

@@ -362,9 +362,10 @@ ORACLE["ais_dedup"] = sql(
     "ais_classified",
 )
 CTES["counted"] = (
-    """select json_extract_string(value, '$.MessageType') as message_type, coalesce(
-      try_cast(replace(json_extract_string(value, '$.MetaData.time_utc'), ' +0000 UTC', '') as timestamp), ts) as t
-  from ais_classified where reason = 'ok'""",
+    """select json_extract_string(value, '$.MessageType') as message_type,
+    case when own > ts + interval 5 minutes then ts else coalesce(own, ts) end as t
+  from (select value, ts, try_cast(replace(json_extract_string(value, '$.MetaData.time_utc'), ' +0000 UTC', '') as timestamp) as own
+    from ais_classified where reason = 'ok')""",
     ["ais_classified"],
 )
 ORACLE["message_type_counts"] = sql(
@@ -499,7 +500,7 @@ CTES["port_levels"] = (
 )
 ORACLE["berth_demand"] = sql(
     """select l.port_id, l.hour, max(n) as peak, any_value(try_cast(p.berths as bigint)) as berths,
-    greatest(0, max(n) - any_value(try_cast(p.berths as bigint))) as waiting
+    case when any_value(try_cast(p.berths as bigint)) is not null then greatest(0, max(n) - any_value(try_cast(p.berths as bigint))) end as waiting
   from port_levels l left join port_stats p on p.port_id = l.port_id group by l.port_id, l.hour""",
     "port_levels", "port_stats",
 )

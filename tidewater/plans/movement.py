@@ -7,7 +7,7 @@ analysed (the reference's unordered 500-row test throttle is not kept).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.clean import parse_repr, round_half_up
@@ -58,10 +58,13 @@ def store_positions(store: DataFrame, drop_unavailable: bool = False) -> DataFra
     return positions(typed)
 
 
-def recent_positions(pos: DataFrame, seconds: int = 3600, date_col: str | None = None) -> DataFrame:
+def recent_positions(pos: DataFrame, seconds: int = 3600, date_col: str | None = None, not_after: Column | None = None) -> DataFrame:
     """P-13: positions within ``seconds`` of the newest one. Over the message
-    store pass ``date_col="event_date"`` so only the newest dates are read."""
-    return recent(pos, "event_time", seconds, date_col=date_col)
+    store pass ``date_col="event_date"`` so only the newest dates are read. A wrong
+    clock is held to the arrival (column ``ts``) where there is one, and to
+    ``not_after``."""
+    arrival = "ts" if "ts" in pos.columns else None
+    return recent(pos, "event_time", seconds, date_col=date_col, arrival_col=arrival, not_after=not_after)
 
 
 def bbox_positions(pos: DataFrame, box: BBox) -> DataFrame:

@@ -89,7 +89,7 @@ def berth_demand(stays: DataFrame, ports: DataFrame) -> DataFrame:
     peak = peak_by_hour(cut(occupancy(stays, ["port_id"], "arrival", "departure"), "levels"), ["port_id"])
     berths = ports.select("port_id", F.col("berths").try_cast("long").alias("berths"))
     out = peak.join(berths, "port_id", "left")
-    return out.select("port_id", F.col("hour").cast("timestamp_ntz").alias("hour"), "peak", "berths", F.greatest(F.lit(0).cast("long"), F.col("peak") - F.col("berths")).alias("waiting"))
+    return out.select("port_id", F.col("hour").cast("timestamp_ntz").alias("hour"), "peak", "berths", F.when(F.col("berths").isNotNull(), F.greatest(F.lit(0).cast("long"), F.col("peak") - F.col("berths"))).alias("waiting"))
 
 
 def turning_points(levels: DataFrame, by: list[str], time: str, level: str) -> DataFrame:

@@ -7,17 +7,18 @@ Two store layouts, both without a table format:
   its rows once more and never removes others; reading folds the duplicates.
   ``compact`` folds the loads into a new store.
 * the *forecast store* merges at write: rows of the touched (run, bucket)
-  partitions are merged by row key with the incoming ones and only these
-  partitions are replaced. Reading is a plain scan.
+  partitions are merged by row key, cell by cell, with the incoming ones and only
+  these partitions are replaced. Reading is a plain scan.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from tidewater.operators.dedup import latest_by_key
 
@@ -59,30 +60,77 @@ def write_forecast_store(
     forecast: DataFrame, path: str, run_col: str = "ref_time", key: str = "id", port_col: str = "port_id",
     buckets: int = FORECAST_BUCKETS,
 ) -> str:
-    """K-2: merge rows into the forecast store by row key, incoming rows first.
+    """K-2: merge rows into the forecast store by row key, cell by cell.
 
     The store is partitioned by run and by a hash bucket of the port. Stored rows
-    of the touched partitions whose key does not come in are kept next to the
-    incoming rows, and dynamic partition overwrite replaces these partitions
-    alone: other runs, and other ports of the same run, stay. A key that comes in
-    twice is kept once (the greater row). The newest-run filter (``latest_run``)
-    is a partition filter on this layout, evaluated from partition values."""
+    of the touched partitions stay; a row whose key comes in keeps the cells that
+    the incoming one lacks (a null, or a column that the load does not have), and
+    the incoming cells win. Dynamic partition overwrite replaces the touched
+    partitions alone: other runs, and other ports of the same run, stay. Rows
+    without a run or a key are merged like any other: null is a run, and a key, of
+    its own. The store's columns are the union of all loads'. A key that comes in
+    twice is kept once (the greater row). The newest-run filter (``latest_run``) is
+    a partition filter on this layout, evaluated from partition values."""
     spark = forecast.sparkSession
     fresh = latest_by_key(forecast, [key]).withColumn(BUCKET_COL, bucket_of(port_col, buckets))
-    stored = read_store(spark, path, fresh.schema)
-    touched = fresh.select(run_col, BUCKET_COL).distinct()
-    others = stored.join(touched, [run_col, BUCKET_COL], "left_semi").join(fresh.select(key), key, "left_anti")
+    known = store_schema(spark, path)
+    merged = _union_schema(known, fresh.schema, [run_col, BUCKET_COL])
+    stored = read_store(spark, path, merged)
+    place = [run_col, BUCKET_COL]
+    touched = fresh.select(*[F.col(c).alias(f"__{c}") for c in place]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in place]
+    there = stored.join(touched, same, "left_semi")
+    # One row a key: the incoming cell, else the stored one. Both sides pre-aggregate.
+    names = [f.name for f in merged if f.name not in (*place, key)]
+    sides = [
+        side.select(key, *place, *[(F.col(c) if c in side.columns else F.lit(None)).cast(merged[c].dataType).alias(c) for c in names], F.lit(rank).alias("__rank"))
+        for rank, side in enumerate((there, fresh))
+    ]
+    cell = lambda c: F.max_by(c, F.when(F.col(c).isNotNull(), F.col("__rank"))).alias(c)
+    rows = sides[0].unionByName(sides[1]).groupBy(key, *place).agg(*[cell(c) for c in names])
+    _write_schema(spark, path, merged)
     (
-        fresh.unionByName(others.select(*fresh.columns))
-        .repartition(run_col, BUCKET_COL)  # one file a touched partition
+        rows.select(*[f.name for f in merged])
+        .repartition(*place)  # one file a touched partition
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(run_col, BUCKET_COL)
+        .partitionBy(*place)
         .parquet(path)
     )
     return path
 
 
+#: Where a store keeps its schema; readers of the data skip it.
+SCHEMA_DIR = "_schema"
+
+
+def store_schema(spark: SparkSession, path: str) -> StructType | None:
+    """The schema that the store at ``path`` was last written with (one small file);
+    of a store without one, that of its files; None where there is no store."""
+    at = f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    if path_exists(spark, at):
+        return StructType.fromJson(json.loads(spark.read.text(at, wholetext=True).first()[0]))
+    return spark.read.option("mergeSchema", "true").parquet(path).schema if path_exists(spark, path) else None
+
+
+def _write_schema(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Written before the data: it may name columns that no file has, which read as null."""
+    if store_schema(spark, path) != schema or not path_exists(spark, f"{path.rstrip('/')}/{SCHEMA_DIR}"):
+        text = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+        text.write.mode("overwrite").text(f"{path.rstrip('/')}/{SCHEMA_DIR}")
+
+
+def _union_schema(known: StructType | None, new: StructType, last: Sequence[str]) -> StructType:
+    """Columns of both, the known type first, the ``last`` ones (partitions) last. A
+    column that two loads have with different types is an error."""
+    fields = {f.name: f.dataType for f in known or ()}
+    for f in new:
+        if fields.setdefault(f.name, f.dataType) != f.dataType:
+            raise ValueError(f"column {f.name} is {fields[f.name].simpleString()} in the store and {f.dataType.simpleString()} in the load")
+    order = [c for c in fields if c not in last] + list(last)
+    return StructType([StructField(c, fields[c]) for c in order])
+
+
 def write_upsert_batch(
     df: DataFrame, path: str, batch_id: int | str, partition_by: Sequence[str] | None = None
 ) -> str:

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidewater.functions.clean import parse_ais_time
+from tidewater.functions.clean import parse_ais_time, sound_time
 from tidewater.operators.once import with_column_once
 
 POSITION_SCHEMA = StructType(
@@ -157,12 +157,14 @@ COUNT_TIME = "count_time"
 
 
 def count_time(decoded: DataFrame, arrival_col: str = "ts") -> DataFrame:
-    """Add the time a message counts under: its own, else its arrival (landing or
-    Kafka timestamp), else the Unix epoch, so that no valid frame goes uncounted."""
-    times = [F.col("event_time")]
+    """Add the time a message counts under: its own, its arrival (landing or Kafka
+    timestamp) where its own is missing or a wrong clock's (``sound_time``), else the
+    Unix epoch, so that every valid frame counts. A watermark on it follows arrivals:
+    one frame from a far future counts under its arrival and closes no window."""
+    own = F.col("event_time")
     if arrival_col in decoded.columns:
-        times.append(F.col(arrival_col).cast("timestamp"))
-    return decoded.withColumn(COUNT_TIME, F.coalesce(*times, F.timestamp_seconds(F.lit(0))))
+        own = sound_time(own, F.col(arrival_col).cast("timestamp"))
+    return decoded.withColumn(COUNT_TIME, F.coalesce(own, F.timestamp_seconds(F.lit(0))))
 
 
 def type_counts(
