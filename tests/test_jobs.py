@@ -3,6 +3,8 @@
 import os
 import uuid
 
+import pytest
+
 from tidewater.functions.sql import register_sql_functions
 from tidewater.plans import jobs
 from tidewater.queries import QUERIES
@@ -223,3 +225,26 @@ def test_reports_come_in_order(spark):
         rows = QUERIES[name](spark, SF_SMALL).collect()
         got = [tuple((0, 0) if r[c] is None and not down else key(r[c], down) if r[c] is not None else (True, 0) for c, down in columns) for r in rows]
         assert got == sorted(got) and len(got) > 1, name
+
+
+def test_forecast_store_keeps_null_runs_and_missing_cells(spark, scratch):
+    """Loads of different keys with a null run both stay, and a sparse load, by
+    nulls or by columns it does not have, leaves the other cells alone."""
+    from tidewater.sinks import store_schema, write_forecast_store
+
+    path = os.path.join(scratch, f"cells-{uuid.uuid4().hex}")
+    schema = "id string, port_id string, ref_time long, wave double, current double"
+
+    def load(rows, columns=schema):
+        write_forecast_store(spark.createDataFrame(rows, columns), path, buckets=1)
+
+    load([("a", "P", None, 1.0, 2.0), ("b", "P", 5, 1.0, 2.0), ("c", "P", 5, 3.0, None)])
+    load([("d", "P", None, 9.0, 9.0), ("b", "P", 5, None, 7.0)])
+    load([("c", "P", 5, 4.0, 20.5)], "id string, port_id string, ref_time long, wave double, temp double")
+    load([(None, "P", 5, 8.0, None), (None, "P", 5, None, 8.5)])
+    got = {r["id"]: (r["ref_time"], r["wave"], r["current"], r["temp"]) for r in spark.read.schema(store_schema(spark, path)).parquet(path).collect()}
+    assert got == {
+        "a": (None, 1.0, 2.0, None), "d": (None, 9.0, 9.0, None), "b": (5, 1.0, 7.0, None), "c": (5, 4.0, None, 20.5), None: (5, 8.0, None, None),
+    }
+    with pytest.raises(ValueError, match="wave"):
+        load([("x", "P", 5, "high", 1.0)], "id string, port_id string, ref_time long, wave string, current double")

@@ -296,3 +296,38 @@ def test_recent_window_prunes_message_store_by_date(spark, scratch):
     # the newest date comes from partition values, the newest time from that date's files
     inner = plan.split("===== Subqueries =====")[1]
     assert "ReadSchema: struct<>" in inner and "PartitionFilters: [isnotnull(event_date" in inner
+
+
+def test_one_wrong_clock_closes_no_window(spark, scratch):
+    """A frame dated 2099 counts under its arrival, so the watermark stays with the
+    others: their counts are the same with and without it."""
+    counted = []
+    for wrong in (False, True):
+        run = os.path.join(scratch, f"clock-{uuid.uuid4().hex}")
+        for part in range(5):
+            rows = [
+                (k, f"2024-01-01 {10 + 2 * part}:{k % 50:02d}:00", f'{{"MessageType":"A","Message":{{"MessageID":{k}}},"MetaData":{{"time_utc":"2024-01-01 {10 + 2 * part}:{k % 50:02d}:00"}}}}')
+                for k in range(40 * part, 40 * part + 40)
+            ]
+            if wrong and part == 0:
+                rows.append((999, "2024-01-01 10:00:30", '{"MessageType":"B","Message":{"MessageID":999},"MetaData":{"time_utc":"2099-01-01 00:00:00"}}'))
+            d = spark.createDataFrame(rows, "event_id long, ts string, value string").withColumn("ts", F.col("ts").cast("timestamp"))
+            d.coalesce(1).write.mode("append").json(os.path.join(run, "in"))
+        stream = read_files(spark, os.path.join(run, "in"), max_files_per_trigger=1)
+        type_count_stream(stream, path=os.path.join(run, "out"), checkpoint=os.path.join(run, "c"), watermark="1 hour").awaitTermination(300)
+        rows = spark.read.parquet(os.path.join(run, "out")).collect()
+        counted.append({(str(r.window_start), r.message_type): r.message_count for r in rows})
+    assert {k: v for k, v in counted[1].items() if k[1] == "A"} == counted[0] and sum(counted[0].values()) >= 160
+    assert counted[1][("2024-01-01 10:00:00", "B")] == 1
+
+
+def test_recent_holds_wrong_clocks_to_their_arrival(spark):
+    from tidewater.operators.filters import recent
+
+    rows = [(1, "2024-01-01 10:00:00", "2024-01-01 10:00:05"), (2, "2024-01-01 09:30:00", "2024-01-01 09:30:05"), (3, "2099-01-01 00:00:00", "2024-01-01 08:00:00"), (4, "2024-01-01 10:03:00", None)]
+    d = spark.createDataFrame(rows, "k long, t string, ts string").selectExpr("k", "cast(t as timestamp) as t", "cast(ts as timestamp) as ts", "to_date(t) as d")
+    keys = lambda df: sorted(r["k"] for r in df.collect())
+    assert keys(recent(d, "t")) == [3]
+    assert keys(recent(d, "t", arrival_col="ts")) == [1, 2, 4]
+    now = F.lit("2024-06-01 00:00:00").cast("timestamp")
+    assert keys(recent(d, "t", not_after=now)) == keys(recent(d, "t", date_col="d", not_after=now)) == [1, 2, 4]
