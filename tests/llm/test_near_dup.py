@@ -94,14 +94,75 @@ def test_near_duplicate_edges(docs):
     assert [got[i]["n_shingles"] for i in (9, 8, 7, 6, 4, 1)] == [0, 0, 0, 1, 1, 1]
     kept = near_dup.keep_one(docs(rows, clash=True))
     assert kept.columns == docs(rows, clash=True).columns
-    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["9", "8", "7", "5", "None", "None", "3", "2", "0"])
+    assert sorted(str(r["doc_id"]) for r in kept.collect()) == sorted(["9", "8", "7", "5", "3", "2", "0"])
     assert near_dup.near_duplicates(docs([])).count() == 0 and near_dup.keep_one(docs([])).count() == 0
 
 
 def test_rows_of_one_id_are_one_document(docs):
     rows = [(1, "a b c d e f", "x"), (1, "p q r s t u", "x"), (2, "p q r s t u", "x"), (3, "a b c d e f", "x")]
     got = near_dup.near_duplicates(docs(rows)).collect()
-    assert {r["component_id"] for r in got} == {1} and near_dup.keep_one(docs(rows)).count() == 1
+    assert {r["component_id"] for r in got} == {1}
+
+
+def test_different_texts_of_one_id_both_stay(docs):
+    """Rows go for a link of their texts only; a map column does no harm."""
+    rows = [(1, "a b c d e f", "x"), (1, "p q r s t u", "x"), (2, "p q r s t u", "x"), (3, "a b c d e f", "x"), (3, "a b c d e f", "y"), (None, "p q r s t u", "z")]
+    rows += [(None, "", "x"), (None, "", "x"), (None, "n u l l i d", "x"), (-5, "k l m n o", "x"), (4, "k l m n o", "x")]
+    d = docs(rows, clash=True).selectExpr("*", "map('k', source) AS m")
+    kept = near_dup.keep_one(d)
+    assert kept.columns == d.columns
+    want = [(-5, "k l m n o"), (1, "a b c d e f"), (1, "p q r s t u"), (None, ""), (None, ""), (None, "n u l l i d")]
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in kept.collect()))) == sorted(map(str, want))
+
+
+def _near_copies(n, seed=4):
+    """Copies of one text of 60 words with three edits each, from a few alternatives."""
+    rng = random.Random(seed)
+    base, rows = _prose(rng, 60, 2000), []
+    for i in range(n):
+        w = list(base)
+        for at in rng.sample(range(60), 3):
+            w[at] = f"edit{at % 20}-{rng.randrange(3)}"
+        rows.append((i, " ".join(w), "a"))
+    return rows
+
+
+def test_candidate_pairs_grow_with_the_members(docs, monkeypatch):
+    made = {}
+    write = Scratch.write
+
+    def counted(self, df, name):
+        out = write(self, df, name)
+        if name in ("pairs", "promising"):
+            made[name] = made.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(Scratch, "write", counted)
+    totals = []
+    for n in (300, 600):
+        rows = _near_copies(n)
+        made.clear()
+        got = {r["id"]: r["component_id"] for r in near_dup.near_duplicates(docs(rows)).collect()}
+        assert got == _brute(rows)
+        totals.append(dict(made))
+        assert made["pairs"] + made["promising"] <= near_dup.BANDS * n
+    assert totals[1]["promising"] <= 2.2 * totals[0]["promising"] + 20, totals
+
+
+def test_tiles_of_a_large_bucket_and_false_promises(docs, monkeypatch):
+    """Small tiles, and bitmaps of eight words that promise far too much."""
+    monkeypatch.setattr(near_dup, "TILE", 8)
+    monkeypatch.setattr(near_dup, "BITS", 512)
+    rng = random.Random(6)
+    base, rows = _prose(rng, 300, 3000), []
+    for i in range(90):
+        w = list(base)
+        for _ in range(rng.choice([1, 3, 5, 7])):
+            at = rng.randrange(300)
+            w[at] = f"edit{at // 10}"
+        rows.append((i, " ".join(w), "a"))
+    got = {r["id"]: r["component_id"] for r in near_dup.near_duplicates(docs(rows)).collect()}
+    assert got == _brute(rows) and len(set(got.values())) > 3
 
 
 def test_large_buckets_lose_no_link(docs):

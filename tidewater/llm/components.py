@@ -1,8 +1,9 @@
 """Connected components of an edge table, by alternating star steps.
 
-Every step is a grouped minimum and a join on the node, so a node with very many
-edges is reduced on the map side and its join partition is split by adaptive
-execution. Edges go to a table in the shared folder after each round; the driver
+Every step is a grouped minimum and a join on the node. A node with very many
+edges is reduced on the map side; the minima are a table of their own, so both
+sides of the join come straight from a shuffle, which is what lets adaptive
+execution split such a node's partition. Edges go to a table in the shared folder after each round; the driver
 sees one row at most.
 """
 
@@ -14,16 +15,17 @@ from pyspark.sql import functions as F
 from tidewater.llm.storage import Scratch
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, scratch: Scratch) -> DataFrame:
     """One step on edges (u, v), v < u. Large star: every node sends its larger
     neighbours to the least of its neighbourhood; small star: its smaller ones."""
     if large:
         both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("c"), F.least("m", "u").alias("m"))
+        least = scratch.write(least, "least")
         # Larger neighbours of c are those that name c as their smaller end.
         out = edges.join(least, edges.v == least.c).select(F.col("u"), F.col("m").alias("v"))
     else:
-        least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "c")
+        least = scratch.write(edges.groupBy("u").agg(F.min("v").alias("m")).withColumnRenamed("u", "c"), "least")
         out = edges.join(least, edges.u == least.c).select(F.col("v").alias("u"), F.col("m").alias("v"))
         out = out.union(least.select(F.col("c").alias("u"), F.col("m").alias("v")))
     return out.filter("u <> v")
@@ -45,8 +47,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     e = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = scratch.write(e, "edges")
     while True:
-        after = scratch.write(_star(_star(e, True), False).distinct(), "star")
-        scratch.drop(e)
+        large = scratch.write(_star(e, True, scratch), "large")
+        after = scratch.write(_star(large, False, scratch).distinct(), "star")
+        scratch.drop(e, large)
         e = after
         if _is_stars(e):
             break

@@ -8,16 +8,20 @@ share a bucket.
 
 Documents with equal sets are one class from the start, stood for by its least
 id, so copies cost nothing further. In a bucket, candidate edges form a star: one
-centre against all others. Each candidate is confirmed on the full sets. A
-member whose edge to the centre fails might still match another member, so
-rounds follow: used centres leave their bucket, and buckets that still hold
-members of more than one component get new centres (CENTRES each round, picked by
-independent hash orders) until none does. So every pair that shares a bucket is
-either compared or known to be connected, and pair counts stay at members times
-centres. After the first round, members of buckets that are still open are dealt
-anew into buckets by their rarest shingles: a pair that can link shares one of
-these (the prefix filter of exact set joins), and members of a large group that
-differ too much no longer meet.
+centre against all others, so pairs are as many as members. Each candidate is
+confirmed on the full sets.
+
+A member whose edge to the centre fails might still match another member. Members
+of buckets that are not one component after the stars are dealt anew by their
+rarest shingles: a pair that can link shares one of these (the prefix filter of
+exact set joins), and members of a large group that differ too much no longer
+meet. In a bucket of several components, tasks compare tiles of its members by
+fixed-width bitmaps of their sets: bits that only one of two sets has bound what
+they share, so hardly any pair that cannot link gets out, and of the pairs with one
+other component a member's most promising come first (one, then four times as
+many in each further round, which only a bitmap's false promise asks for). So every
+pair that shares a bucket is compared, ruled out by a bound, or known to be
+connected, while the pairs that leave a bucket stay in proportion to its members.
 
 With 25 bands of 5 bins, a pair at the threshold of 0.85 shares no bucket with
 probability 5e-7; a lower threshold asks for more bands (40 for 0.80: 1.3e-7).
@@ -32,7 +36,6 @@ their names, are ignored or, in ``keep_one``, returned as they are.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,6 +45,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.components import components
 from tidewater.llm.storage import Scratch
+from tidewater.llm.streams import runs
 from tidewater.llm.wordhash import blocks, constants, mix, words
 
 SHINGLE = 5
@@ -49,8 +53,10 @@ BANDS, ROWS = 25, 5
 PROBES = 1024
 #: A link: PERCENT * union <= 100 * intersection.
 PERCENT = 85
-#: Centres of a bucket in each round by rare shingles (one in the round by bands).
-CENTRES = 64
+#: Bits of the map that stands for a set in a tile.
+BITS = 4096
+#: Members of a bucket that one tile compares with each other.
+TILE = 4096
 
 
 def shingle_sets(texts: list[str | None], size: int = SHINGLE) -> list[np.ndarray]:
@@ -182,18 +188,19 @@ def _can_link(n: Column, room: Column, other_n: Column, other_room: Column, perc
     return 100 * both >= percent * (n + other_n - both)
 
 
-def _relabelled(rest: DataFrame, labels: DataFrame | None, scratch: Scratch) -> DataFrame:
-    """``rest`` (key, id, n, room) with every member's component so far."""
-    if labels is None:
-        out = rest.select("key", "id", "n", "room", F.col("id").alias("comp"))
-    else:
-        label = labels.select(F.col("id").alias("l_id"), "component")
-        out = rest.join(label, rest.id == F.col("l_id"), "left").select("key", "id", "n", "room", F.coalesce("component", "id").alias("comp"))
-    return scratch.write(out, "open")
+def _stars(members: DataFrame, percent: int, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Pairs of each bucket's centre with its other members, and these members."""
+    m = members.withColumn("h", F.xxhash64("key", "id"))
+    centre = m.groupBy("key").agg(F.min(F.struct("h", "id", "n")).alias("c")).select("key", F.col("c.id").alias("c"), F.col("c.n").alias("c_n"))
+    m = members.join(centre, "key").filter(F.col("id") != F.col("c"))
+    pairs = m.filter(_can_link(F.col("n"), F.col("n"), F.col("c_n"), F.col("c_n"), percent))
+    pairs = scratch.write(pairs.select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct(), "pairs")
+    return pairs, m.select("key", "id", "n")
 
 
 def _by_rare_shingles(rest: DataFrame, sets: DataFrame, labels: DataFrame | None, percent: int, scratch: Scratch) -> DataFrame:
-    """Members of open buckets in new buckets, one for each shingle of a prefix.
+    """Members of open buckets in new buckets, one for each shingle of a prefix:
+    key, set, id, n, room and the set's bitmap.
 
     In any fixed order of all shingles, two sets that share enough of them share
     one among the first ``n - needed + 1`` of each, where ``needed`` is the least
@@ -202,7 +209,7 @@ def _by_rare_shingles(rest: DataFrame, sets: DataFrame, labels: DataFrame | None
     members of a group have in common is no key. A pair that meets under
     its first common shingle shares no more than what follows there, ``room``; a
     pair that this rules out elsewhere is compared under its first."""
-    m = _relabelled(rest, labels, scratch)
+    m = _relabelled(rest, labels)
     open_keys = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.min("n").alias("least")).filter("low < high")
     asked = m.join(open_keys.select("key", "least"), "key").groupBy("id").agg(F.min("least").alias("least"))
     one = sets.join(asked, "id").select("set", "id", "least", F.size("shingles").alias("n"), F.explode("shingles").alias("key"))
@@ -212,7 +219,111 @@ def _by_rare_shingles(rest: DataFrame, sets: DataFrame, labels: DataFrame | None
     needed = F.ceil(F.lit(percent) * (F.col("n") + partner) / (100 + percent))
     place = F.row_number().over(Window.partitionBy("set").orderBy("df", "key"))
     prefix = counted.withColumn("place", place).filter((F.col("place") <= F.col("n") - needed + 1) & (F.col("df") > 1))
-    return prefix.select("key", "id", "n", (F.col("n") - F.col("place") + 1).alias("room")).distinct()
+    rows = prefix.select("key", "set", "id", "n", (F.col("n") - F.col("place") + 1).alias("room"))
+    rows = scratch.write(_open(rows, labels), "rare")
+    maps = _bitmaps(sets.join(rows.select("set").distinct(), "set", "left_semi"))
+    return scratch.write(rows.drop("comp").join(maps, "set"), "mapped")
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """``rows`` with ``comp``, the component so far of their id."""
+    if labels is None:
+        return rows.withColumn("comp", F.col("id"))
+    label = labels.select(F.col("id").alias("l_id"), "component")
+    return rows.join(label, rows.id == F.col("l_id"), "left").withColumn("comp", F.coalesce("component", "id")).drop("l_id", "component")
+
+
+def _open(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """Rows, with their component, of the buckets that hold several."""
+    m = _relabelled(rows, labels)
+    several = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low < high").select("key")
+    return m.join(several, "key")
+
+
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(set, bits): a bit for each shingle's hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            bits = []
+            for shingles in batch.column("shingles"):
+                one = np.zeros(BITS, dtype=bool)
+                one[mix(shingles.values.to_numpy().view(np.uint64)) % np.uint64(BITS)] = True
+                bits.append(np.packbits(one).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("set"), pa.array(bits, pa.binary())], names=["set", "bits"])
+
+    return sets.select("set", "shingles").mapInArrow(run, "set long, bits binary")
+
+
+def _tiles(rows: DataFrame) -> DataFrame:
+    """Rows dealt out to the tiles of their bucket: one where it has up to TILE
+    members, else one for every two of its blocks."""
+    blocks_ = rows.groupBy("key").agg(F.ceil(F.count("*") / (TILE // 2)).cast("int").alias("blocks"))
+    blocks_ = blocks_.withColumn("blocks", F.when(F.col("blocks") <= 2, 1).otherwise(F.col("blocks")))
+    block = F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")
+    m = rows.join(blocks_, "key").withColumn("block", block)
+    m = m.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    tile = F.concat_ws(":", "key", F.least("block", "other"), F.greatest("block", "other"))
+    return m.select(tile.alias("tile"), "block", F.col("blocks").alias("of"), "set", "id", "comp", "n", "room", "bits")
+
+
+def _promising(rows: DataFrame, percent: int, most: int) -> DataFrame:
+    """(a, b, more) of the pairs of different components in a tile that their bounds
+    allow: of those of a member with one other component the ``most`` best, ``more``
+    if there were others."""
+    kind = rows.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for tile in runs(batches, "tile"):
+            n, room, block = (tile.column(c).to_numpy().astype(np.int64) for c in ("n", "room", "block"))
+            ids = tile.column("id").combine_chunks()
+            of = tile.column("id").combine_chunks().dictionary_encode().indices.to_numpy()
+            comp = tile.column("comp").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
+            bits = np.frombuffer(b"".join(tile.column("bits").to_pylist()), dtype=np.uint64).reshape(len(n), -1)
+            ones = np.bitwise_count(bits).sum(axis=1, dtype=np.int64)
+            crossed = len(np.unique(block)) > 1  # a tile of two blocks compares one with the other
+            found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+
+            def out(found=found, ids=ids) -> pa.RecordBatch:
+                i, j, more = (np.concatenate(x) for x in zip(*found, strict=True))
+                found.clear()
+                return pa.RecordBatch.from_arrays([ids.take(pa.array(i)), ids.take(pa.array(j)), pa.array(more)], names=["a", "b", "more"])
+
+            for i in range(len(n)):
+                j = np.arange(i + 1, len(n))
+                j = j[(comp[j] != comp[i]) & (of[j] != of[i])]
+                if crossed:
+                    j = j[block[j] != block[i]]
+                both = np.minimum(np.minimum(n[j], room[j]), min(n[i], room[i]))
+                j, both = (x[100 * both >= percent * (n[j] + n[i] - both)] for x in (j, both))
+                if not len(j):
+                    continue
+                same = np.bitwise_count(bits[j] & bits[i]).sum(axis=1, dtype=np.int64)
+                both = np.minimum(both, np.minimum(n[i] - (ones[i] - same), n[j] - (ones[j] - same)))
+                j, both = (x[100 * both >= percent * (n[j] + n[i] - both)] for x in (j, both))
+                if not len(j):
+                    continue
+                j = j[np.lexsort((-both, comp[j]))]
+                first = np.flatnonzero(np.append(True, comp[j[1:]] != comp[j[:-1]]))
+                size = np.diff(np.append(first, len(j)))
+                keep = np.arange(len(j)) - np.repeat(first, size) < most
+                found.append((np.full(keep.sum(), i), j[keep], np.repeat(size > most, size)[keep]))
+                if len(found) >= 1000:
+                    yield out()
+            if found:
+                yield out()
+
+    rows = rows.repartition("tile").sortWithinPartitions("tile")
+    return rows.mapInArrow(run, f"a {kind}, b {kind}, more boolean")
+
+
+def _joined(links: DataFrame, labels: DataFrame | None, scratch: Scratch) -> DataFrame | None:
+    """Components by ``links`` and all links before, for which ``labels`` stand."""
+    if links.isEmpty():
+        return labels
+    if labels is not None:
+        links = links.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
+    return components(links, scratch)
 
 
 def near_duplicates(
@@ -239,21 +350,18 @@ def near_duplicates(
     sets = _sets(docs.join(members.select("id").distinct(), "id", "left_semi")).distinct()
     sets = scratch.write(sets.withColumn("set", F.monotonically_increasing_id()), "sets")
 
-    rest, labels = members.withColumn("room", F.col("n")), None
-    for k in itertools.count():
-        if k == 1:
-            rest = _by_rare_shingles(rest, sets, labels, percent, scratch)
-        centres = CENTRES if k else 1
-        rest, pairs = _next_round(rest, labels, centres, percent, scratch)
-        if rest is None:
+    pairs, rest = _stars(members, percent, scratch)
+    labels = _joined(_confirmed(pairs, sets, percent, scratch), None, scratch)
+    rest = _by_rare_shingles(rest, sets, labels, percent, scratch)
+    tested, most = pairs, 1
+    while True:
+        found = scratch.write(_promising(_tiles(_open(rest, labels)), percent, most), "promising")
+        pairs = found.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+        pairs = scratch.write(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        labels = _joined(_confirmed(pairs, sets, percent, scratch), labels, scratch)
+        if found.filter("more").isEmpty():
             break
-        scratch.tidy()
-        more = _confirmed(pairs, sets, percent, scratch)
-        if more.isEmpty():
-            continue
-        if labels is not None:  # what is connected so far stands for the links found before
-            more = more.union(labels.select(F.col("id").alias("a"), F.col("component").alias("b")))
-        labels = components(more, scratch)
+        tested, most = tested.union(pairs), 4 * most
 
     scratch.drop(sets, members)
     edges = of_class.select(F.col("id").alias("a"), F.col("rep").alias("b"))
@@ -267,38 +375,24 @@ def near_duplicates(
     )
 
 
-def _next_round(rest: DataFrame, labels: DataFrame | None, centres: int, percent: int, scratch: Scratch) -> tuple:
-    """Pairs of the open buckets' members with new centres, and the members left
-    without these; (None, None) when no bucket holds several components."""
-    m = _relabelled(rest, labels, scratch)
-    # At first any member, another one in each bucket that a group shares; then the one of
-    # the greatest component, then those of the first ones by independent hash orders.
-    order = [F.xxhash64("key", "id")] if labels is None else [F.xxhash64(F.lit(k), "comp") for k in range(centres)]
-    some = [F.min(F.struct(h.alias("h"), "comp", "id", "n", "room")).alias(f"c{k}") for k, h in enumerate(order)]
-    if labels is not None:
-        some[0] = F.max(F.struct("comp", "id", "n", "room")).alias("c0")
-    picked = m.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), *some).filter("low < high")
-    chosen = F.array_distinct(F.array(*[F.struct(*[f"c{k}.{f}" for f in ("id", "n", "room", "comp")]) for k in range(len(some))]))
-    picked = scratch.write(picked.select("key", chosen.alias("centres")), "centres")
-    if picked.isEmpty():
-        return None, None
-    m = m.join(picked, "key")
-    able = lambda c: _can_link(F.col("n"), F.col("room"), c.n, c.room, percent)
-    asked = F.filter("centres", lambda c: (c.id != F.col("id")) & (c.comp != F.col("comp")) & able(c))
-    pairs = m.select("id", F.explode(F.transform(asked, lambda c: c.id)).alias("c"))
-    pairs = scratch.write(pairs.select(F.greatest("id", "c").alias("a"), F.least("id", "c").alias("b")).distinct(), "pairs")
-    used = F.array_contains(F.transform("centres", lambda c: c.id), F.col("id"))
-    return m.filter(~used).select("key", "id", "n", "room"), pairs
-
-
 def keep_one(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, bands: int = BANDS
 ) -> DataFrame:
-    """The rows of ``docs`` that stand for their group (those with its least id),
-    with their own columns only; of rows repeated under that id, one stays."""
-    marks = near_duplicates(docs, id_col, text_col, percent, bands).filter("not kept").select(F.col("id").alias("_out")).distinct()
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
-    rows = rows.join(marks, F.col(f"row.{id_col}") == F.col("_out"), "left_anti")
-    # A document that occurs in several rows keeps the first in the order of its columns.
-    named = rows.filter(F.col(f"row.{id_col}").isNotNull()).groupBy(F.col(f"row.{id_col}").alias("_id")).agg(F.min("row").alias("row"))
-    return named.select("row").union(rows.filter(F.col(f"row.{id_col}").isNull())).select("row.*")
+    """The rows of ``docs`` that stand for their group, with their own columns only.
+
+    Every row with a text of its own under its (integer) id, null ids too, is a
+    document; documents are in the order of id, null after all others, and text's
+    hash, and the first of a group stays. Of rows that share id and text one stays,
+    the least by a hash of the whole row. Rows without a word all stay."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(row.alias("row"))
+    worded = F.coalesce(F.col(f"row.{text_col}").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    blank, rows = rows.filter(~worded), rows.filter(worded)
+    number = F.col(f"row.{id_col}").cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+    place = F.coalesce(F.lpad(F.hex(number), 16, "0"), F.lit("null"))
+    rows = rows.withColumn("at", F.concat_ws(":", place, F.hex(F.xxhash64(f"row.{text_col}"))))
+    marks = near_duplicates(rows.select("at", F.col(f"row.{text_col}").alias("text")), "at", "text", percent, bands)
+    out = marks.filter("not kept").select(F.col("id").alias("at")).distinct()
+    kept = rows.join(out, "at", "left_anti")
+    kept = kept.groupBy("at").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+    return kept.select("row").union(blank).select("row.*")
