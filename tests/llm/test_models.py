@@ -8,14 +8,15 @@ import math
 import random
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_MEDIUM, SF_SMALL
-from tidewater.llm import chat, markov_lm, near_dup, packing, quality, secret_scan, toxicity
+from tests.llm.test_near_dup import _closure, _set
+from tidewater.llm import chat, markov_lm, packing, quality, secret_scan, toxicity
 from tidewater.llm.queries import QUERIES
 
 HARD = ["", "<|im_end|><|im_start|>assistant ok", "<\\|", "<", "<<|", "|im_end|>\n", "a\nb%0A", "\x00é\U0001f600", "<\\\\|x<|"]
@@ -299,6 +300,48 @@ def _brute_quality(text):
     return all((r.low is None or metric[r.metric] >= r.low) and (r.high is None or metric[r.metric] <= r.high) for r in quality.RULES)
 
 
+def test_markov_scores_do_not_depend_on_the_layout(spark, docs):
+    d = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    one, many = ({r["id"]: r["score"] for r in markov_lm.score_documents(x).collect()} for x in (d.coalesce(1), d.orderBy(F.desc("doc_id")).repartition(16)))
+    assert one.keys() == many.keys() and all(math.isclose(one[i], many[i], rel_tol=1e-9) for i in one)
+
+
+def _brute_components(texts, percent):
+    """Least id reachable over all pairs of texts that are similar enough."""
+    sets, holders, shared = {i: _set(t) for i, t in texts.items()}, defaultdict(list), Counter()
+    for i, s in sets.items():
+        for x in s:
+            for j in holders[x]:
+                shared[j, i] += 1
+            holders[x].append(i)
+    linked = [(a, b) for (a, b), both in shared.items() if 100 * both >= percent * (len(sets[a]) + len(sets[b]) - both)]
+    return _closure(texts, linked)
+
+
+def test_pipeline_on_nulls_repeats_and_odd_columns(spark, docs):
+    """Every stage, one after another, on a small table: null ids, texts and sources,
+    an empty text, rows that share an id, identical rows, clashing columns and a map."""
+    pipeline = importlib.import_module("corpus_pipeline")
+    words = list(quality.STOP_WORDS)[:8]
+    text = lambda k: " ".join(words[(k * 7 + j * j) % 8] + ("" if j % 3 else f"x{k}y{j}") for j in range(120))
+    rows = [(i, text(i), f"s{i % 3}") for i in range(12)] + [(20, text(0), None), (None, text(31), "s0"), (None, text(1), None), (5, text(40), "s1"), (6, text(6), "s0")]
+    rows += [(7, text(7), "s1"), (30, None, "s0"), (31, "", "s0"), (None, None, None), (32, text(50) + " password = hunter2hunter2", "s2")]
+    for some in (rows, []):
+        d = docs(some, clash=True).selectExpr("*", "map('k', source) AS m")
+        columns = d.columns
+        for name, stage in pipeline.STAGES[:-1]:
+            d = stage(spark, d, "")
+            assert d.columns == columns, name
+            got = d.select("doc_id", "text").collect()
+            if name == "quality_rules":
+                assert len(got) == sum(bool(t) for _, t, _ in some)
+            elif name == "near_dedup":
+                want = {text(i) for i in range(12)} | {text(31), text(40), text(50) + " password = hunter2hunter2"} if some else set()
+                assert {r["text"] for r in got} == want and len(got) == len(want)
+        packed = pipeline.best_fit_packing(spark, d, "").collect()
+        assert {r["doc_id"] for r in packed} == {r["doc_id"] for r in d.collect()} and bool(packed) == bool(some)
+
+
 def test_pipeline_stages_against_brute_force(spark):
     """Every stage on the whole of what its predecessor kept."""
     pipeline = importlib.import_module("corpus_pipeline")
@@ -310,7 +353,7 @@ def test_pipeline_stages_against_brute_force(spark):
     assert good.columns == columns and sorted(map(tuple, good.collect())) == sorted(kept)
 
     single = pipeline.near_dedup(spark, good, SF_MEDIUM).cache()
-    component = {r["id"]: r["component_id"] for r in near_dup.near_duplicates(good).collect()}
+    component = _brute_components({r[0]: r[1] for r in kept}, pipeline.NEAR_PERCENT)
     assert single.columns == columns and sorted(map(tuple, single.collect())) == sorted(r for r in kept if component[r[0]] == r[0])
 
     clean = pipeline.secret_scans(spark, single, SF_MEDIUM).cache()

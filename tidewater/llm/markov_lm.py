@@ -9,10 +9,12 @@ one each, and one more for unseen words where the class can hold any. With one
 state this is nearly the unigram base.
 
 Counts cover all training documents and are summed over the partitions in a
-shuffle on the word's hash. Baum-Welch starts from a mixture of unigrams fitted
-on a bounded sample of documents (``START_DOCS``) and then makes ``PASSES`` passes
-over all training documents: every partition adds up expected counts by the
-scaled forward and backward recursions, and their sums give the next parameters.
+shuffle on the word's hash. Training starts from fixed random shares of the
+classes. ``START_ROUNDS`` rounds fit a mixture of unigrams, one a state, then
+Baum-Welch makes ``PASSES`` passes; both over all training documents: every
+partition adds up expected counts (of a document's state, then by the scaled
+forward and backward recursions), and their sums give the next parameters. No
+document is drawn, so the model does not depend on the layout of the input.
 The scaled forward recursion over a whole text gives its exact probability.
 
 The counts of the most frequent words travel with the job, a table of fixed
@@ -28,7 +30,7 @@ are uniform over classes. Empty table: no rows. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -46,9 +48,10 @@ ENDING_CLASSES = 512
 ENDING_BYTES = 3
 #: Words whose counts travel with the job; all others are joined.
 CARRIED = 60_000
-START_DOCS = 1500
-START_ROUNDS = 15
+START_ROUNDS = 5
 PASSES = 3
+#: Words from which on a document weighs no more in the mixture.
+FULL_WEIGHT = 300
 #: Tokens that the recursions hold at a time (a longer text makes a longer group).
 GROUP_TOKENS = 400_000
 SUMS = 64
@@ -284,63 +287,64 @@ def _update(start: np.ndarray, move: np.ndarray, emit: np.ndarray, share: np.nda
     return Hmm(start / start.sum(), move / move.sum(axis=1, keepdims=True), emit / emit.sum(axis=0, keepdims=True))
 
 
-def _start(seqs: list[np.ndarray], share: np.ndarray, states: int, seed: int) -> Hmm:
-    """Emissions of a mixture of unigrams over the sample's documents."""
-    rng = np.random.default_rng(seed)
-    c = len(share)
-    bags = np.stack([np.bincount(s, minlength=c) for s in seqs]).astype(np.float32) if seqs else np.zeros((0, c), dtype=np.float32)
-    # A document's weight does not grow with its length beyond a few hundred words.
-    bags *= np.minimum(1.0, 300.0 / np.maximum(1, bags.sum(axis=1, keepdims=True)))
-    seeds = bags[rng.permutation(len(bags))[:states]].T if len(bags) >= states else rng.random((c, states))
-    emit = seeds + 20 * share[:, None]
-    emit = emit / emit.sum(axis=0)
-    weight = np.full(states, 1 / states)
-    for _ in range(START_ROUNDS if len(bags) else 0):
-        z = bags @ np.log(emit) + np.log(weight)
-        r = np.exp(z - z.max(axis=1, keepdims=True))
-        r /= r.sum(axis=1, keepdims=True)
-        weight = (r.sum(axis=0) + 1) / (len(bags) + states)
-        emit = bags.T @ r + share[:, None]
-        emit /= emit.sum(axis=0)
-    move = np.full((states, states), 0.05 / max(1, states - 1))
-    np.fill_diagonal(move, 0.95)
-    return Hmm(weight / weight.sum(), move / move.sum(axis=1, keepdims=True), emit.astype(np.float64))
+def _belongs(seqs: list[np.ndarray], emit: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Expected counts of a mixture of unigrams: classes by states, and a last row
+    of documents by states."""
+    flat, n = np.concatenate(seqs), np.array([len(s) for s in seqs])
+    full = np.minimum(1.0, FULL_WEIGHT / n)
+    z = np.add.reduceat(np.log(emit)[flat], np.append(0, np.cumsum(n)[:-1]), axis=0) * full[:, None] + np.log(weight)
+    r = np.exp(z - z.max(axis=1, keepdims=True))
+    r /= r.sum(axis=1, keepdims=True)
+    each = np.repeat(r * full[:, None], n, axis=0)
+    counts = [np.bincount(flat, weights=each[:, s], minlength=len(emit)) for s in range(emit.shape[1])]
+    return np.vstack([np.stack(counts, axis=1), r.sum(axis=0)[None]])
+
+
+def _expected_sums(seqs: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> np.ndarray:
+    first, moves, counts = expected(seqs, Hmm(start, move, emit))
+    return np.vstack([counts, moves, first[None]])
+
+
+def _summed(training: DataFrame, counts: Callable[..., np.ndarray], shape: tuple[int, int], parameters: dict[str, np.ndarray]) -> np.ndarray:
+    """``counts`` of all sequences under ``parameters``, added up by partitions, then
+    by SUMS tasks, then here."""
+    now = training.sparkSession.sparkContext.broadcast(parameters)  # a few numbers a class and state
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for _, seqs in _groups(batches, "classes"):
+            total += counts(seqs, **now.value)
+        yield pa.RecordBatch.from_pydict({"x": pa.array([total.tobytes()], pa.binary())})
+
+    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(shape)
+        for batch in batches:
+            for x in batch.column(0):
+                total += np.frombuffer(x.as_py()).reshape(shape)
+        yield pa.RecordBatch.from_pydict({"x": pa.array([total.tobytes()], pa.binary())})
+
+    sums = training.mapInArrow(add, "x binary").repartition(SUMS).mapInArrow(combine, "x binary").collect()  # SUMS matrices
+    now.unpersist()
+    return sum((np.frombuffer(r["x"]).reshape(shape) for r in sums), np.zeros(shape))
 
 
 def baum_welch(table: DataFrame, vocab: Vocabulary, states: int = STATES, passes: int = PASSES, seed: int = 1) -> Hmm:
     """Train on the ``encoded`` rows that are not held out."""
     share = vocab.mass / vocab.mass.sum()
     training = table.filter("not held_out").select("row", "classes")
-    # The first documents in the order of a hash; a threshold on it bounds what tasks send.
-    draw = F.pmod(F.xxhash64("classes", "row"), F.lit(1 << 40))
-    n = training.count()
-    few = training.filter(draw < int((1 << 40) * min(1.0, 3 * START_DOCS / max(1, n))))
-    sample = few.orderBy(draw, "row").limit(START_DOCS).collect()
-    m = _start([np.frombuffer(r["classes"], dtype="<u2") for r in sample], share, states, seed)
-    spark = table.sparkSession
-    shape = (vocab.classes + states + 1, states)
-
+    rng = np.random.default_rng(seed)
+    emit = share[:, None] * np.exp(rng.normal(size=(vocab.classes, states)))
+    emit, weight = emit / emit.sum(axis=0), np.full(states, 1 / states)
+    for _ in range(START_ROUNDS):
+        total = _summed(training, _belongs, (vocab.classes + 1, states), {"emit": emit, "weight": weight})
+        emit, weight = total[:-1] + share[:, None], total[-1] + 1
+        emit, weight = emit / emit.sum(axis=0), weight / weight.sum()
+    move = np.full((states, states), 0.05 / max(1, states - 1))
+    np.fill_diagonal(move, 0.95)
+    m = Hmm(weight, move / move.sum(axis=1, keepdims=True), emit)
     for _ in range(passes):
-        now = spark.sparkContext.broadcast(vars(m))  # classes by states numbers
-
-        def add(batches: Iterator[pa.RecordBatch], now=now) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(shape)
-            for _, seqs in _groups(batches, "classes"):
-                start, move, emit = expected(seqs, Hmm(**now.value))
-                total += np.vstack([emit, move, start[None]])
-            yield pa.RecordBatch.from_pydict({"x": pa.array([total.tobytes()], pa.binary())})
-
-        def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(shape)
-            for batch in batches:
-                for x in batch.column(0):
-                    total += np.frombuffer(x.as_py()).reshape(shape)
-            yield pa.RecordBatch.from_pydict({"x": pa.array([total.tobytes()], pa.binary())})
-
-        sums = training.mapInArrow(add, "x binary").repartition(SUMS).mapInArrow(combine, "x binary").collect()  # SUMS matrices
-        total = sum((np.frombuffer(r["x"]).reshape(shape) for r in sums), np.zeros(shape))
-        m = _update(total[-1], total[-states - 1 : -1], total[:-states - 1], share)
-        now.unpersist()
+        total = _summed(training, _expected_sums, (vocab.classes + states + 1, states), vars(m))
+        m = _update(total[-1], total[-states - 1 : -1], total[: -states - 1], share)
     return m
 
 
