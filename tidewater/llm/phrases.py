@@ -45,9 +45,12 @@ TOP = 2000
 COVERED = 80
 UNKNOWN = "und"
 #: Suffixes in a group's subtrees.
-BUDGET = 1 << 21
+BUDGET = 1 << 20
 #: Words that a map task folds at a time.
-BLOCK_WORDS = 3 << 19
+BLOCK_WORDS = 1 << 19
+
+#: Bytes of text that are hashed at a time.
+HASHED_BYTES = 1 << 19
 
 #: ASCII bytes that end a piece; a space or a tab ends a word.
 ENDS = b".,;:!?" + bytes(range(0x0A, 0x0E))
@@ -61,7 +64,7 @@ def _tokens(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, Words]:
     h = w.hashes()
     h[h == 0] = 1  # 0 stands for no word
     n = len(h)
-    ended = np.cumsum(flags(ENDS)[w.data], dtype=np.int64)
+    ended = np.cumsum(flags(ENDS)[w.data], dtype=np.int32)
     new = np.ones(n + 1, dtype=bool)
     new[1:n] = ended[w.start[1:]] != ended[w.end[:-1] - 1]
     new[w.bounds] = True
@@ -131,7 +134,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], texts: bool) -> Iterator[tuple[st
         column = batch.column("text")
         for lang in sorted(set(langs)):
             mine = column.take(pa.array(np.flatnonzero(langs == lang))).to_pylist()
-            for _, some in blocks(mine):
+            for _, some in blocks(mine, HASHED_BYTES):
                 h, reach, w = _tokens(some)
                 if not len(h):
                     continue
@@ -161,16 +164,27 @@ def _dealt(keys: np.ndarray, groups: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(group[order[a]]), order[a:b]
 
 
-def _place(rows: DataFrame) -> DataFrame:
-    """Rows of each language's groups together, one group after another."""
+def _place(rows: DataFrame, groups: int) -> DataFrame:
+    """Rows of each language's groups together, one group after another, few a task."""
     rows = rows.withColumn("place", F.concat_ws(":", "group", "lang"))
-    return rows.repartition("place").sortWithinPartitions("place")
+    return rows.repartition(2 * groups, "place").sortWithinPartitions("place")
 
 
 def _joined(run: pa.Table, column: str, dtype: type) -> np.ndarray:
     return np.frombuffer(b"".join(run.column(column).to_pylist()), dtype=dtype)
 
 
+def _packed(x: np.ndarray) -> bytes:
+    """Compressed bytes, with their size: what goes through the JVM, and a shuffle of
+    sorted columns, is a fraction of the plain array."""
+    data = x.tobytes()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _unpacked(x: bytes, dtype: type) -> np.ndarray:
+    return np.frombuffer(pa.decompress(x[8:], int.from_bytes(x[:8], "little"), codec="zstd", asbytes=True), dtype=dtype)
+
+
 def _counts(docs: DataFrame, heavy: list[np.ndarray], groups: int, least: int) -> DataFrame:
     """(lang, key, f, word) of prefixes that occur at least ``least`` times: single
     words where ``heavy`` is empty (with a row of null key for the sum over all of a
@@ -209,7 +223,7 @@ def _counts(docs: DataFrame, heavy: list[np.ndarray], groups: int, least: int) -
             yield pa.RecordBatch.from_arrays(columns, names=["lang", "key", "f", "word"])
 
     rows = docs.mapInArrow(fold, "lang string, group long, keys binary, counts binary, texts array<binary>")
-    return _place(rows).mapInArrow(merge, "lang string, key long, f long, word string")
+    return _place(rows, groups).mapInArrow(merge, "lang string, key long, f long, word string")
 
 
 def _suffixes(docs: DataFrame, heavy: list[np.ndarray], groups: int) -> DataFrame:
@@ -230,10 +244,10 @@ def _suffixes(docs: DataFrame, heavy: list[np.ndarray], groups: int) -> DataFram
                 known, codes = np.unique(np.concatenate([*mine, np.zeros(1, dtype=np.uint64)]), return_inverse=True)
                 codes = codes[:-1].reshape(DEPTH, -1).astype(np.uint32)
                 order = np.lexsort(codes[::-1])  # neighbours alike: less to shuffle
-                told = [known.tobytes(), codes[:, order].tobytes(), n[at][order].astype(np.uint32).tobytes()]
+                told = [known.tobytes(), _packed(codes[:, order]), _packed(n[at][order].astype(np.uint32))]
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip([lang, g, *told], schema, strict=True)], schema=schema)
 
-    return _place(docs.mapInArrow(fold, "lang string, group long, words binary, codes binary, counts binary"))
+    return _place(docs.mapInArrow(fold, "lang string, group long, words binary, codes binary, counts binary"), groups)
 
 
 def _subtrees(suffixes: DataFrame, heavy: list[np.ndarray], least: int) -> DataFrame:
@@ -248,16 +262,17 @@ def _subtrees(suffixes: DataFrame, heavy: list[np.ndarray], least: int) -> DataF
             known = np.unique(np.concatenate(lists))
             codes = np.concatenate(
                 [
-                    np.searchsorted(known, one).astype(np.uint64)[np.frombuffer(x, dtype=np.uint32).reshape(DEPTH, -1)]
+                    np.searchsorted(known, one).astype(np.uint32)[_unpacked(x, np.uint32).reshape(DEPTH, -1)]
                     for one, x in zip(lists, run.column("codes").to_pylist(), strict=True)
                 ],
                 axis=1,
             )
-            counts = _joined(run, "counts", np.uint32).astype(np.int64)
+            counts = np.concatenate([_unpacked(x, np.uint32) for x in run.column("counts").to_pylist()]).astype(np.int64)
             # The leaves in order; equal ones of several blocks stand side by side.
-            pairs = [codes[k] << np.uint64(32) | codes[k + 1] for k in (0, 2)]
+            pairs = [codes[k].astype(np.uint64) << np.uint64(32) | codes[k + 1] for k in (0, 2)]
             order = np.lexsort(pairs[::-1])
-            codes, counts = codes[:, order].astype(np.int64), counts[order]
+            del pairs, lists
+            codes, counts = codes[:, order], counts[order]
             new = np.ones(len(counts), dtype=bool)
             new[1:] = codes[0, 1:] != codes[0, :-1]
             for k in range(1, DEPTH):
@@ -284,7 +299,7 @@ def phrase_counts(docs: DataFrame, scratch: Scratch, least: int = LEAST) -> tupl
     """Words (lang, key, f, word; null key: all words of the language) and phrases
     (lang, ws, f) that occur at least ``least`` times, as tables."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    few = 1 + size // (1 << 26)
+    few = 1 + size // (1 << 25)
     known = scratch.write(_counts(docs, [], few, least), "words")
     total = known.filter("key is null").agg(F.sum("f")).first()[0] or 0
     groups = 1 + 5 * total // (4 * BUDGET)

@@ -101,12 +101,12 @@ def words(texts: list[str | None], separators: bytes = SPACES) -> Words:
     return Words(data, start, end, np.searchsorted(start, starts_of_text), prefix, down)
 
 
-def blocks(texts: list[str | None]) -> Iterator[tuple[int, list[str | None]]]:
-    """Cut a batch of texts into blocks of about BLOCK_BYTES, with their offsets."""
+def blocks(texts: list[str | None], most: int = BLOCK_BYTES) -> Iterator[tuple[int, list[str | None]]]:
+    """Cut a batch of texts into blocks of about ``most`` bytes, with their offsets."""
     first, size = 0, 0
     for i, t in enumerate(texts):
         size += len(t or "")
-        if size >= BLOCK_BYTES:
+        if size >= most:
             yield first, texts[first : i + 1]
             first, size = i + 1, 0
     if first < len(texts):
