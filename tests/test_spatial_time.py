@@ -180,3 +180,12 @@ def test_windows_run_within_blocks(spark):
     over_rows = [line for line in windows if "__found" in line]
     assert windows and over_rows and all(re.search(r"windowspecdefinition\(key#\d+, __block#", line) for line in over_rows)
     assert df.count() == 1000
+
+
+def test_a_ring_does_not_plan_the_rings_before_it(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 5.0, 5.0)], POINT)
+    places = spark.createDataFrame([("A", 0.05, 0.0)], PLACE)
+    near = nearest_place(points, places, 640, "port_id")
+    assert len(rings(640)) == 4
+    assert near._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 5  # 27 with every ring planned in all later ones
+    assert {r[0]: r["port_id"] for r in near.collect()} == {1: "A", 2: None}

@@ -27,6 +27,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewater.operators.cut import cut
+
 #: Mean radius of the earth, km.
 EARTH_KM = 6371.0088
 #: Each ring's radius is this many times the one before.
@@ -117,10 +119,12 @@ def nearest_place(
         raise ValueError("the radius must be positive and less than a quarter of the earth's girth")
     a, b = F.col(lat).cast("double"), F.col(lon).cast("double")
     at = places.select(F.col(place_id).alias("id"), a.alias("lat"), b.alias("lon")).filter(_on_sphere(F.col("lat"), F.col("lon")) & F.col("id").isNotNull())
-    todo = points.select(a.alias("lat"), b.alias("lon")).filter(_on_sphere(F.col("lat"), F.col("lon"))).distinct()
+    at = cut(at, "places")
+    todo = cut(points.select(a.alias("lat"), b.alias("lon")).filter(_on_sphere(F.col("lat"), F.col("lon"))).distinct(), "points")
     found = None
     for km in rings(radius_km, first_km):
         hits = _within(todo, at, km)
+        hits = cut(hits, "within-ring") if km < radius_km else hits
         found = hits if found is None else found.unionByName(hits)
         todo = todo.join(hits.select("lat", "lon"), ["lat", "lon"], "left_anti")
     found = found.select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), F.col("best.place").alias(out_id or place_id), F.col("best.km").alias(out_km))

@@ -32,12 +32,13 @@ def forecast_at(positions: DataFrame, forecast: DataFrame, tolerance: int = TOLE
     port and hour: of the newest run of the port that was known by then, the valid
     hour nearest to the position's time (the earlier of two equally near ones).
     Of several rows of one hour the greatest measures count."""
-    known = forecast.filter("port_id is not null and ref_time is not null")
+    # One row an hour of a run, written once: the runs and the hours both read it.
+    known = forecast.filter("port_id is not null and ref_time is not null").groupBy("port_id", "ref_time", "forecast_timestamp")
+    known = cut(known.agg(F.max(F.struct(*CONDITIONS)).alias("most")), "forecast-hours").select("port_id", "ref_time", "forecast_timestamp", "most.*")
     runs = known.select("port_id", "ref_time").distinct()
     at = positions.withColumn("__at", F.col("event_time").cast("timestamp"))
     with_run = cut(asof_join(cut(at, "positions"), runs, ["port_id"], "__at", "ref_time"), "with-run")
-    hours = known.select("port_id", "ref_time", "forecast_timestamp", *CONDITIONS)
-    out = asof_join(with_run, hours, ["port_id", "ref_time"], "__at", "forecast_timestamp", "nearest", tolerance=tolerance)
+    out = asof_join(with_run, known, ["port_id", "ref_time"], "__at", "forecast_timestamp", "nearest", tolerance=tolerance)
     return out.drop("__at")
 
 
