@@ -374,3 +374,23 @@ def test_pipeline_stages_against_brute_force(spark):
     _check_packing([(r["doc_id"], r["text"], None) for r in mixed.collect()], packed, packing.Capacity())
     whole = pipeline.run(spark, SF_MEDIUM).drop("sequence_id", "offset").collect()
     assert Counter(whole) == Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in packed)
+
+
+def test_toxicity_learns_from_all_rows_and_counts_all_scores(spark, monkeypatch):
+    """A word that marks toxic rows of one small lot alone; thresholds against brute force."""
+    monkeypatch.setattr(toxicity, "LOT_ROWS", 100)
+    rows, marks = _toxic_corpus(1500)
+    spark_rows = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = toxicity.fit(spark_rows, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    got = {r["id"]: r["score"] for r in toxicity.score_documents(spark_rows, model).collect()}
+    held = [(got[i], y) for i, y in marks if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert np.mean([(s >= toxicity.THRESHOLD) == bool(y) for s, y in held]) > 0.95
+    rng = random.Random(3)
+    scored = [(rng.choice(["a", "b", "", None]), int(rng.random() < 0.3), round(rng.random() ** 3, 2)) for _ in range(3000)] + [("one", 1, 0.5)]
+    found = {r["lang"]: r["threshold"] for r in toxicity.best_thresholds(spark.createDataFrame(scored, "lang string, y int, score double")).collect()}
+    assert set(found) == {"a", "b", None}
+    for lang, threshold in found.items():
+        own = [(s, y) for of, y, s in scored if lang is None or of == lang]
+        f1 = {t: 2 * sum(y for s, y in own if s >= t) / (sum(s >= t for s, _ in own) + sum(y for _, y in own)) for t in {s for s, _ in own}}
+        low = min(t for t in f1 if f1[t] == max(f1.values()))
+        assert threshold == pytest.approx((low + max([s for s, _ in own if s < low], default=low)) / 2)
