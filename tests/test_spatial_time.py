@@ -189,3 +189,18 @@ def test_a_ring_does_not_plan_the_rings_before_it(spark):
     assert len(rings(640)) == 4
     assert near._jdf.queryExecution().optimizedPlan().toString().count("Join") <= 5  # 27 with every ring planned in all later ones
     assert {r[0]: r["port_id"] for r in near.collect()} == {1: "A", 2: None}
+
+
+def test_positions_are_never_broadcast(spark):
+    """However small their files look: a filter on the result makes the last join an inner one, which may build either side."""
+    points = spark.createDataFrame([(i, i % 3 / 100, 0.0) for i in range(20)], POINT)
+    places = spark.range(5000).selectExpr("concat('P', id) as port_id", "0.05 + id as latitude", "cast(id as double) as longitude")
+    near = nearest_place(points, places, 10, "port_id").filter("port_id is not null")
+    right = spark.createDataFrame([("P0", 0, 1)], "port_id string, at long, v long")
+    known = asof_join(near, right, ["port_id"], "k", "at")
+    for df in (near, known):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        df.collect()
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    assert {r["k"]: (r["port_id"], r["v"]) for r in known.collect()} == {i: ("P0", 1) for i in range(20)}

@@ -93,7 +93,8 @@ def asof_join(
         "__back": F.coalesce(F.last("__found", ignorenulls=True).over(within.rangeBetween(Window.unboundedPreceding, Window.currentRow)), F.col("__before")),
         "__ahead": F.coalesce(F.first("__found", ignorenulls=True).over(within.rangeBetween(Window.currentRow, Window.unboundedFollowing)), F.col("__after")),
     }
-    out = rows.join(carried, [*by, "__block"]).select("__left", "__time", *[known[w].alias(w) for w in ways]).filter("__left is not null")
+    # Rows and summaries both grow with the input: never broadcast.
+    out = rows.hint("merge").join(carried, [*by, "__block"]).select("__left", "__time", *[known[w].alias(w) for w in ways]).filter("__left is not null")
     best = F.col(ways[0])
     if direction == "nearest":
         ahead, back = F.col("__ahead.at") - F.col("__time"), F.col("__time") - F.col("__back.at")

@@ -12,7 +12,9 @@ is. Points without a place so near go on to the next, wider ring.
 Points are looked up once per distinct coordinate. The candidates of a point meet
 in one task of the cell join and are reduced before they are shuffled. Both sides
 of that join come straight from a shuffle, so adaptive execution splits a cell that
-holds very many points.
+holds very many points. Points and coordinates grow with the positions, and their
+size as planned is that of compressed files: joins of them are merge joins, never
+broadcast.
 
 Defined results. Null or non-finite coordinates, and latitudes beyond the poles,
 have no nearest place; longitudes count modulo 360. Places like that are never
@@ -97,7 +99,7 @@ def _within(points: DataFrame, places: DataFrame, km: float) -> DataFrame:
     n = _cells(F.col("band"), km, bands)
     p = p.withColumn("cell", F.least(F.floor(_east(F.col("lon")) * n / 360.0).cast("int"), n - 1))
     c = _cover(places, km).select("band", "cell", F.col("id").alias("place"), F.col("lat").alias("p_lat"), F.col("lon").alias("p_lon"))
-    both = p.join(c, ["band", "cell"]).withColumn("km", great_circle_km(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
+    both = p.hint("merge").join(c, ["band", "cell"]).withColumn("km", great_circle_km(F.col("lat"), F.col("lon"), F.col("p_lat"), F.col("p_lon")))
     near = both.filter(F.col("km") <= km)
     return near.groupBy("lat", "lon").agg(F.min(F.struct("km", "place")).alias("best"))
 
@@ -126,6 +128,6 @@ def nearest_place(
         hits = _within(todo, at, km)
         hits = cut(hits, "within-ring") if km < radius_km else hits
         found = hits if found is None else found.unionByName(hits)
-        todo = todo.join(hits.select("lat", "lon"), ["lat", "lon"], "left_anti")
+        todo = todo.hint("merge").join(hits.select("lat", "lon"), ["lat", "lon"], "left_anti")
     found = found.select(F.col("lat").alias("__lat"), F.col("lon").alias("__lon"), F.col("best.place").alias(out_id or place_id), F.col("best.km").alias(out_km))
-    return points.join(found, (a == F.col("__lat")) & (b == F.col("__lon")), "left").drop("__lat", "__lon")
+    return points.hint("merge").join(found, (a == F.col("__lat")) & (b == F.col("__lon")), "left").drop("__lat", "__lon")
