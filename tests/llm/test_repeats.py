@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -133,3 +134,43 @@ def test_copies_cost_few_runs():
     rng = np.random.default_rng(1)
     one = rng.integers(97, 123, 300).astype(np.uint8).tobytes()
     assert len(rindex.build([one] * 50, 100).start) < 1.3 * len(rindex.build([one], 100).start)
+
+
+def test_copies_hear_of_an_anchor_once(spark, monkeypatch):
+    """Not once a block: what a text of very many copies carries along stays as large as the text."""
+    monkeypatch.setattr(rp, "BLOCK_RUNS", 60)
+    monkeypatch.setattr(rp, "FOLD_PAIRS", 100, raising=False)
+    text = prose(random.Random(6), 150)
+    anchors = {int(x) for _, _, _, h in rp.window_runs([text.encode()]) for x in h}
+    rows = spark.createDataFrame([(1, text)] * 120, "key long, text string").coalesce(1)
+    told = {r["key"]: b"".join(r["hashes"]) for r in rp._repeated_anchors(rows, 3, 100).collect()}
+    assert set(told) == {1}
+    assert set(np.frombuffer(told[1], dtype=np.uint64).tolist()) == anchors
+    assert len(told[1]) // 8 <= 2 * len(anchors)
+
+
+def test_an_index_takes_little_memory():
+    rng = np.random.default_rng(2)
+    parts = [rng.integers(97, 123, 140).astype(np.uint8).tobytes() for _ in range(3000)]
+    tracemalloc.start()
+    try:
+        rindex.build(parts, 100)
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert most < 100 * 141 * len(parts)
+
+
+def test_a_window_at_very_many_places_is_folded(spark, monkeypatch):
+    """One window's places pass what a task holds: folded as they are read, batch by batch."""
+    for name, value in (("CHUNK_BYTES", 2000), ("HOT", 3)):
+        monkeypatch.setattr(rp, name, value)
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        rng = random.Random(7)
+        passage = prose(rng, 30)
+        got, want = both(spark, [(i, prose(rng, 3) + passage + prose(rng, 3)) for i in range(90)])
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    assert got == want

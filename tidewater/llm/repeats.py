@@ -7,8 +7,8 @@ corpus is no repeat. What is left are runs of windows with anchors that occur
 again, each with the bytes it spans, its part:
 
 1. Tasks hash the windows of their texts. An anchor that a block of texts holds
-   more than once is settled there and leaves as one entry; the others meet by
-   hash. Texts learn which of their anchors occur again.
+   more than once is settled there and leaves as one entry a text, the others
+   meet by hash. Texts learn which of their anchors occur again, each once.
 2. Texts that have any cut their parts. Parts that agree in a block of texts are
    folded: the first stays, the others' windows are repeats. The rest are dealt
    out by their anchor, so all places of a window meet.
@@ -20,7 +20,9 @@ again, each with the bytes it spans, its part:
 
 An anchor with more parts than HOT (the edge of a passage that a third of all
 texts hold) has its parts cut into single windows dealt out by the window's own
-hash, so no anchor's parts need to fit a task. Texts are moved once; documents
+hash, so no anchor's parts need to fit a task; a window of very many places is
+folded as it is read. What a worker holds at a time is a block, a place of anchors
+or a chunk, whatever the size of the corpus. Texts are moved once; documents
 without a repeated anchor are finished from their row alone.
 
 Defined results. Null or empty text, or less than a window: nothing removed.
@@ -46,9 +48,15 @@ from tidewater.llm.wordhash import constants, mix
 
 LENGTH = 100
 #: Bytes hashed at a time; longer texts are cut into overlapping slices.
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: Runs of windows that a task settles or folds at a time.
 BLOCK_RUNS = 1 << 18
+#: Bytes of text whose anchors meet in one place.
+PLACE_BYTES = 1 << 26
+#: Pairs of texts and settled anchors that a place holds before it folds equal ones.
+FOLD_PAIRS = 1 << 20
+#: Rows that a worker hands over at a time.
+OUT_ROWS = 1 << 14
 #: Bytes of parts in one index.
 CHUNK_BYTES = 1 << 21
 #: Parts of one anchor that are dealt out together.
@@ -126,23 +134,25 @@ def _blocks(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple]:
     """(batch's rows of a block, their texts, runs) of about BLOCK_RUNS runs; a run's
     text is its place among the block's rows."""
     for batch in batches:
-        texts = [t.encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
         a, size, per = 0, 0, BLOCK_RUNS * (length // 3)
-        for b, t in enumerate(texts):
-            size += len(t)
-            if size >= per or b + 1 == len(texts):
-                some = texts[a : b + 1]
+        sizes = pc.binary_length(batch.column("text")).to_pylist()
+        for b, n in enumerate(sizes):
+            size += n
+            if size >= per or b + 1 == len(sizes):
+                rows = batch.slice(a, b + 1 - a)
+                some = rows.column("text").cast(pa.binary()).to_pylist()
                 found = [np.concatenate(x) for x in zip(*window_runs(some, length), strict=True)]
                 if found:
-                    yield batch.slice(a, b + 1 - a), some, found
+                    yield rows, some, found
                 a, size = b + 1, 0
 
 
 def _by_key(keys: np.ndarray, hashes: np.ndarray) -> pa.RecordBatch:
     """Rows (key, hashes) from sorted pairs."""
     first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, dtype=np.int64)
-    told = [hashes[a:b].tobytes() for a, b in zip(first, [*first[1:], len(keys)], strict=False)]
-    return pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(told, pa.binary())], names=["key", "hashes"])
+    ends = (8 * np.append(first, len(keys))).astype(np.int32)
+    told = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(hashes)])
+    return pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), told], names=["key", "hashes"])
 
 
 def _pairs(keys: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -167,42 +177,56 @@ def _repeated_anchors(texts: DataFrame, places: int, length: int) -> DataFrame:
             new[1:] = h[1:] != h[:-1]
             many = ~(new & np.append(new[1:], True))
             out = []
-            if many.any():  # occurs again in this very block
-                k, x = _pairs(keys[many], h[many])
-                out.append((int(x[0] % np.uint64(places)), True, k.tobytes(), x.tobytes()))
-            k, x = keys[new], h[new]
-            to = (x % np.uint64(places)).astype(np.int64)
-            by = np.argsort(to, kind="stable")
-            cuts = np.flatnonzero(np.diff(to[by], prepend=-1))
-            for a, b in zip(cuts, [*cuts[1:], len(by)], strict=True):
-                out.append((int(to[by[a]]), False, k[by[a:b]].tobytes(), x[by[a:b]].tobytes()))
+            # Those that occur again in this very block go by their text, so a text
+            # of many copies hears of each anchor once; the others go by the anchor.
+            settled = _pairs(keys[many], h[many])
+            for done, (k, x), deal in ((True, settled, settled[0]), (False, (keys[new], h[new]), h[new])):
+                to = (deal % np.uint64(places)).astype(np.int64)
+                by = np.argsort(to, kind="stable")
+                cuts = np.flatnonzero(np.diff(to[by], prepend=-1))
+                for a, b in zip(cuts, [*cuts[1:], len(by)], strict=False):
+                    out.append((int(to[by[a]]), done, k[by[a:b]].tobytes(), x[by[a:b]].tobytes()))
             columns = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[bytes, bytes]] = []
-        now = None
+        held: dict[bool, list[tuple]] = {False: [], True: []}  # (keys, hashes) as buffers
+        now, pairs, most = None, 0, FOLD_PAIRS
+
+        def taken(done: bool) -> tuple[np.ndarray, ...]:
+            both = tuple(np.frombuffer(b"".join(x), dtype=np.uint64) for x in zip(*held[done], strict=True))
+            held[done].clear()
+            return both
 
         def out() -> Iterator[pa.RecordBatch]:
-            keys, h = (np.frombuffer(b"".join(x), dtype=np.uint64) for x in zip(*held, strict=True))
-            order = np.argsort(h, kind="stable")
-            keys, h = keys[order], h[order]
-            same = h[1:] == h[:-1]
-            again = np.append(same, False) | np.append(False, same)
-            yield _by_key(*_pairs(keys[again], h[again]))
+            if held[True]:
+                yield _by_key(*_pairs(*taken(True)))
+            if held[False]:
+                keys, h = taken(False)
+                order = np.argsort(h, kind="stable")
+                h = h[order]
+                keys = keys[order]
+                same = h[1:] == h[:-1]
+                again = np.append(same, False) | np.append(False, same)
+                keys, h = keys[again], h[again]
+                del order, same, again
+                yield _by_key(*_pairs(keys, h))
 
         for batch in batches:
-            for row in batch.to_pylist():
-                if row["place"] != now and held:
+            rows = (batch.column(c) for c in schema.names)
+            for place, settled, keys, hashes in zip(*rows, strict=True):
+                if place.as_py() != now:
                     yield from out()
-                    held = []
-                now = row["place"]
-                if row["settled"]:
-                    yield _by_key(*(np.frombuffer(row[c], dtype=np.uint64) for c in ("keys", "hashes")))
-                else:
-                    held.append((row["keys"], row["hashes"]))
-        if held:
-            yield from out()
+                    now, pairs, most = place.as_py(), 0, FOLD_PAIRS
+                held[settled.as_py()].append((keys.as_buffer(), hashes.as_buffer()))
+                if not settled.as_py():
+                    continue
+                pairs += keys.as_buffer().size // 8
+                if pairs > most:  # the same texts, block after block
+                    k, x = _pairs(*taken(True))
+                    held[True].append((k, x))
+                    pairs, most = len(k), max(FOLD_PAIRS, 2 * len(k))
+        yield from out()
 
     met = texts.mapInArrow(meet, "place long, settled boolean, keys binary, hashes binary")
     met = met.repartition("place").sortWithinPartitions("place")
@@ -228,21 +252,30 @@ def _parts(texts: DataFrame, length: int) -> DataFrame:
             if not len(keep):
                 continue
             ord_, key = rows.column("ord").to_numpy()[of[keep]], rows.column("key").to_numpy()[of[keep]]
-            order = np.lexsort((begin[keep], key, ord_))
-            keep, ord_, key = keep[order], ord_[order], key[order]
-            bodies: list[bytes | None] = []
-            seen: dict[bytes, tuple] = {}
-            fresh = np.ones(len(keep), dtype=bool)
-            for i, (t, a, w) in enumerate(zip(of[keep].tolist(), begin[keep].tolist(), windows[keep].tolist(), strict=True)):
-                body = some[t][a : a + w + length - 1]
-                place = (int(ord_[i]), int(key[i]), a)
-                first = seen.setdefault(body, place)
-                bodies.append(body if first is place else None)
-                fresh[i] = first is place or first != place
-            told = pa.array(bodies, pa.binary())
-            columns = [h[keep].view(np.int64), ord_, key, begin[keep], windows[keep]]
-            out = pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), told], schema=_PARTS)
-            yield out.filter(pa.array(fresh))
+            order = np.lexsort((begin[keep], key, ord_, windows[keep], h[keep]))
+            ord_, key, keep = ord_[order], key[order], keep[order]
+            of, begin, windows, h = of[keep], begin[keep], windows[keep], h[keep]
+            # Parts that agree have one anchor and as many windows; those that share
+            # them are told apart by their bytes, one such group at a time.
+            bounds = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (windows[1:] != windows[:-1])))
+            sizes = np.diff(np.append(bounds, len(h)))
+            first, fresh = np.ones(len(h), dtype=bool), np.ones(len(h), dtype=bool)
+            for a, n in zip(bounds[sizes > 1].tolist(), sizes[sizes > 1].tolist(), strict=True):
+                seen: dict[bytes, int] = {}
+                w = int(windows[a]) + length - 1
+                for i, (t, at) in enumerate(zip(of[a : a + n].tolist(), begin[a : a + n].tolist(), strict=True), a):
+                    j = seen.setdefault(some[t][at : at + w], i)
+                    if j != i:
+                        first[i] = False
+                        fresh[i] = ord_[i] != ord_[j] or key[i] != key[j] or begin[i] != begin[j]
+            told = np.flatnonzero(fresh)
+            told = told[np.lexsort((begin[told], key[told], ord_[told]))]  # neighbours overlap, so they compress
+            for a in range(0, len(told), OUT_ROWS):
+                i = told[a : a + OUT_ROWS]
+                cuts = zip(of[i].tolist(), begin[i].tolist(), windows[i].tolist(), first[i].tolist(), strict=True)
+                bodies = [some[t][at : at + w + length - 1] if body else None for t, at, w, body in cuts]
+                columns = [h[i].view(np.int64), ord_[i], key[i], begin[i], windows[i]]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns), pa.array(bodies, pa.binary())], schema=_PARTS)
 
     return texts.mapInArrow(cut, _PART)
 
@@ -272,61 +305,78 @@ def _marked(parts: DataFrame, length: int) -> DataFrame:
     dest: chunks of whole dests, one index each."""
     schema = pa.schema(list(_PARTS)[1:5])
 
-    def repeats(chunk: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(chunk)
-        dest, ord_, key, start, windows = (rows.column(c).to_numpy() for c in _PARTS.names[:5])
+    def folded(chunk: list[pa.RecordBatch]) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+        """(the first of equal parts in the order of places, repeats that are the others)"""
+        rows = pa.Table.from_batches(chunk).combine_chunks().to_batches()[0]
+        _, ord_, key, start, windows = (rows.column(c).to_numpy() for c in _PARTS.names[:5])
         order = np.lexsort((start, key, ord_))
         o, k, s = ord_[order], key[order], start[order]
         order = order[np.append(True, (o[1:] != o[:-1]) | (k[1:] != k[:-1]) | (s[1:] != s[:-1]))]  # the same place once
         seen: set[bytes] = set()
         fresh = np.zeros(len(order), dtype=bool)
-        for i, body in enumerate(rows.column("body").take(pa.array(order)).to_pylist()):
-            fresh[i] = body not in seen
-            seen.add(body)
-        copies, order = order[~fresh], order[fresh]
-        _, group, size = np.unique(dest[order], return_inverse=True, return_counts=True)
-        order = order[size[group] > 1]
+        bodies = rows.column("body")
+        for a in range(0, len(order), OUT_ROWS):
+            for i, body in enumerate(bodies.take(pa.array(order[a : a + OUT_ROWS])).to_pylist(), a):
+                fresh[i] = body not in seen
+                seen.add(body)
+        copies = order[~fresh]
         columns = [ord_[copies], key[copies], start[copies], windows[copies]]
-        if not len(order):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
-        bodies = rows.column("body").take(pa.array(order)).to_pylist()
-        index = rindex.build(bodies, length)
+        return rows.take(pa.array(order[fresh])), pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+    def repeats(chunk: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, copies = folded(chunk)
+        yield copies
+        _, group, size = np.unique(rows.column("dest").to_numpy(), return_inverse=True, return_counts=True)
+        rows = rows.filter(pa.array(size[group] > 1))
+        if not rows.num_rows:
+            return
+        ord_, key, start = (rows.column(c).to_numpy() for c in ("ord", "key", "start"))
+        index = rindex.build(rows.column("body").to_pylist(), length)
         at = rindex.earlier(index)
         begins = index.ends - index.sizes
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1] + 1)) if len(at) else np.zeros(0, dtype=np.int64)
         of = np.searchsorted(begins, at[first], side="right") - 1
-        mine = order[of]
-        found = [ord_[mine], key[mine], start[mine] + at[first] - begins[of], np.diff(np.append(first, len(at)))]
-        columns = [np.concatenate(x) for x in zip(columns, found, strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+        found = [ord_[of], key[of], start[of] + at[first] - begins[of], np.diff(np.append(first, len(at)))]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in found], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size, last = 0, None
+        whole: list[pa.RecordBatch] = []  # rows of dests that are complete
+        tail: list[pa.RecordBatch] = []  # and of the one that is being read
+        n_whole, n_tail, most, last = 0, 0, 2 * CHUNK_BYTES, None
         for batch in batches:
             if not batch.num_rows:
                 continue
             dest = batch.column("dest").to_numpy()
-            grown = np.cumsum(pc.binary_length(batch.column("body")).to_numpy())
+            grown = np.append(0, np.cumsum(pc.binary_length(batch.column("body")).to_numpy()))
             # Where a chunk may end: before a row of another dest.
             ends = np.flatnonzero(dest[1:] != dest[:-1]) + 1
-            if held and dest[0] != last:
+            if tail and dest[0] != last:
                 ends = np.append(0, ends)
             a = 0
             while len(ends):
-                before = np.append(0, grown)[ends] - (grown[a - 1] if a else 0) + size
-                full = ends[before >= CHUNK_BYTES]
-                if not len(full):
-                    break
-                held.append(batch.slice(a, full[0] - a))
-                yield repeats(held)
-                held, size, a = [], 0, int(full[0])
-                ends = ends[ends > a]
-            held.append(batch.slice(a))
-            size += int(grown[-1] - (grown[a - 1] if a else 0))
+                size = n_whole + n_tail + grown[ends] - grown[a]
+                fit = int(np.searchsorted(size, CHUNK_BYTES, side="right"))
+                take = max(fit, 0 if whole else 1)  # one dest at least
+                if take:
+                    b = int(ends[take - 1])
+                    whole, n_whole, tail, n_tail, most = [*whole, *tail, batch.slice(a, b - a)], int(size[take - 1]), [], 0, 2 * CHUNK_BYTES
+                    a, ends = b, ends[take:]
+                if take > fit or len(ends):
+                    yield from repeats(whole)
+                    whole, n_whole = [], 0
+            tail.append(batch.slice(a))
+            n_tail += int(grown[-1] - grown[a])
+            if n_tail > most:  # one window at very many places
+                rows, copies = folded(tail)
+                yield copies
+                tail, n_tail = [rows], int(pc.sum(pc.binary_length(rows.column("body"))).as_py())
+                most = max(2 * CHUNK_BYTES, 2 * n_tail)
+            if whole and n_whole + n_tail > CHUNK_BYTES:
+                yield from repeats(whole)
+                whole, n_whole = [], 0
             last = dest[-1]
-        if held:
-            yield repeats(held)
+        if whole or tail:
+            yield from repeats([*whole, *tail])
 
     return parts.repartition("dest").sortWithinPartitions("dest").mapInArrow(run, "ord long, key long, start long, windows long")
 
@@ -364,7 +414,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     docs = docs.select("id", "text", ord_.alias("ord"), F.xxhash64("text").alias("key"))
     long = docs.filter(F.octet_length("text") >= length)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    again = _repeated_anchors(long.select("key", "text"), 1 + size // (1 << 26), length)
+    again = _repeated_anchors(long.select("key", "text"), 1 + size // PLACE_BYTES, length)
     some = scratch.write(long.select("ord", "key", "text").join(again, "key"), "texts")
 
     parts = scratch.write(_parts(some, length), "parts")

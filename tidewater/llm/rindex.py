@@ -39,39 +39,48 @@ class RunIndex(NamedTuple):
 def _dense(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places in ascending order, rank of each key)."""
     order = np.argsort(keys)
-    step = np.empty(len(keys), dtype=np.int64)
-    step[0] = 0
     ordered = keys[order]
-    step[1:] = ordered[1:] != ordered[:-1]
-    rank = np.empty(len(keys), dtype=np.uint64)
-    rank[order] = np.cumsum(step)
+    step = ordered[1:] != ordered[:-1]
+    del ordered
+    order = order.astype(np.int32)
+    ranks = np.zeros(len(keys), dtype=np.uint32)
+    np.cumsum(step, out=ranks[1:])
+    rank = np.empty(len(keys), dtype=np.uint32)
+    rank[order] = ranks
     return order, rank
 
 
 def build(parts: list[bytes], length: int) -> RunIndex:
-    """Index of ``parts`` (none empty) with the repeats of ``length`` bytes."""
+    """Index of ``parts`` (none empty; less than 1 GB) with the repeats of ``length``
+    bytes. Positions and ranks are kept as 32 bits, as a chunk is all a task holds."""
     sizes = np.array([len(p) for p in parts], dtype=np.int64)
     ends = np.cumsum(sizes + 1) - 1
     n = int(ends[-1]) + 1
-    text = np.frombuffer(b"\0".join(parts) + b"\0", dtype=np.uint8).astype(np.int64) + 1
+    if n >= 1 << 30:
+        raise ValueError("parts of an index must be less than 1 GB")
+    text = np.frombuffer(b"\0".join(parts) + b"\0", dtype=np.uint8).astype(np.int16) + 1
     text[ends] = 0
-    end = np.repeat(ends, sizes + 1)  # of every position's part
+    end = np.repeat(ends.astype(np.int32), sizes + 1)  # of every position's part
     # The first symbols of each suffix, with nothing after its mark.
     key = np.zeros(n, dtype=np.uint64)
-    at = np.arange(n)
+    at = np.arange(n, dtype=np.int32)
     for k in range(PACKED):
-        key = key << np.uint64(9) | text[np.minimum(at + k, end)].astype(np.uint64)
-    marks = np.arange(len(parts), dtype=np.uint64)
+        key <<= np.uint64(9)
+        key |= text[np.minimum(at + k, end)].astype(np.uint64)
     _, rank = _dense(key)
-    rank += np.uint64(len(parts))
-    rank[ends] = marks
+    rank += np.uint32(len(parts))
+    rank[ends] = np.arange(len(parts), dtype=np.uint32)  # marks
     width, half, longest = PACKED, None, int(sizes.max()) + PACKED
     order = None
     while width < longest or order is None:
         if width <= length:
             half = (width, rank)  # the widest prefix within the length of a repeat
-        order, rank = _dense(rank << np.uint64(32) | rank[np.minimum(at + width, end)])
+        key[:] = rank
+        key <<= np.uint64(32)
+        key |= rank[np.minimum(at + width, end)]
+        order, rank = _dense(key)
         width *= 2
+    del key
     # Neighbours that share the long prefix, by two overlapping shorter ones.
     width, rank = half
     whole = end - at >= length
